@@ -90,9 +90,15 @@ def aggregate_daily_metrics(star: Star, as_of: datetime, days: int | None = ROLL
     )
 
 
+def storable(rows: DataFrame) -> DataFrame:
+    """Rows the fact can hold: both keys are mandatory there, so a resource without a current
+    version has no row."""
+    return rows.dropna(subset=KEYS)
+
+
 def upserted(target: DataFrame, source: DataFrame, keys: list[str], updated: list[str]) -> DataFrame:
-    """``target`` after a merge with ``source``: matched rows take the ``updated`` columns, others
-    are added. NULL keys never match. Columns missing in ``source`` start as NULL."""
+    """``target`` after a merge with ``source`` (one row per key): matched rows take the
+    ``updated`` columns, others are added. Columns missing in ``source`` start as NULL."""
     incoming = source.withColumn("_incoming", F.lit(True))
     known = target.withColumn("_known", F.lit(True))
     s, t = incoming.alias("s"), known.alias("t")

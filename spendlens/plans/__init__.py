@@ -1 +1 @@
-
+"""Composed work: the catalog of named queries, write jobs and the daily chain."""

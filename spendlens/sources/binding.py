@@ -18,7 +18,7 @@ from ..functions.metrics import CPU, FREE_MEMORY, NAMESPACES
 from ..operators.anomaly import detect_cost_anomalies
 from ..operators.calendar import calendar_between
 from ..operators.recommendations import advisor_insert, advisor_update, generate_rightsizing
-from ..operators.rollup import aggregate_daily_metrics
+from ..operators.rollup import aggregate_daily_metrics, storable
 from ..star import Star
 
 AS_OF = datetime(2001, 8, 1)
@@ -346,7 +346,7 @@ class BoundStar(Star):
     @cached_property
     def fact_utilization_daily(self) -> DataFrame:
         """As if the rollup had run on every day of the history."""
-        return aggregate_daily_metrics(self, AS_OF, days=None)
+        return storable(aggregate_daily_metrics(self, AS_OF, days=None))
 
     @cached_property
     def fact_anomaly_daily(self) -> DataFrame:
