@@ -7,7 +7,8 @@ Money leaves as DOUBLE, ratios rounded to six digits, days and stamps as text.
 
 from __future__ import annotations
 
-from .base import CORE, statement
+from .base import statement
 from .core import QUERIES as _core
+from .model import QUERIES as _model
 
-QUERIES: dict[str, str] = {name: statement(sql) for name, sql in {**_core}.items()}
+QUERIES: dict[str, str] = {name: statement(sql) for name, sql in {**_core, **_model}.items()}

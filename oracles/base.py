@@ -15,6 +15,12 @@ def r(expr: str, name: str) -> str:
     return f'ROUND(CAST({expr} AS DOUBLE), 6) AS "{name}"'
 
 
+def price(expr: str, name: str) -> str:
+    """Average of a six-digit price, half up in whole millionths."""
+    return (f'CAST((CAST(sum({expr}) * 1000000 AS HUGEINT) * 2 + count({expr})) // (2 * count({expr})) AS DOUBLE)'
+            f' / 1000000 AS "{name}"')
+
+
 def day(expr: str, name: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d') AS \"{name}\""
 

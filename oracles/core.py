@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base import NOW, day, m, r, ts
+from .base import NOW, day, m, price, r, ts
 
 _JOINED = "fact f JOIN dim_date d ON f.dateKey = d.dateKey JOIN dim_subscription s ON f.subscriptionKey = s.subscriptionKey"
 _OPPORTUNITY = f"""dateKey, resourceKey, resourceId, recommendationType, recommendationDescription,
@@ -55,7 +55,7 @@ QUERIES = {
     "service_cost_breakdown": f"""
       SELECT {day('d."date"', 'date')}, s.subscriptionName, m.serviceName, m.meterCategory, m.meterSubCategory,
         {m('sum(f.actualCost)', 'totalCost')}, {m('sum(f.usageQuantity)', 'totalUsage')},
-        {r('CAST(sum(f.effectivePrice) AS DOUBLE) / count(*)', 'avgEffectivePrice')},
+        {price('f.effectivePrice', 'avgEffectivePrice')},
         count(DISTINCT f.resourceKey) AS resourceCount,
         {r('CAST(sum(f.actualCost) AS DOUBLE) / count(DISTINCT f.resourceKey)', 'costPerResource')}
       FROM {_JOINED} JOIN dim_meter m ON f.meterKey = m.meterKey WHERE d."date" >= {NOW} - INTERVAL 3 MONTH

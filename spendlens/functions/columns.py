@@ -22,6 +22,11 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(dbl(numerator), dbl(denominator))
 
 
+def mean_price(sum_: Column, rows: Column) -> Column:
+    """Average of exact prices, kept exact up to the six decimals of a price."""
+    return F.try_divide(sum_, rows.cast("decimal(18,0)")).cast("decimal(18,6)")
+
+
 def total(column: str) -> Column:
     return F.sum(column).alias(column)
 

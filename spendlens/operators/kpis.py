@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_index, ratio_or_zero, safe_divide, stamp, total
+from ..functions.columns import mean_price, month_index, ratio_or_zero, safe_divide, stamp, total
 from ..functions.dates import days_before, first_day_from, months_before
 from ..star import Star
 
@@ -120,7 +120,7 @@ def service_cost_breakdown(star: Star, as_of: datetime) -> DataFrame:
     ).agg(
         F.sum("actualCost").alias("totalCost"),
         F.sum("usageQuantity").alias("totalUsage"),
-        safe_divide(F.sum("effectivePrice"), F.sum("prices")).alias("avgEffectivePrice"),
+        mean_price(F.sum("effectivePrice"), F.sum("prices")).alias("avgEffectivePrice"),
         F.count_distinct("resourceKey").alias("resourceCount"),
     )
     return per_service.select(

@@ -11,8 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import anomaly, costs, enrichment, kpis, recommendations, rollup
+from ..operators import (
+    anomaly, budget, costs, enrichment, insights, kpis, measures, quality, recommendations, rollup, security,
+)
 from ..operators.calendar import calendar_of
+from ..sources.tags import flatten_tags
+from .refresh import POLICIES, refreshed
 from ..sources.binding import AS_OF, FIRST_DAY, BoundStar
 from ..star import Star
 
@@ -57,6 +61,47 @@ def _dim_date(star: Star) -> DataFrame:
     return calendar_of(star.cost(["dateKey"]), F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd"))
 
 
+def _measures(names: list[str], *group_by: str, **options) -> Callable[[Star], DataFrame]:
+    return lambda star: measures.measures(star, names, group_by, as_of=AS_OF, **options)
+
+
+def monthly_cost(star: Star) -> DataFrame:
+    return (
+        star.cost(["dateKey", "subscriptionKey", "actualCost"])
+        .join(star.dim_date.select("dateKey", "year", "month"), "dateKey")
+        .join(star.dim_subscription.select("subscriptionKey", "subscriptionId", "subscriptionName"), "subscriptionKey")
+        .groupBy("subscriptionId", "subscriptionName", "year", "month").agg(F.sum("actualCost").alias("actualCost"))
+    )
+
+
+def alert_events(star: BoundStar) -> DataFrame:
+    return budget.alerts_from_budgets(monthly_cost(star), star.budgets)
+
+
+def _alert_log(star: BoundStar) -> DataFrame:
+    return budget.alert_log(budget.classify_alerts(alert_events(star)), AS_OF).drop("alertId")
+
+
+def _secured_cost(star: Star, *group_by: str) -> DataFrame:
+    return measures.measures(star, ["Total Actual Cost", "Cost per Resource"], group_by)
+
+
+def _refresh_window(star: BoundStar) -> DataFrame:
+    """Days kept and days reloaded: the stored copy ends before the reload window."""
+    policy = POLICIES["fact_cost_daily"]
+    days = ["dateKey", "resourceKey", "actualCost"]
+    stored = star.cost(days).withColumn("origin", F.lit("kept"))
+    incoming = star.cost(days).withColumn("origin", F.lit("reloaded"))
+    return refreshed(stored, incoming, policy, AS_OF).groupBy("dateKey", "origin").agg(
+        F.count(F.lit(1)).alias("costRows"), F.sum("actualCost").alias("totalCost"))
+
+
+def _invoices(star: BoundStar) -> DataFrame:
+    """Invoice totals out of the list price of the same lines, 5 % off."""
+    return star.cost(["billingPeriodStartDate", "amortizedCost"]).groupBy("billingPeriodStartDate").agg(
+        (F.sum("amortizedCost") * F.lit("0.95").cast("decimal(3,2)")).cast("decimal(18,2)").alias("invoicedAmount"))
+
+
 CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "executive_kpis": lambda s: kpis.executive_kpis(s, AS_OF),
     "mom_growth": lambda s: kpis.mom_growth(s, AS_OF),
@@ -93,4 +138,67 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "anomaly_run_summary": _run_summary,
     "anomaly_high_severity": lambda s: anomaly.high_severity(detect_over_history(s)),
     "dim_date": _dim_date,
+    "measure_cost": _measures(
+        ["Total Actual Cost", "Total Amortized Cost", "Total Cost USD", "Total Usage Quantity",
+         "Average Effective Price", "Cost per Resource"], "yearMonth", "subscriptionName"),
+    "measure_mom": _measures(
+        ["Total Actual Cost", "Previous Month Cost", "Month over Month %"], "yearMonth", "subscriptionName"),
+    "measure_mom_daily": _measures(["Total Actual Cost", "Previous Month Cost"], "date", "subscriptionName"),
+    "measure_mom_ratio": _measures(["Month over Month %"], "year", "businessUnit", scale=1.0),
+    "measure_yoy": _measures(
+        ["Total Actual Cost", "Previous Year Cost", "Year over Year %"], "yearQuarter", "businessUnit"),
+    "measure_budget": _measures(
+        ["Budget Amount", "Budget Remaining", "Budget Remaining %", "Budget Utilization %"],
+        "yearMonth", "subscriptionName"),
+    "measure_eom": _measures(["Projected EOM Spend"], "yearMonth", "subscriptionName"),
+    "measure_eom_corrected": _measures(
+        ["Projected EOM Spend"], "yearMonth", "subscriptionName", corrected=True, elapsed_from_data=True),
+    "measure_coverage": _measures(
+        ["Reservation Cost", "Savings Plan Cost", "Reservation Coverage %", "Savings Plan Coverage %"],
+        "yearMonth", "businessUnit"),
+    "measure_zscore": _measures(["Total Actual Cost", "Daily Z-Score"], "yearMonth", "subscriptionName"),
+    "measure_utilization": _measures(
+        ["Average CPU %", "Average Memory %", "Average Idle %", "Underutilized Resources", "Overutilized Resources",
+         "Optimal Resources"], "businessUnit", "yearMonth"),
+    "measure_utilization_percent_limits": _measures(
+        ["Underutilized Resources", "Overutilized Resources", "Optimal Resources"], "team", cpu_scale=100.0),
+    "measure_savings": _measures(
+        ["Total Potential Monthly Savings", "Total Potential Annual Savings", "Total Realized Monthly Savings",
+         "Total Realized Annual Savings", "Implementation Rate %", "Pending Opportunities",
+         "High Priority Opportunities", "Completed Opportunities"], "businessUnit", "team"),
+    "measure_anomalies": _measures(
+        ["Total Anomalies", "High Severity Anomalies", "Medium Severity Anomalies", "Low Severity Anomalies",
+         "Total Cost Variance", "Average Variance %", "Max Z-Score"], "subscriptionName"),
+    "drill_date_rollup": lambda s: measures.drill(s, "calendar"),
+    "drill_resource_rollup": lambda s: measures.drill(s, "ownership"),
+    "rls_resource": lambda s: _secured_cost(
+        security.SecuredStar(s, security.visible_resources(s, "ASIA"), None), "team", "yearMonth"),
+    "rls_subscription": lambda s: _secured_cost(
+        security.SecuredStar(s, None, security.visible_subscriptions(s, "user", ("NATION_1", "NATION_7"))),
+        "subscriptionName", "yearMonth"),
+    "rls_combined": lambda s: _secured_cost(
+        security.secured(s, "NATION_2", ("NATION_2", "NATION_7")), "subscriptionName", "team"),
+    "budget_alerts": lambda s: budget.classify_alerts(alert_events(s)),
+    "budget_alert_texts": lambda s: budget.alert_texts(budget.classify_alerts(alert_events(s))).select(
+        "budgetName", "alertMessage", "mailSubject", "ticketTitle", "mailBody"),
+    "budget_alert_log": _alert_log,
+    "budget_crossings": lambda s: insights.budget_crossings(s, s.budgets),
+    "tags_flattened": lambda s: flatten_tags(s.sample("events").select("event_id", "event_type", "props"), tags="props"),
+    "refresh_window": _refresh_window,
+    "linear_forecast": lambda s: insights.linear_forecast(s, AS_OF),
+    "tag_compliance": insights.tag_compliance,
+    "unused_resources": lambda s: insights.unused_resources(s, AS_OF),
+    "idle_resources": lambda s: insights.idle_resources(s, AS_OF),
+    "empty_resource_groups": insights.empty_resource_groups,
+    "reservation_candidates": lambda s: insights.reservation_candidates(s, AS_OF),
+    "top_cost_drivers": lambda s: insights.top_cost_drivers(s, AS_OF),
+    "top_movers": lambda s: insights.top_movers(s, AS_OF),
+    "cost_utilization_correlation": insights.cost_utilization_correlation,
+    "cost_distribution": lambda s: insights.cost_distribution(s, "businessUnit", "app", "env", "location"),
+    "orphan_counts": quality.orphan_counts,
+    "duplicate_cost_keys": lambda s: quality.duplicate_keys(
+        s.cost(["dateKey", "resourceKey", "meterKey"]), "dateKey", "resourceKey", "meterKey"),
+    "freshness": lambda s: quality.freshness(s, AS_OF),
+    "completeness": quality.completeness,
+    "reconciliation": lambda s: quality.reconciliation(s, _invoices(s), tolerance=0.02),
 }

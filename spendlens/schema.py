@@ -5,6 +5,8 @@ Values fixed by the data model: table names, column names and column types.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 MONEY = "decimal(18,2)"
@@ -92,7 +94,12 @@ _DDL = {
     "budget": """subscriptionId string, year int, month int, budgetAmount decimal(18,2)""",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+@cache
+def schema(table: str) -> StructType:
+    """The declared schema of a table (needs a running session)."""
+    return StructType.fromDDL(_DDL[table])
+
 
 # Facts are laid out by day, so date bounds prune directories and upserts rewrite only touched days.
 PARTITION_COLUMN = {name: "dateKey" for name in _DDL if name.startswith("fact_")}
