@@ -213,4 +213,5 @@ QUERIES = {
         "date" = billingPeriodEnd AS isMonthEnd, "date" = billingPeriodEnd AND "month" % 3 = 0 AS isQuarterEnd,
         "date" = billingPeriodEnd AND "month" = 12 AS isYearEnd
       FROM dim_date WHERE dateKey BETWEEN (SELECT min(dateKey) FROM fact) AND (SELECT max(dateKey) FROM fact)""",
+    "stream_daily_metrics": f"""SELECT {_ROLLUP} FROM util WHERE resourceKey IS NOT NULL""",
 }

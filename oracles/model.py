@@ -236,4 +236,19 @@ QUERIES = {
         FROM fact f JOIN dim_date d USING (dateKey) GROUP BY ALL)
       SELECT {day('p', 'billingPeriodStartDate')}, {m('loaded', 'loadedCost')}, {m('invoiced', 'invoicedAmount')}, {m('loaded - invoiced', 'difference')},
         abs(CAST(loaded - invoiced AS DOUBLE)) / CAST(invoiced AS DOUBLE) <= 0.02 AS reconciled FROM months""",
+    "cost_export": f"""
+      SELECT {day('d.billingPeriodStart', 'BillingPeriodStartDate')}, f.subscriptionId AS "SubscriptionId", count(*) AS costRows,
+        {m('sum(f.actualCost)', 'cost')}, {m('sum(f.usageQuantity)', 'quantity')}
+      FROM fact f JOIN dim_date d USING (dateKey) GROUP BY d.billingPeriodStart, f.subscriptionId""",
+    "resource_versions": f"""
+      , state AS (SELECT r.*, s_acctbal < 0 AS changed FROM dim_resource r JOIN supplier ON s_suppkey = r.resourceKey)
+      SELECT resourceId, team, isCurrent AND NOT changed AS isCurrent, CAST(NULL AS VARCHAR) AS effectiveStartDate,
+        CASE WHEN isCurrent AND changed THEN '2001-08-01 00:00:00' END AS effectiveEndDate FROM state
+      UNION ALL
+      SELECT resourceId, CASE WHEN changed THEN 'frozen' ELSE team END, TRUE, '2001-08-01 00:00:00', NULL
+      FROM state WHERE changed OR NOT isCurrent""",
+    "stream_budget_alerts": f"""{_ALERT}
+      SELECT budgetName, severity, {r('used', 'utilizationPercentage')}, actionRequired,
+        CASE severity WHEN 'High' THEN 'Bug' ELSE 'Task' END AS ticketType,
+        '[' || severity || '] Budget Alert: ' || budgetName || ' - ' || subscriptionName AS mailSubject FROM classified""",
 }

@@ -17,8 +17,15 @@ from ..operators import (
 from ..operators.calendar import calendar_of
 from ..sources.tags import flatten_tags
 from .refresh import POLICIES, refreshed
-from ..sources.binding import AS_OF, FIRST_DAY, BoundStar
+from ..functions.columns import conform
+from ..schema import schema
+from ..sources.binding import AS_OF, FIRST_DAY, BoundStar, metric_samples
+from ..sources.exports import latest_export, read_export
+from ..sources.lake import read_or_empty, work_folder
 from ..star import Star
+from ..streaming.alerts import alert_stream, run_alerts
+from ..streaming.metrics import daily_statistics, run_rollup_stream
+from .ingest import TRACKED, resource_versions
 
 HISTORY_DAYS = (AS_OF.date() - FIRST_DAY).days
 
@@ -102,6 +109,67 @@ def _invoices(star: BoundStar) -> DataFrame:
         (F.sum("amortizedCost") * F.lit("0.95").cast("decimal(3,2)")).cast("decimal(18,2)").alias("invoicedAmount"))
 
 
+def _export_columns(star: BoundStar, *, price_factor: str = "1.0") -> DataFrame:
+    """The cost rows in the layout of an export file."""
+    factor = F.lit(price_factor).cast("decimal(3,1)")
+    cost = star.cost(["dateKey", "subscriptionId", "resourceId", "meterId", "billingPeriodStartDate",
+                      "billingPeriodEndDate", "usageQuantity", "effectivePrice", "actualCost", "chargeType"])
+    return cost.select(
+        F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd").alias("Date"),
+        F.col("subscriptionId").alias("SubscriptionId"), F.col("resourceId").alias("ResourceId"),
+        F.col("meterId").alias("MeterId"), F.col("billingPeriodStartDate").alias("BillingPeriodStartDate"),
+        F.col("billingPeriodEndDate").alias("BillingPeriodEndDate"), F.col("usageQuantity").alias("Quantity"),
+        F.col("effectivePrice").alias("EffectivePrice"),
+        (F.col("actualCost") * factor).cast("decimal(18,2)").alias("CostInBillingCurrency"),
+        F.col("chargeType").alias("ChargeType"), F.lit('{"env": "x"}').alias("Tags"),
+    )
+
+
+def _cost_export(star: BoundStar) -> DataFrame:
+    """Two overlapping exports written and read back: the older one, with other amounts, must not
+    count."""
+    folder = work_folder(star.spark, "exports")
+    _export_columns(star, price_factor="0.5").write.option("header", True).csv(f"{folder}/run=1")
+    _export_columns(star).write.option("header", True).csv(f"{folder}/run=2")
+    rows = latest_export(read_export(star.spark, folder))
+    return rows.groupBy("BillingPeriodStartDate", "SubscriptionId").agg(
+        F.count(F.lit(1)).alias("costRows"), F.sum("CostInBillingCurrency").alias("cost"),
+        F.sum("Quantity").alias("quantity"))
+
+
+def _resource_snapshot(star: BoundStar) -> DataFrame:
+    """A later state of the resources: those with a negative balance changed team."""
+    suppliers = star.sample("supplier").select(
+        F.concat(F.lit("/res/"), F.col("s_suppkey")).alias("resourceId"), F.col("s_acctbal"))
+    tracked = [c for c in TRACKED if c in star.dim_resource.columns]
+    return star.dim_resource.select("resourceId", *tracked).join(suppliers, "resourceId").withColumn(
+        "team", F.when(F.col("s_acctbal") < 0, "frozen").otherwise(F.col("team"))).drop("s_acctbal")
+
+
+def _resource_versions(star: BoundStar) -> DataFrame:
+    stored = conform(star.dim_resource.withColumn("resourceKey", F.col("resourceKey") + 1), schema("dim_resource"))
+    versions = resource_versions(stored, _resource_snapshot(star), AS_OF)
+    return versions.select("resourceId", "team", "isCurrent", "effectiveStartDate", "effectiveEndDate")
+
+
+def _stream_alerts(star: BoundStar) -> DataFrame:
+    folder = work_folder(star.spark, "alerts")
+    alert_events(star).write.json(f"{folder}/events")
+    run_alerts(alert_stream(star.spark, f"{folder}/events"), f"{folder}/out", f"{folder}/state").awaitTermination()
+    return star.spark.read.parquet(f"{folder}/out").select(
+        "budgetName", "severity", "utilizationPercentage", "actionRequired", "ticketType", "mailSubject")
+
+
+def _stream_metrics(star: BoundStar) -> DataFrame:
+    """The events as a file stream, rolled up per day into a table that is read back."""
+    folder = work_folder(star.spark, "metrics")
+    resources = star.sample("supplier").count()
+    statistics = daily_statistics(metric_samples(star.sample_stream("events"), F.lit(resources)))
+    fields = star.fact_utilization_daily.schema
+    run_rollup_stream(statistics, star, f"{folder}/out", fields, f"{folder}/state").awaitTermination()
+    return read_or_empty(star.spark, f"{folder}/out", fields)
+
+
 CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "executive_kpis": lambda s: kpis.executive_kpis(s, AS_OF),
     "mom_growth": lambda s: kpis.mom_growth(s, AS_OF),
@@ -201,4 +269,8 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "freshness": lambda s: quality.freshness(s, AS_OF),
     "completeness": quality.completeness,
     "reconciliation": lambda s: quality.reconciliation(s, _invoices(s), tolerance=0.02),
+    "cost_export": _cost_export,
+    "resource_versions": _resource_versions,
+    "stream_budget_alerts": _stream_alerts,
+    "stream_daily_metrics": _stream_metrics,
 }

@@ -111,6 +111,13 @@ class BoundStar(Star):
     def sample(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SAMPLE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def sample_stream(self, name: str) -> DataFrame:
+        """The same file as a file stream."""
+        return (
+            self.spark.readStream.schema(_SAMPLE_SCHEMAS[name])
+            .option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
+        )
+
     # --- cost -------------------------------------------------------------------------------
 
     def cost(self, columns, since=None, until=None):
