@@ -53,8 +53,7 @@ def storable_opportunities(rows: DataFrame) -> DataFrame:
 def run_rollup(lake: Lake, as_of: datetime) -> int:
     """Re-aggregate the last seven days of samples, late ones included, into utilization."""
     rows = rollup.storable(rollup.aggregate_daily_metrics(LakeStar(lake), as_of))
-    since = date_key(first_day_from(days_before(as_of, rollup.ROLLUP_DAYS + 1)))
-    return lake.upsert("fact_utilization_daily", _created(rows, as_of), rollup.KEYS, rollup.MEASURES, since)
+    return lake.upsert("fact_utilization_daily", _created(rows, as_of), rollup.KEYS, rollup.MEASURES)
 
 
 def run_refresh(lake: Lake, table: str, incoming: DataFrame, as_of: datetime) -> int:

@@ -69,22 +69,23 @@ def write_days(df: DataFrame, path: str, day: str, mode: str) -> int:
 
 def merge_days(
     path: str, fields: StructType, source: DataFrame, keys: Sequence[str], updated: Sequence[str],
-    day: str = "dateKey", since: int | None = None,
+    day: str = "dateKey",
 ) -> int:
     """Upsert ``source`` into the day-partitioned table at ``path``; returns the rows of ``source``.
 
-    Only days from ``since`` on are read and rewritten. The merged days are staged first, so the
-    table is never read while it is replaced, and repeating a failed run gives the same result.
+    Only days from the earliest one in ``source`` on are read and rewritten. The merged days are
+    staged first, so the table is never read while it is replaced, and repeating a failed run
+    gives the same result.
     """
     spark = source.sparkSession
-    source, seen = _counted(source)
     source = staged(source, "incoming")
-    target = read_or_empty(spark, path, fields)
-    if since is not None:
-        target = target.filter(F.col(day) >= since)
+    first, rows = source.agg(F.min(day), F.count(F.lit(1))).first()
+    if not rows:
+        return 0
+    target = read_or_empty(spark, path, fields).filter(F.col(day) >= first)
     merged = staged(upserted(target, source, list(keys), list(updated)), "merged")
     write_days(merged, path, day, "overwrite")
-    return seen.get["rows"]
+    return rows
 
 
 class Lake:
@@ -121,9 +122,8 @@ class Lake:
         counted.write.mode("overwrite").parquet(self.path(table))
         return seen.get["rows"]
 
-    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], updated: Sequence[str],
-               since: int | None = None) -> int:
-        return merge_days(self.path(table), schema(table), source, keys, updated, PARTITION_COLUMN[table], since)
+    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], updated: Sequence[str]) -> int:
+        return merge_days(self.path(table), schema(table), source, keys, updated, PARTITION_COLUMN[table])
 
 
 class LakeStar(Star):
