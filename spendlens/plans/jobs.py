@@ -71,7 +71,8 @@ def publish_refreshed(lake: Lake, table: str, incoming: DataFrame, as_of: dateti
 def publish_anomalies(anomalies: DataFrame, folder: str, as_of: datetime) -> str:
     """JSON lines below a stamped folder; returns the folder."""
     target = f"{folder.rstrip('/')}/anomalies/anomaly-results-{as_of:%Y%m%d-%H%M%S}"
-    anomaly.result_records(anomalies, as_of).write.mode("overwrite").json(target)
+    records = anomaly.result_records(anomalies, as_of)
+    records.write.mode("overwrite").option("ignoreNullFields", False).json(target)
     return target
 
 

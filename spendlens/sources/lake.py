@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,21 +50,14 @@ def read_or_empty(spark: SparkSession, path: str, fields: StructType) -> DataFra
         return spark.createDataFrame([], fields)
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
-def write_days(df: DataFrame, path: str, day: str, mode: str) -> int:
-    """Write by day and return the number of rows. ``append`` adds, ``overwrite`` replaces exactly
-    the days present in ``df``. The rebalance hint gathers a day in few files and lets adaptive
-    execution split a day that is too large for one task."""
-    rows, seen = _counted(df)
+def write_days(df: DataFrame, path: str, day: str, mode: str) -> None:
+    """Write by day: ``append`` adds, ``overwrite`` replaces exactly the days present in ``df``. The
+    rebalance hint gathers a day in few files and lets adaptive execution split a day that is too
+    large for one task."""
     (
-        rows.hint("rebalance", day).write.mode(mode)
+        df.hint("rebalance", day).write.mode(mode)
         .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     )
-    return seen.get["rows"]
 
 
 def merge_days(
@@ -105,22 +98,24 @@ class Lake:
         return read_or_empty(self.spark, self.path(table), schema(table))
 
     def append(self, table: str, rows: DataFrame) -> int:
-        rows = conform(rows, schema(table))
-        if table in PARTITION_COLUMN:
-            return write_days(rows, self.path(table), PARTITION_COLUMN[table], "append")
-        counted, seen = _counted(rows)
-        counted.write.mode("append").parquet(self.path(table))
-        return seen.get["rows"]
+        """Add rows. They are staged first: the count is known, and rows that were chosen by reading
+        the table itself stay chosen when the write is repeated."""
+        return self._write(table, rows, "append")
 
     def replace(self, table: str, rows: DataFrame) -> int:
         """A new version of the table (of the days it holds, for a fact). ``rows`` may come from
         the table itself: they are staged before the first file is replaced."""
+        return self._write(table, rows, "overwrite")
+
+    def _write(self, table: str, rows: DataFrame, mode: str) -> int:
         version = staged(conform(rows, schema(table)), table)
+        count = version.count()
         if table in PARTITION_COLUMN:
-            return write_days(version, self.path(table), PARTITION_COLUMN[table], "overwrite")
-        counted, seen = _counted(version)
-        counted.write.mode("overwrite").parquet(self.path(table))
-        return seen.get["rows"]
+            if count:
+                write_days(version, self.path(table), PARTITION_COLUMN[table], mode)
+        else:
+            version.write.mode(mode).parquet(self.path(table))
+        return count
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], updated: Sequence[str]) -> int:
         return merge_days(self.path(table), schema(table), source, keys, updated, PARTITION_COLUMN[table])
