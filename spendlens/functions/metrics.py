@@ -48,8 +48,19 @@ def resource_type(namespace: Column) -> Column:
     return chain.otherwise(namespace)
 
 
-def grain_hours(grain: Column) -> Column:
+def grain_rank(grain: Column) -> Column:
+    """Place of a code in text order among the known codes: odd for a known code, even for a code
+    between two of them. The largest code of a group has the largest rank, and a maximum over
+    numbers keeps the aggregation hash-based."""
+    rank = F.lit(0)
+    for code in GRAIN_MINUTES:
+        rank = rank + F.when(grain > code, 2).when(grain == code, 1).otherwise(0)
+    return F.when(grain.isNotNull(), rank)
+
+
+def grain_hours(largest_rank: Column) -> Column:
+    """Hours per sample for the largest code of a group, given by its rank."""
     chain = F
-    for code, minutes in GRAIN_MINUTES.items():
-        chain = chain.when(grain == code, minutes / 60)
+    for place, code in enumerate(sorted(GRAIN_MINUTES)):
+        chain = chain.when(largest_rank == 2 * place + 1, GRAIN_MINUTES[code] / 60)
     return chain.otherwise(DEFAULT_GRAIN_MINUTES / 60)

@@ -33,8 +33,12 @@ def detect_anomalies(cost: DataFrame, z: float = Z_THRESHOLD, min_cost: float =
     Resources with fewer than seven days or without variation give nothing. The windows see one
     row per resource and day, so their size is bounded by the calendar, not by the fact.
     """
-    daily = cost.groupBy("resourceId", "date").agg(
-        F.sum("actualCost").alias("actualCost"), F.min("subscriptionId").alias("subscriptionId")
+    # Raw rows meet only a hash aggregate of sums; from there on everything is laid out by resource.
+    daily = (
+        cost.groupBy("resourceId", "date", "subscriptionId").agg(F.sum("actualCost").alias("actualCost"))
+        .repartition("resourceId")
+        .groupBy("resourceId", "date")
+        .agg(F.sum("actualCost").alias("actualCost"), F.min("subscriptionId").alias("subscriptionId"))
     )
     resource = Window.partitionBy("resourceId")
     spent = F.col("actualCost").cast("double")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_key_of, dbl, safe_divide
 from ..functions.dates import days_before
-from ..functions.metrics import grain_hours, is_cpu, is_free_memory, memory_percentage
+from ..functions.metrics import grain_hours, grain_rank, is_cpu, is_free_memory, memory_percentage
 from ..star import Star
 
 # Lookback, idle shares by CPU level, availability placeholder.
@@ -40,7 +40,7 @@ def sample_statistics(samples: DataFrame, *keys) -> DataFrame:
     }
     memory = F.when(is_free_memory(), memory_percentage())
     aggregates = [F.avg(memory).alias("avgMemory"), F.max(memory).alias("maxMemory"),
-                  F.max("timeGrain").alias("timeGrain")]
+                  F.max(grain_rank(F.col("timeGrain"))).alias("grainRank")]
     for name, column in selected.items():
         aggregates += [F.sum(column).alias(f"sum{name}"), F.max(column).alias(f"max{name}"),
                        F.count(column).alias(f"count{name}")]
@@ -60,7 +60,7 @@ def utilization_columns(statistics: DataFrame, *keys) -> DataFrame:
         safe_divide(F.col("sumDisk"), F.col("countDisk")).alias("avgDiskIOPS"), dbl("maxDisk").alias("maxDiskIOPS"),
         safe_divide(F.col("sumNetwork"), F.col("countNetwork")).alias("avgNetworkIOPS"),
         dbl("maxNetwork").alias("maxNetworkIOPS"),
-        (F.col("countCpu") * grain_hours(F.col("timeGrain"))).alias("uptimeHours"),
+        (F.col("countCpu") * grain_hours(F.col("grainRank"))).alias("uptimeHours"),
         idle.otherwise(IDLE_OTHERWISE).alias("idlePercentage"),
         F.lit(AVAILABILITY).alias("availabilityPercentage"),
     )

@@ -83,11 +83,16 @@ def resource_versions(existing: DataFrame, incoming: DataFrame, as_of: datetime,
 
 
 def _latest(rows: DataFrame, natural_key: str, **columns: Column) -> DataFrame:
-    """One row per natural key with the attributes of its latest day; a map-side partial aggregate."""
+    """One row per natural key with the attributes of its latest day. Raw rows are first reduced to
+    the distinct attribute combinations; ties between those go to the largest in text order."""
+    combinations = (
+        rows.filter(F.col(natural_key).isNotNull())
+        .groupBy(natural_key, *[c.alias(n) for n, c in columns.items()]).agg(F.max("Date").alias("_day"))
+    )
+    attributes = F.struct(*columns)
     return (
-        rows.filter(F.col(natural_key).isNotNull()).groupBy(natural_key)
-        .agg(F.max_by(F.struct(*[c.alias(n) for n, c in columns.items()]),
-                      F.struct("Date", *[c for c in ("SubscriptionId", "MeterId") if c != natural_key])).alias("_row"))
+        combinations.groupBy(natural_key)
+        .agg(F.max_by(attributes, F.struct("_day", F.to_json(attributes))).alias("_row"))
         .select(natural_key, "_row.*")
     )
 

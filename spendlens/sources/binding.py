@@ -147,9 +147,10 @@ class BoundStar(Star):
     def _cost_columns() -> dict[str, Column]:
         c = F.col
         price, quantity = c("l_extendedprice"), c("l_quantity")
+        # Price less discount in whole cents, half up: integer arithmetic and one conversion.
+        cents = F.floor(price * 100 + 0.5) * (100 - F.floor(c("l_discount") * 100 + 0.5))
+        actual = (F.floor((cents + 50) / 100) / 100).cast("decimal(18,2)")
         amount = price.cast("decimal(18,2)")
-        share = F.lit(1).cast("decimal(4,2)") - c("l_discount").cast("decimal(4,2)")
-        actual = (amount * share).cast("decimal(18,2)")
         unit_price = (F.floor(price / quantity * 1000000 + 0.5) / 1000000).cast("decimal(18,6)")
         line = (c("l_linenumber") % 4).cast("int")
         return {
