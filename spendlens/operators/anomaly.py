@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,13 +15,32 @@ from ..functions.severity import SEVERITIES, anomaly_type, confidence, severity_
 from ..star import Star
 from .costs import cost_data
 
-# Defaults of the detector.
+# Defaults of the detector and the names of its settings.
 Z_THRESHOLD = 2.0
 MIN_COST = 10.0
+CONFIDENCE = 0.8
 MIN_DAYS = 7
 DETECTION_DAYS = 30
 
 
+@dataclass(frozen=True)
+class Thresholds:
+    """Detector thresholds out of a settings mapping. The confidence threshold is read but nothing
+    depends on it."""
+
+    z: float = Z_THRESHOLD
+    min_cost: float = MIN_COST
+    confidence: float = CONFIDENCE
+
+    @classmethod
+    def from_settings(cls, settings: Mapping[str, str]) -> "Thresholds":
+        return cls(
+            float(settings.get("ZScoreThreshold") or Z_THRESHOLD),
+            float(settings.get("MinCostThreshold") or MIN_COST),
+            float(settings.get("ConfidenceThreshold") or CONFIDENCE),
+        )
+
+
 def population_stddev(column: Column) -> Column:
     """Aggregate; 0 for an empty input."""
     return F.coalesce(F.stddev_pop(column), F.lit(0.0))

@@ -11,7 +11,7 @@ from ..functions.advice import monthly_savings, recommendation_category, recomme
 from ..functions.columns import dbl, safe_divide
 from ..functions.dates import days_before, first_day_from, last_day_until
 from ..functions.metrics import CPU, FREE_MEMORY, resource_type, utilization_percentage
-from ..functions.quantiles import percentiles
+from ..functions.quantiles import approximate_percentiles, percentiles
 from ..star import Star
 from .kpis import utilization_status
 
@@ -51,9 +51,9 @@ def resource_utilization_metrics(star: Star, as_of: datetime) -> DataFrame:
     )
 
 
-def daily_metrics_summary(star: Star, as_of: datetime) -> DataFrame:
+def daily_metrics_summary(star: Star, as_of: datetime, approximate: bool = False) -> DataFrame:
     """Day statistics per resource and metric. The percentiles cover the day, resource and metric,
-    whichever group or namespace a sample was filed under."""
+    whichever group or namespace a sample was filed under; ``approximate`` takes sketches."""
     samples = star.metrics(since=days_before(as_of, METRIC_DAYS)).select(
         F.to_date("startTime").alias("metricDate"), "resourceId", "subscriptionId", "resourceGroup",
         "metricName", "metricNamespace", "metricValue",
@@ -63,7 +63,9 @@ def daily_metrics_summary(star: Star, as_of: datetime) -> DataFrame:
         F.sum("metricValue").alias("sumValue"), F.max("metricValue").alias("maxValue"),
         F.min("metricValue").alias("minValue"), F.count(F.lit(1)).alias("sampleCount"),
     )
-    quantiles = percentiles(samples, series, "metricValue", {"p50Value": 0.50, "p95Value": 0.95})
+    quantiles = (approximate_percentiles if approximate else percentiles)(
+        samples, series, "metricValue", {"p50Value": 0.50, "p95Value": 0.95}
+    )
     average, top = F.col("avgValue"), dbl("maxValue")
     memory_status = (
         F.when(average > top * MEMORY_HIGH, "Underutilized")

@@ -36,12 +36,15 @@ def _subscribed(cost: DataFrame, star: Star, *attributes: str) -> DataFrame:
     return cost.join(star.dim_subscription.select("subscriptionKey", *attributes), "subscriptionKey")
 
 
-def executive_kpis(star: Star, as_of: datetime, approximate_counts: bool = False) -> DataFrame:
+def executive_kpis(
+    star: Star, as_of: datetime, forecast: DataFrame | None = None, approximate_counts: bool = False
+) -> DataFrame:
     """Daily cost per subscription with the previous present day and the previous calendar month.
 
     One pass over the fact. Both comparisons are windows over the aggregated days of a
     subscription; the month total is a value-range frame on the month number, so a missing
-    month yields NULL. ``approximate_counts`` swaps the two exact distinct counts for sketches.
+    month yields NULL. ``forecast`` (date, subscriptionId, forecastedCost) fills the forecast column,
+    0 without it. ``approximate_counts`` swaps the two exact distinct counts for sketches.
     """
     count_distinct = F.approx_count_distinct if approximate_counts else F.count_distinct
     cost = star.cost(
@@ -61,6 +64,11 @@ def executive_kpis(star: Star, as_of: datetime, approximate_counts: bool = False
         count_distinct("resourceKey").alias("activeResourceCount"),
         count_distinct("meterKey").alias("uniqueServiceCount"),
     )
+    if forecast is None:
+        daily = daily.withColumn("forecastedCost", F.lit(0))
+    else:
+        daily = daily.join(forecast, ["date", "subscriptionId"], "left").withColumn(
+            "forecastedCost", F.coalesce(F.col("forecastedCost"), F.lit(0)))
     subscription = Window.partitionBy("subscriptionId")
     months = month_index(F.col("year"), F.col("month"))
     return daily.select(
@@ -69,7 +77,7 @@ def executive_kpis(star: Star, as_of: datetime, approximate_counts: bool = False
         F.lag("totalActualCost").over(subscription.orderBy("date")).alias("previousDayCost"),
         F.sum("totalActualCost").over(subscription.orderBy(months).rangeBetween(-1, -1)).alias("previousMonthCost"),
         "activeResourceCount", "uniqueServiceCount",
-        F.lit(0).alias("forecastedCost"),
+        "forecastedCost",
         stamp(as_of).alias("calculationDate"),
     )
 
@@ -136,11 +144,8 @@ def utilization_status(cpu: Column) -> Column:
     )
 
 
-def resource_utilization(star: Star, as_of: datetime, as_was: bool = False) -> DataFrame:
-    """Utilization per current resource and day next to the cost of that day.
-
-    ``as_was=True`` keeps days recorded under an expired resource version.
-    """
+def resource_utilization(star: Star, as_of: datetime) -> DataFrame:
+    """Utilization per current resource and day next to the cost of that day."""
     since = first_day_from(days_before(as_of, UTILIZATION_DAYS))
     cost = (
         star.cost(["dateKey", "resourceKey", "actualCost"], since=since)
@@ -148,13 +153,10 @@ def resource_utilization(star: Star, as_of: datetime, as_was: bool = False) -> D
         .agg(F.sum("actualCost").alias("totalCost"))
     )
     attributes = ["resourceName", "resourceType", "subscriptionName", "businessUnit", "team", "costCenter"]
-    resources = (
-        star.dim_resource.select("resourceKey", *attributes) if as_was else star.current_resources(*attributes)
-    )
     used = (
         _dated(star.utilization(since=since), star, "date")
         .join(cost, ["dateKey", "resourceKey"], "left")
-        .join(resources, "resourceKey")
+        .join(star.current_resources(*attributes), "resourceKey")
     )
     cpu, spent = F.col("avgCpuPercentage"), F.col("totalCost")
     return used.select(

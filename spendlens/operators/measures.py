@@ -138,8 +138,12 @@ def _growth(months: int) -> Measure:
     return Measure("cost", formula, ("actual",), shift=months)
 
 
+def _budget(c, o) -> Column:
+    return dbl(c("budgetAmount")) if isinstance(o.budget, DataFrame) else F.lit(float(o.budget))
+
+
 def _remaining(c, o) -> Column:
-    return F.lit(o.budget) - F.coalesce(dbl(c("actual")), F.lit(0.0))
+    return _budget(c, o) - F.coalesce(dbl(c("actual")), F.lit(0.0))
 
 
 def _projected(c, o) -> Column:
@@ -163,10 +167,10 @@ MEASURES: Mapping[str, Measure] = {
     "Month over Month %": _growth(1),
     "Previous Year Cost": Measure("cost", lambda c, o: c("earlier"), ("actual",), shift=12),
     "Year over Year %": _growth(12),
-    "Budget Amount": Measure("cost", lambda c, o: F.lit(o.budget), ("actual",)),
+    "Budget Amount": Measure("cost", _budget, ("actual",)),
     "Budget Remaining": Measure("cost", _remaining, ("actual",)),
-    "Budget Remaining %": Measure("cost", lambda c, o: safe_divide(_remaining(c, o), F.lit(o.budget)), ("actual",)),
-    "Budget Utilization %": Measure("cost", lambda c, o: safe_divide(c("actual"), F.lit(o.budget)) * o.scale, ("actual",)),
+    "Budget Remaining %": Measure("cost", lambda c, o: safe_divide(_remaining(c, o), _budget(c, o)), ("actual",)),
+    "Budget Utilization %": Measure("cost", lambda c, o: safe_divide(c("actual"), _budget(c, o)) * o.scale, ("actual",)),
     "Projected EOM Spend": Measure("cost", _projected, ("actual", "lastDayOfMonth")),
     "Reservation Cost": _of("cost", "reservation"),
     "Savings Plan Cost": _of("cost", "savingsPlan"),
@@ -200,11 +204,14 @@ MEASURES: Mapping[str, Measure] = {
 
 @dataclass(frozen=True)
 class Options:
-    """``scale`` 100 gives percentages, 1 plain ratios; ``cpu_scale`` 1 keeps the limits as shares,
-    100 compares them with percentages."""
+    """``budget`` is one amount for every cell, or a frame of some ``group_by`` columns and
+    ``budgetAmount``. ``scale`` 100 gives percentages, 1 plain ratios; ``cpu_scale`` 1 keeps the
+    limits as shares, 100 compares them with percentages. The projection of the month uses
+    ``as_of``; ``corrected`` counts the days of the month, ``elapsed_from_data`` divides by the
+    last day with cost."""
 
     as_of: datetime | None = None
-    budget: float = float(BUDGET_AMOUNT)
+    budget: float | DataFrame = float(BUDGET_AMOUNT)
     scale: float = 100.0
     cpu_scale: float = 1.0
     corrected: bool = False
@@ -337,6 +344,8 @@ def measures(
             aggregates.append(F.count_distinct(F.when(F.col(flag), F.col("resourceKey"))).alias(f"resources_{flag}"))
     cells = _filtered(partial, where).groupBy(*group_by).agg(*aggregates)
 
+    if isinstance(option.budget, DataFrame):
+        cells = _same(cells, option.budget, [c for c in option.budget.columns if c != "budgetAmount"])
     if any(m.daily for m in chosen.values()):
         cells = _same(cells, _spread(star, group_by, where), group_by)
     for months in sorted(shifts):

@@ -59,9 +59,8 @@ def freshness(star: Star, as_of: datetime) -> DataFrame:
 def completeness(star: Star) -> DataFrame:
     """Per month: calendar days, days with cost and rows, between the first and the last cost day."""
     days = star.cost(["dateKey"]).groupBy("dateKey").agg(F.count(F.lit(1)).alias("costRows"))
-    span = days.agg(F.min("dateKey").alias("first"), F.max("dateKey").alias("last"))
-    expected = star.dim_date.select("dateKey", "yearMonth").join(
-        F.broadcast(span), F.col("dateKey").between(F.col("first"), F.col("last")))
+    first, last = days.agg(F.min("dateKey")).scalar(), days.agg(F.max("dateKey")).scalar()
+    expected = star.dim_date.select("dateKey", "yearMonth").filter(F.col("dateKey").between(first, last))
     return (
         expected.join(days, "dateKey", "left").groupBy("yearMonth")
         .agg(F.count(F.lit(1)).alias("calendarDays"), F.count("costRows").alias("costDays"),

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_key_of, stamp
+from ..functions.columns import broadcast_up_to, date_key_of, stamp
 from ..operators.calendar import calendar_of
 from ..operators.costs import TAG_COLUMNS
 from ..sources.exports import latest_export, read_export
@@ -184,7 +184,7 @@ def cost_rows(export: DataFrame, lake: Lake) -> DataFrame:
         (lake.read("dim_benefit"), "reservationId", "benefitKey", "left"),
     )
     for dimension, natural_key, surrogate_key, how in lookups:
-        rows = rows.join(dimension.select(natural_key, surrogate_key), natural_key, how)
+        rows = rows.join(broadcast_up_to(dimension.select(natural_key, surrogate_key)), natural_key, how)
     return rows
 
 

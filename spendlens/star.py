@@ -22,6 +22,11 @@ class Star:
         """A view of the same star with some tables replaced."""
         return _Overlay(self, tables)
 
+    def as_was(self) -> "Star":
+        """The same star with every resource version treated as current, so facts recorded under an
+        expired version keep their resource."""
+        return self.with_tables(dim_resource=self.dim_resource.withColumn("isCurrent", F.lit(True)))
+
     def cost(
         self, columns: Sequence[str], since: date | None = None, until: date | None = None
     ) -> DataFrame:

@@ -11,10 +11,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def make_session() -> SparkSession:
+    from spendlens.session import configured
+
     spark = (
-        SparkSession.builder.master("local[8]").appName("spendlens-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        configured(SparkSession.builder.master("local[8]").appName("spendlens-tests"), shuffle_partitions=8)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

@@ -96,6 +96,11 @@ def test_summary_of_nothing(spark):
     assert (row.total_resources_analyzed, row.anomalies_detected, row.alerts_high) == (0, 0, 0)
 
 
+def test_thresholds_come_from_settings():
+    assert anomaly.Thresholds.from_settings({}) == anomaly.Thresholds(2.0, 10.0, 0.8)
+    assert anomaly.Thresholds.from_settings({"ZScoreThreshold": "3", "MinCostThreshold": "0.5"}) == anomaly.Thresholds(3.0, 0.5)
+
+
 def test_subscription_is_required():
     with pytest.raises(ValueError):
         anomaly.require_subscription("")

@@ -71,6 +71,7 @@ def test_percentiles_cover_all_groups_of_a_series(spark):
     assert rows["b"].utilizationStatus == "Overutilized"
     assert {r.p50Value for r in rows.values()} == {20.0}
     assert rows["a"].p95Value == pytest.approx(83.0)
+    assert {r.p95Value for r in enrichment.daily_metrics_summary(star, NOW, approximate=True).collect()} == {90.0}
 
 
 def test_rollup(spark):

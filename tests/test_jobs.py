@@ -109,6 +109,23 @@ def test_advisor_update_equals_brute_force(spark):
     assert sorted(map(str, actual)) == sorted(map(str, expected)) and rows
 
 
+def test_advisor_status_is_translated(spark):
+    saved = [{"dateKey": 20240301, "resourceKey": 1, "resourceId": f"/res/{i}", "recommendationType": "Spot", "potentialMonthlySavings": 1,
+              "potentialAnnualSavings": 12, "status": "InProgress", "priority": "Low", "recommendationDate": date(2024, 3, 1)} for i in (1, 2, 3)]
+    star = small_star(spark, savings=saved)
+    recs = spark.createDataFrame(
+        [(f"r{i}", f"/res/{i}", "SpotVm", "Spot Instances", status, 5.0, "High") for i, status in ((1, "Dismissed"), (2, "Postponed"))],
+        "id string, resourceId string, recommendationTypeId string, recommendationCategory string, status string, "
+        "potentialMonthlySavings double, priority string",
+    ).withColumns({"potentialMonthlySavings": F.col("potentialMonthlySavings").cast("decimal(18,2)"), "lastUpdated": F.lit(NOW),
+                   "createdTime": F.lit(NOW), "shortDescription": F.lit("text")})
+    rows = by(recommendations.advisor_update(star, NOW, recs), "resourceId")
+    assert [rows[f"/res/{i}"].status for i in (1, 2, 3)] == ["Rejected", "Pending", "InProgress"]
+    assert (rows["/res/1"].potentialAnnualSavings, rows["/res/3"].potentialAnnualSavings) == (60, 12)
+    added = by(recommendations.advisor_insert(star, None, recs), "resourceId")
+    assert [added[f"/res/{i}"].status for i in (1, 2)] == ["Rejected", "Pending"]
+
+
 def test_detection_request(lake, spark):
     costs = [cost_row(date(2024, 3, 1) + timedelta(days=i), 5000 if i == 6 else 100 + i % 3, resource=2, subscription=2) for i in range(14)]
     lake.append("fact_cost_daily", table(spark, "fact_cost_daily", costs))

@@ -39,6 +39,15 @@ def test_previous_day_is_the_previous_present_day(spark):
     assert (last.activeResourceCount, last.uniqueServiceCount, last.forecastedCost) == (2, 2, 0)
 
 
+def test_forecast_fills_its_column(spark):
+    star = small_star(spark, cost=[cost_row(date(2024, 3, 1), 5), cost_row(date(2024, 3, 2), 5)])
+    forecast = spark.createDataFrame([(date(2024, 3, 2), "sub-1", 9)], "date date, subscriptionId string, forecastedCost int")
+    rows = by(kpis.executive_kpis(star, NOW, forecast), "date")
+    assert [rows[date(2024, 3, d)].forecastedCost for d in (1, 2)] == [0, 9]
+    counts = by(kpis.executive_kpis(star, NOW, approximate_counts=True), "date")
+    assert counts[date(2024, 3, 1)].activeResourceCount == 1
+
+
 def test_boundary_day_needs_a_midnight_as_of(spark):
     star = small_star(spark, cost=[cost_row(date(2024, 1, 15), 5)])
     assert kpis.mom_growth(star, datetime(2024, 3, 15)).count() == 1
@@ -70,7 +79,7 @@ def test_utilization_status_and_missing_cost(spark):
         (date(2024, 3, 11), 2): "Optimal", (date(2024, 3, 12), 2): "Overutilized"}
     assert rows[date(2024, 3, 10), 2].costPerCpuPercent == 2.0
     assert rows[date(2024, 3, 10), 1].totalCost is None and rows[date(2024, 3, 10), 1].costPerCpuPercent == 0.0
-    assert kpis.resource_utilization(star, NOW, as_was=True).count() == 6
+    assert kpis.resource_utilization(star.as_was(), NOW).count() == 6
 
 
 def test_unused_reservation_cost_by_benefit_utilization(spark):

@@ -65,6 +65,14 @@ def test_projection(star):
     assert fixed["2024-02"][1] == pytest.approx(80 / 15 * 31)
 
 
+def test_budget_table(spark, star):
+    budgets = spark.createDataFrame([("2024-01", 400), ("2024-02", 0)], "yearMonth string, budgetAmount int")
+    names = ["Budget Amount", "Budget Remaining", "Budget Remaining %", "Budget Utilization %"]
+    rows = by(measures.measures(star, names, ["yearMonth"], budget=budgets), "yearMonth")
+    assert tuple(rows["2024-01"])[1:] == (400.0, 300.0, 0.75, 25.0)
+    assert tuple(rows["2024-02"])[1:] == (0.0, -80.0, None, None) and tuple(rows["2024-03"])[1:] == (None,) * 4
+
+
 def test_one_day_cell_has_no_z(star):
     assert by(measures.measure(star, "Daily Z-Score", ["date"]), "date")[date(2024, 1, 31)]["Daily Z-Score"] is None
 
