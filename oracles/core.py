@@ -45,13 +45,13 @@ QUERIES = {
             FROM {_JOINED} WHERE d."date" >= {NOW} - INTERVAL 13 MONTH GROUP BY ALL) p
         ON p.subscriptionId = x.subscriptionId AND p.idx + 1 = x."year" * 12 + x."month" """,
     "mom_growth": f"""
-      , monthly AS (SELECT s.subscriptionId, s.subscriptionName, d."year", d."month", sum(f.actualCost) AS cost
+      , monthly AS (SELECT s.subscriptionId, s.subscriptionName, d."year", d."month", d."year" * 12 + d."month" AS idx,
+          sum(f.actualCost) AS cost
         FROM {_JOINED} WHERE d."date" >= {NOW} - INTERVAL 2 MONTH GROUP BY ALL)
       SELECT c.subscriptionId, c.subscriptionName, c."year", c."month", {m('c.cost', 'currentMonthCost')}, {m('p.cost', 'previousMonthCost')},
         {r('CASE WHEN p.cost > 0 THEN CAST(c.cost - p.cost AS DOUBLE) / CAST(p.cost AS DOUBLE) * 100 ELSE 0 END', 'momGrowthPercentage')},
         {m('c.cost - p.cost', 'momCostChange')}
-      FROM monthly c LEFT JOIN monthly p ON c.subscriptionId = p.subscriptionId
-        AND ((c."year" = p."year" AND c."month" = p."month" + 1) OR (c."year" = p."year" + 1 AND c."month" = 1 AND p."month" = 12))""",
+      FROM monthly c LEFT JOIN monthly p ON c.subscriptionId = p.subscriptionId AND c.idx = p.idx + 1""",
     "service_cost_breakdown": f"""
       SELECT {day('d."date"', 'date')}, s.subscriptionName, m.serviceName, m.meterCategory, m.meterSubCategory,
         {m('sum(f.actualCost)', 'totalCost')}, {m('sum(f.usageQuantity)', 'totalUsage')},

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dbl, ratio_or_zero, stamp
-from ..functions.dates import date_key, days_before, first_day_from
+from ..functions.dates import days_before, first_day_from, months_before
 from ..functions.severity import SEVERITIES, anomaly_type, confidence, severity_by_z, severity_by_z_and_impact
 from ..star import Star
 from .costs import cost_data
@@ -192,10 +192,14 @@ def detect_cost_anomalies(
     )
 
 
-def with_previous_costs(anomalies: DataFrame, star: Star) -> DataFrame:
-    """Fill the cost of the same subscription one day, one week and one month earlier."""
+def with_previous_costs(anomalies: DataFrame, star: Star, as_of: datetime) -> DataFrame:
+    """Fill the cost of the same subscription one day, one week and one month earlier.
+
+    ``anomalies`` holds scored days of the last 30 days; the history read ends one month before.
+    """
+    since = first_day_from(months_before(days_before(as_of, DETECTION_DAYS), 1))
     history = (
-        star.cost(["dateKey", "subscriptionKey", "actualCost"])
+        star.cost(["dateKey", "subscriptionKey", "actualCost"], since=since)
         .groupBy("dateKey", "subscriptionKey")
         .agg(F.sum("actualCost").alias("earlierCost"))
         .join(star.dim_date.select("dateKey", "date"), "dateKey")

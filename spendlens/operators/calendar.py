@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key_of
@@ -39,7 +39,9 @@ def calendar_between(spark: SparkSession, first: date, last: date) -> DataFrame:
     return _attributes(days)
 
 
-def calendar_of(days: DataFrame, day: Column) -> DataFrame:
-    """Gap-free calendar from the earliest to the latest day found in ``days``."""
-    span = days.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+def calendar_of(rows: DataFrame, column: str) -> DataFrame:
+    """Gap-free calendar over the days in ``rows``; ``column`` holds dates or date keys."""
+    span = rows.agg(F.min(column).alias("first"), F.max(column).alias("last"))
+    if span.schema["first"].dataType.typeName() != "date":
+        span = span.select(*[F.to_date(F.col(c).cast("string"), "yyyyMMdd").alias(c) for c in ("first", "last")])
     return _attributes(span.select(F.explode(F.sequence("first", "last")).alias("date")))

@@ -65,7 +65,7 @@ def _run_summary(star: Star) -> DataFrame:
 
 
 def _dim_date(star: Star) -> DataFrame:
-    return calendar_of(star.cost(["dateKey"]), F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd"))
+    return calendar_of(star.cost(["dateKey"]), "dateKey")
 
 
 def _measures(names: list[str], *group_by: str, **options) -> Callable[[Star], DataFrame]:
@@ -186,7 +186,7 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "resource_utilization_sample": lambda s: enrichment.resource_utilization_sample(s, AS_OF),
     "detect_cost_anomalies": lambda s: anomaly.detect_cost_anomalies(s, AS_OF),
     "anomalies_with_previous_costs": lambda s: anomaly.with_previous_costs(
-        s.fact_anomaly_daily.select("dateKey", "subscriptionKey", "actualCost", "zScore", "isAnomaly"), s
+        s.fact_anomaly_daily.select("dateKey", "subscriptionKey", "actualCost", "zScore", "isAnomaly"), s, AS_OF
     ),
     "generate_rightsizing": lambda s: recommendations.generate_rightsizing(s, AS_OF),
     "process_advisor_update": lambda s: recommendations.advisor_update(_seeded(s), AS_OF),

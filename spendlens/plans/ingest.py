@@ -204,7 +204,7 @@ def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[s
         written[table] = lake.append(table, rows.withColumn("rowCreatedDate", stamp(as_of)))
     versions = resource_versions(lake.read("dim_resource"), resources_of(export), as_of)
     written["dim_resource"] = lake.replace("dim_resource", versions)
-    days = calendar_of(export, F.col("Date")).join(lake.read("dim_date").select("dateKey"), "dateKey", "left_anti")
+    days = calendar_of(export, "Date").join(lake.read("dim_date").select("dateKey"), "dateKey", "left_anti")
     written["dim_date"] = lake.append("dim_date", days)
     facts = cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of))
     written["fact_cost_daily"] = lake.replace("fact_cost_daily", facts)

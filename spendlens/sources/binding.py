@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key_of, stamp
-from ..functions.dates import days_before
+from ..functions.dates import date_key, days_before
 from ..functions.metrics import CPU, FREE_MEMORY, NAMESPACES
 from ..operators.anomaly import detect_cost_anomalies
 from ..operators.calendar import calendar_between
@@ -356,6 +356,14 @@ class BoundStar(Star):
         """As if the rollup had run on every day of the history."""
         return storable(aggregate_daily_metrics(self, AS_OF, days=None))
 
+    def utilization(self, since=None, until=None):
+        """A lower bound limits the samples that are rolled up at all."""
+        if since is None:
+            return super().utilization(since, until)
+        first = datetime(since.year, since.month, since.day)
+        rows = storable(aggregate_daily_metrics(self, first, days=0))
+        return rows if until is None else rows.filter(F.col("dateKey") <= date_key(until))
+
     @cached_property
     def fact_anomaly_daily(self) -> DataFrame:
         return detect_cost_anomalies(self, AS_OF)
@@ -375,10 +383,12 @@ class BoundStar(Star):
     @cached_property
     def budgets(self) -> DataFrame:
         """Per subscription and month: nine tenths of the total of the month before."""
-        month = F.add_months(F.trunc(F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd"), "month"), 1)
-        return (
-            self.cost(["dateKey", "subscriptionId", "actualCost"])
-            .groupBy("subscriptionId", month.alias("monthStart"))
-            .agg((F.sum("actualCost") * F.lit("0.9").cast("decimal(2,1)")).cast("decimal(18,2)").alias("budgetAmount"))
-            .select("subscriptionId", F.year("monthStart").alias("year"), F.month("monthStart").alias("month"), "budgetAmount")
+        months = self.cost(["dateKey", "subscriptionKey", "actualCost"]).groupBy(
+            "subscriptionKey", F.floor(F.col("dateKey") / 100).alias("yearMonth")
+        ).agg(F.sum("actualCost").alias("cost"))
+        first_day = F.make_date(F.floor(F.col("yearMonth") / 100).cast("int"), (F.col("yearMonth") % 100).cast("int"), F.lit(1))
+        following = F.add_months(first_day, 1)
+        return months.join(self.dim_subscription.select("subscriptionKey", "subscriptionId"), "subscriptionKey").select(
+            "subscriptionId", F.year(following).alias("year"), F.month(following).alias("month"),
+            (F.col("cost") * F.lit("0.9").cast("decimal(2,1)")).cast("decimal(18,2)").alias("budgetAmount"),
         )

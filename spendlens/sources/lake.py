@@ -53,9 +53,10 @@ def read_or_empty(spark: SparkSession, path: str, fields: StructType) -> DataFra
 def write_days(df: DataFrame, path: str, day: str, mode: str) -> None:
     """Write by day: ``append`` adds, ``overwrite`` replaces exactly the days present in ``df``. The
     rebalance hint gathers a day in few files and lets adaptive execution split a day that is too
-    large for one task."""
+    large for one task; inside a file rows are ordered by resource."""
+    order = [day, *[c for c in ("resourceKey",) if c in df.columns]]
     (
-        df.hint("rebalance", day).write.mode(mode)
+        df.hint("rebalance", day).sortWithinPartitions(*order).write.mode(mode)
         .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     )
 

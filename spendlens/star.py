@@ -58,6 +58,8 @@ class Star:
 
 
 class _Overlay(Star):
+    """A star with some tables replaced; the others keep the base's own way of reading."""
+
     def __init__(self, base: Star, tables: dict[str, DataFrame]):
         super().__init__(**tables)
         self._base = base
@@ -65,10 +67,17 @@ class _Overlay(Star):
     def __getattr__(self, name: str):
         return getattr(self.__dict__["_base"], name)
 
+    def _owner(self, table: str):
+        return super() if table in self.__dict__ else self._base
+
     def cost(self, columns, since=None, until=None):
-        owner = super() if "fact_cost_daily" in self.__dict__ else self._base
-        return owner.cost(columns, since, until)
+        return self._owner("fact_cost_daily").cost(columns, since, until)
+
+    def utilization(self, since=None, until=None):
+        return self._owner("fact_utilization_daily").utilization(since, until)
+
+    def anomalies(self, since=None, until=None):
+        return self._owner("fact_anomaly_daily").anomalies(since, until)
 
     def metrics(self, since=None):
-        owner = super() if "raw_metrics_data" in self.__dict__ else self._base
-        return owner.metrics(since)
+        return self._owner("raw_metrics_data").metrics(since)
