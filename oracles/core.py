@@ -202,6 +202,18 @@ QUERIES = {
       SELECT 30 AS analysis_period_days, (SELECT count(DISTINCT resourceId) FROM fact) AS total_resources_analyzed,
         count(*) AS anomalies_detected, count(*) FILTER (severity = 'High') AS alerts_high,
         count(*) FILTER (severity = 'Medium') AS alerts_medium, count(*) FILTER (severity = 'Low') AS alerts_low FROM found""",
+    "anomaly_request": f"""
+      , days30 AS (SELECT r.resourceId, d."date", sum(f.actualCost) AS actualCost, min(r.subscriptionId) AS subscriptionId
+        FROM fact f JOIN dim_resource r ON f.resourceKey = r.resourceKey AND r.isCurrent JOIN dim_date d USING (dateKey)
+        WHERE d."date" BETWEEN {NOW} - INTERVAL 30 DAY AND {NOW} GROUP BY r.resourceId, d."date"),
+      learned AS (SELECT resourceId, avg(c) AS mean, stddev_pop(c) AS sd FROM (
+        SELECT resourceId, CAST(actualCost AS DOUBLE) AS c, row_number() OVER (PARTITION BY resourceId ORDER BY "date" DESC) AS back,
+          count(*) OVER (PARTITION BY resourceId) AS n FROM days30) WHERE n >= 7 AND back > 1 GROUP BY resourceId),
+      judged AS (SELECT x.*, mean, CAST(actualCost AS DOUBLE) - mean AS delta, (CAST(actualCost AS DOUBLE) - mean) / sd AS z
+        FROM days30 x JOIN learned USING (resourceId) WHERE sd > 0)
+      SELECT {_FOUND.replace(', severity,', """, CASE WHEN abs(z) >= 3 OR abs(delta) >= 1000 THEN 'High'
+        WHEN abs(z) >= 2 OR abs(delta) >= 100 THEN 'Medium' ELSE 'Low' END AS severity,""")}
+      FROM judged WHERE abs(z) >= 2 AND actualCost >= 10""",
     "anomaly_high_severity": f"""
       SELECT resourceId AS resource_id, {day('"date"', 'date')}, {m('actualCost', 'actual_cost')}, {r('mean', 'expected_cost')},
         {r('CASE WHEN mean > 0 THEN delta / mean * 100 ELSE 0 END', 'variance_percentage')}, {r('z', 'z_score')}

@@ -57,6 +57,15 @@ _TAGS = [("Environment", "env"), ("Application", "app"), ("Team", "team"), ("Cos
          ("BusinessUnit", "businessUnit"), ("Project", "NULL"), ("Service", "NULL"), ("Compliance", "NULL"),
          ("DataSensitivity", "NULL")]
 
+
+def _compliance(tags: list[tuple[str, str]]) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT businessUnit, '{tag}' AS tagName, CAST({column} AS VARCHAR) AS v FROM dim_resource WHERE isCurrent"
+        for tag, column in tags)
+    return f"""SELECT businessUnit, tagName, count(*) AS resources, count(*) FILTER (v IS NULL) AS missing,
+      {r('count(v) * 100.0::DOUBLE / count(*)', 'compliancePercentage')} FROM ({rows}) GROUP BY businessUnit, tagName"""
+
+
 QUERIES = {
     "measure_cost": f"""
       SELECT d.yearMonth, s.subscriptionName, {m('sum(f.actualCost)', 'Total Actual Cost')}, {m('sum(f.amortizedCost)', 'Total Amortized Cost')},
@@ -177,10 +186,8 @@ QUERIES = {
       SELECT CAST(strftime(DATE '2001-08-01' + h, '%Y%m%d') AS INTEGER) AS dateKey, subscriptionKey, {r('e', 'forecastedCost')},
         {r('e - resid * 1.96', 'confidenceIntervalLower')}, {r('e + resid * 1.96', 'confidenceIntervalUpper')}, {r('e', 'p50Forecast')},
         {r('e + resid * 1.2816', 'p90Forecast')}, 'Linear' AS modelType, h AS forecastHorizonDays, {ts(NOW, 'forecastDate')} FROM ahead""",
-    "tag_compliance": "SELECT businessUnit, tagName, count(*) AS resources, count(*) FILTER (v IS NULL) AS missing, "
-        "ROUND((count(*) - count(*) FILTER (v IS NULL)) * 100.0::DOUBLE / count(*), 6) AS compliancePercentage FROM ("
-        + " UNION ALL ".join(f"SELECT businessUnit, '{tag}' AS tagName, CAST({column} AS VARCHAR) AS v FROM dim_resource WHERE isCurrent"
-                             for tag, column in _TAGS) + ") GROUP BY businessUnit, tagName",
+    "tag_compliance": _compliance(_TAGS),
+    "tag_compliance_required": _compliance([t for t in _TAGS if t[0] in ("Environment", "Team")]),
     "unused_resources": f"""
       SELECT resourceKey, resourceId, resourceName, resourceType, resourceGroupName FROM dim_resource WHERE isCurrent AND resourceKey NOT IN (
         SELECT f.resourceKey FROM fact f JOIN dim_date d USING (dateKey) WHERE d."date" >= {NOW} - INTERVAL 30 DAY)""",

@@ -126,7 +126,7 @@ def run_detection(
 def require_subscription(subscription_id: str | None) -> str:
     """A detection request must name its subscription."""
     if not subscription_id:
-        raise ValueError("subscription_id parameter is required")
+        raise ValueError("a detection request needs a subscription id")
     return subscription_id
 
 

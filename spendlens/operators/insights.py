@@ -82,12 +82,17 @@ def budget_crossings(star: Star, budgets: DataFrame, thresholds: Sequence[int] =
     )
 
 
-def tag_compliance(star: Star, required: Sequence[str] = tuple(TAG_COLUMNS)) -> DataFrame:
-    """Per business unit and required tag: current resources and how many lack the tag."""
-    values = F.create_map(*[e for name in required for e in (F.lit(name), F.col(TAG_COLUMNS[name]))])
+def tag_compliance(star: Star, required: Sequence[str] | None = None) -> DataFrame:
+    """Per business unit and required tag: current resources and how many lack the tag. Without
+    ``required`` the tag dimension says which tags are."""
+    names = TAG_COLUMNS if required is None else required
+    values = F.create_map(*[e for name in names for e in (F.lit(name), F.col(TAG_COLUMNS[name]))])
     tagged = star.dim_resource.filter("isCurrent").select(
         F.col("businessUnit").alias("unit"), F.explode(values).alias("tagName", "tagValue")
     )
+    if required is None:
+        mandatory = star.dim_tag_kv.filter("isRequired").select(F.col("tagKeyName").alias("tagName"))
+        tagged = tagged.join(mandatory, "tagName", "left_semi")
     missing = F.count_if(F.col("tagValue").isNull() | (F.col("tagValue") == ""))
     return (
         tagged.groupBy("unit", "tagName").agg(F.count(F.lit(1)).alias("resources"), missing.alias("missing"))

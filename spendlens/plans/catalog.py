@@ -18,6 +18,7 @@ from ..operators.calendar import calendar_of
 from ..sources.tags import flatten_tags
 from .refresh import POLICIES, refreshed
 from ..functions.columns import conform
+from ..functions.dates import days_before, last_day_until
 from ..schema import schema
 from ..sources.binding import AS_OF, FIRST_DAY, BoundStar, metric_samples
 from ..sources.exports import latest_export, read_export
@@ -48,9 +49,11 @@ def _advisor_insert(star: BoundStar) -> DataFrame:
 
 
 def _utilization_upsert(star: BoundStar) -> DataFrame:
-    """The last seven days merged into the utilization kept so far."""
+    """The last seven days merged into the utilization kept until four days ago: three days are
+    updated, the rest is added."""
     source = rollup.storable(rollup.aggregate_daily_metrics(star, AS_OF))
-    return rollup.upserted(star.fact_utilization_daily, source, rollup.KEYS, rollup.MEASURES)
+    kept = star.utilization(until=last_day_until(days_before(AS_OF, 4)))
+    return rollup.upserted(kept, source, rollup.KEYS, rollup.MEASURES)
 
 
 def _tags_as_columns(rows: DataFrame) -> DataFrame:
@@ -204,6 +207,7 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "anomaly_result_records": lambda s: anomaly.result_records(detect_over_history(s), AS_OF),
     "anomaly_severity_counts": lambda s: anomaly.severity_counts(detect_over_history(s)),
     "anomaly_run_summary": _run_summary,
+    "anomaly_request": lambda s: anomaly.run_detection(s, AS_OF)[1],
     "anomaly_high_severity": lambda s: anomaly.high_severity(detect_over_history(s)),
     "dim_date": _dim_date,
     "measure_cost": _measures(
@@ -254,7 +258,8 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "tags_flattened": lambda s: flatten_tags(s.sample("events").select("event_id", "event_type", "props"), tags="props"),
     "refresh_window": _refresh_window,
     "linear_forecast": lambda s: insights.linear_forecast(s, AS_OF),
-    "tag_compliance": insights.tag_compliance,
+    "tag_compliance": lambda s: insights.tag_compliance(s, list(costs.TAG_COLUMNS)),
+    "tag_compliance_required": insights.tag_compliance,
     "unused_resources": lambda s: insights.unused_resources(s, AS_OF),
     "idle_resources": lambda s: insights.idle_resources(s, AS_OF),
     "empty_resource_groups": insights.empty_resource_groups,

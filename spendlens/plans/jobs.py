@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import stamp
 from ..functions.dates import date_key, days_before, first_day_from
-from ..operators import anomaly, recommendations, rollup
+from ..operators import anomaly, insights, recommendations, rollup
 from ..sources.lake import Lake, LakeStar, staged
 from .refresh import POLICIES, refreshed
 
@@ -56,6 +56,14 @@ def run_rollup(lake: Lake, as_of: datetime) -> int:
     return lake.upsert("fact_utilization_daily", _created(rows, as_of), rollup.KEYS, rollup.MEASURES)
 
 
+def run_forecast(lake: Lake, as_of: datetime) -> int:
+    """Forecast rows by target day, subscription and horizon; a later forecast of the same day and
+    horizon replaces the earlier one."""
+    rows = _created(insights.linear_forecast(LakeStar(lake), as_of), as_of)
+    keys = ["dateKey", "subscriptionKey", "forecastHorizonDays"]
+    return lake.upsert("fact_forecast_daily", rows, keys, [c for c in rows.columns if c not in keys])
+
+
 def run_refresh(lake: Lake, table: str, incoming: DataFrame, as_of: datetime) -> int:
     """Replace the days of the table's reload window by ``incoming``."""
     since = date_key(POLICIES[table].reload_from(as_of))

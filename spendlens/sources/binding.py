@@ -293,11 +293,11 @@ class BoundStar(Star):
 
     @cached_property
     def dim_tag_kv(self) -> DataFrame:
-        """Tag values in use; env and team are required."""
+        """Tag values in use; environment and team are required."""
         tags = self.dim_resource.select(F.explode(F.create_map(
-            F.lit("env"), F.col("env"), F.lit("app"), F.col("app"), F.lit("team"), F.col("team")
+            F.lit("Environment"), F.col("env"), F.lit("Application"), F.col("app"), F.lit("Team"), F.col("team")
         )).alias("tagKeyName", "tagValue")).distinct()
-        return tags.withColumn("isRequired", F.col("tagKeyName").isin("env", "team"))
+        return tags.withColumn("isRequired", F.col("tagKeyName").isin("Environment", "Team"))
 
     # --- landing tables ---------------------------------------------------------------------
 

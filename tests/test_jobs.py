@@ -73,6 +73,13 @@ def test_upsert_keeps_keys_unique_and_other_days(lake, spark):
     assert quality.duplicate_keys(lake.read("fact_utilization_daily"), *rollup.KEYS).count() == 0
 
 
+def test_forecast_is_replaced_by_a_later_run(lake):
+    assert jobs.run_forecast(lake, NOW) == 3 and jobs.run_forecast(lake, NOW) == 3
+    rows = by(lake.read("fact_forecast_daily"), "forecastHorizonDays")
+    assert len(rows) == 3 and rows[30].dateKey == 20240414 and lake.read("fact_forecast_daily").count() == 3
+    assert rows[30].p90Forecast >= rows[30].forecastedCost == rows[30].p50Forecast
+
+
 def test_merge_leaves_unlisted_columns(spark):
     target = spark.createDataFrame([(1, 1, "a", 5), (1, 2, "b", 6)], "dateKey int, resourceKey int, note string, v int")
     source = spark.createDataFrame([(1, 2, "x", 7), (1, 3, "y", 8)], "dateKey int, resourceKey int, note string, v int")
