@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import broadcast_up_to, text
 from ..functions.dates import days_before, first_day_from, last_day_until
+from ..functions.staging import staged
 from ..star import Star
 
 # Tag names and the resource columns they come from.
@@ -182,8 +183,10 @@ def anomalous_cost_data(
         .groupBy("dateKey", "resourceKey").agg(F.sum("actualCost").alias("dailyCost"))
         .join(star.dim_date.select("dateKey"), "dateKey")
     )
-    flagged = rolling_anomalies(daily).join(
-        star.current_resources("resourceId", "resourceName"), "resourceKey"
+    # Written first, so its real size is known: a small result is broadcast and the raw rows are
+    # not shuffled, a large one is joined by a shuffle.
+    flagged = staged(
+        rolling_anomalies(daily).join(star.current_resources("resourceId", "resourceName"), "resourceKey"), "flagged"
     )
     rows = (
         star.cost(["dateKey", "resourceKey", "meterKey", "actualCost", "amortizedCost", "costInUSD"], **span)

@@ -22,7 +22,8 @@ from ..functions.dates import days_before, last_day_until
 from ..schema import schema
 from ..sources.binding import AS_OF, FIRST_DAY, BoundStar, metric_samples
 from ..sources.exports import latest_export, read_export
-from ..sources.lake import read_or_empty, work_folder
+from ..functions.staging import work_folder
+from ..sources.lake import read_or_empty
 from ..star import Star
 from ..streaming.alerts import alert_stream, run_alerts
 from ..streaming.metrics import daily_statistics, run_rollup_stream

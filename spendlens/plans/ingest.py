@@ -12,7 +12,8 @@ from ..functions.columns import broadcast_up_to, date_key_of, stamp
 from ..operators.calendar import calendar_of
 from ..operators.costs import TAG_COLUMNS
 from ..sources.exports import latest_export, read_export
-from ..sources.lake import Lake, staged
+from ..functions.staging import staged
+from ..sources.lake import Lake
 
 NUMBERING_BUCKETS = 1024
 # Attributes whose change opens a new resource version.

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import stamp
 from ..functions.dates import date_key, days_before, first_day_from
 from ..operators import anomaly, insights, recommendations, rollup
-from ..sources.lake import Lake, LakeStar, staged
+from ..functions.staging import staged
+from ..sources.lake import Lake, LakeStar
 from .refresh import POLICIES, refreshed
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
@@ -10,11 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 from stars import NOW, by, cost_row, sample, small_star, table
 
-from spendlens.operators import anomaly, quality, recommendations, rollup
+from spendlens.operators import anomaly, kpis, quality, recommendations, rollup
 from spendlens.plans import ingest, jobs
 from spendlens.schema import schema
 from spendlens.sources.exports import EXPORT_COLUMNS, latest_export, read_export
-from spendlens.sources.lake import Lake, LakeStar, landed_json, work_folder
+from spendlens.functions.staging import work_folder
+from spendlens.sources.lake import Lake, LakeStar, landed_json
 from spendlens.streaming import alerts as alert_streams
 from spendlens.streaming import metrics as metric_streams
 
@@ -207,6 +209,11 @@ def test_load_exports(spark, tmp_path):
     assert {r.dateKey: int(r.actualCost) for r in star.cost(["dateKey", "actualCost"]).collect()} == {20240105: 5, 20240106: 2, 20240107: 6}
 
 
+def test_date_bounds_prune_directories(lake, capsys):
+    kpis.mom_growth(LakeStar(lake), NOW).explain("formatted")
+    assert "dateKey#" in re.search(r"PartitionFilters: \[(.*)\]", capsys.readouterr().out).group(1)
+
+
 def test_numbering_is_dense_and_repeatable(spark):
     members = spark.range(5000).select(F.concat(F.lit("m"), "id").alias("name")).repartition(13)
     once = {r.name: r.key for r in ingest.numbered(members, "name", "key", F.lit(10)).collect()}
