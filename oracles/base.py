@@ -229,7 +229,7 @@ sub_scored AS (
   FROM sub_days d JOIN sub_stats s ON d.subscriptionKey = s.subscriptionKey
 ),
 anomaly_fact AS (
-  SELECT dateKey, CAST(NULL AS INTEGER) AS resourceKey, subscriptionKey, dailyCost AS actualCost, avgCost AS expectedCost,
+  SELECT dateKey, CAST(NULL AS BIGINT) AS resourceKey, subscriptionKey, dailyCost AS actualCost, avgCost AS expectedCost,
          variance AS costVariance, CASE WHEN avgCost > 0 THEN variance / avgCost * 100 ELSE 0 END AS variancePercentage,
          z AS zScore, CASE WHEN dailyCost > avgCost THEN 'Spike' ELSE 'Drop' END AS anomalyType,
          CASE WHEN abs(z) >= 3 THEN 'High' WHEN abs(z) >= 2 THEN 'Medium' ELSE 'Low' END AS severity,

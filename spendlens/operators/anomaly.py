@@ -181,7 +181,7 @@ def detect_cost_anomalies(
         scored = scored.join(known, ["dateKey", "subscriptionKey"], "left_anti")
     expected, score = F.col("expectedCost"), F.col("zScore")
     return scored.select(
-        "dateKey", F.lit(None).cast("int").alias("resourceKey"), "subscriptionKey", "actualCost",
+        "dateKey", F.lit(None).cast("bigint").alias("resourceKey"), "subscriptionKey", "actualCost",
         "expectedCost", "costVariance",
         (ratio_or_zero(F.col("costVariance"), expected) * 100).alias("variancePercentage"),
         "zScore",

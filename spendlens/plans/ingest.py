@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import broadcast_up_to, date_key_of, stamp
+from ..functions.staging import staged
 from ..operators.calendar import calendar_of
 from ..operators.costs import TAG_COLUMNS
 from ..sources.exports import latest_export, read_export
-from ..functions.staging import staged
 from ..sources.lake import Lake
 
 NUMBERING_BUCKETS = 1024
@@ -36,7 +36,7 @@ def numbered(members: DataFrame, natural_key: str, surrogate_key: str, start: Co
     position = F.row_number().over(Window.partitionBy("_bucket").orderBy(natural_key))
     return (
         bucketed.withColumn("_position", position).join(F.broadcast(offsets), "_bucket")
-        .withColumn(surrogate_key, (start + F.col("_offset") + F.col("_position")).cast("int"))
+        .withColumn(surrogate_key, start + F.col("_offset") + F.col("_position"))
         .drop("_bucket", "_position", "_offset")
     )
 

@@ -17,7 +17,7 @@ _DDL = {
         yearMonth string, yearQuarter string, billingPeriodStart date, billingPeriodEnd date,
         dayOfWeek int, dayOfWeekName string, isWeekend boolean, isMonthEnd boolean,
         isQuarterEnd boolean, isYearEnd boolean""",
-    "dim_resource": """resourceKey int, resourceId string, resourceName string, resourceType string,
+    "dim_resource": """resourceKey bigint, resourceId string, resourceName string, resourceType string,
         resourceGroupName string, subscriptionId string, subscriptionName string, location string,
         sku string, capacity string, env string, app string, team string, costCenter string,
         ownerUpn string, businessUnit string, project string, service string, compliance string,
@@ -34,7 +34,7 @@ _DDL = {
         businessUnit string, project string, rowCreatedDate timestamp_ntz""",
     "dim_region": """regionKey int, regionName string, regionDisplayName string, country string,
         continent string, timeZone string, rowCreatedDate timestamp_ntz""",
-    "dim_meter": """meterKey int, meterId string, meterName string, meterCategory string,
+    "dim_meter": """meterKey bigint, meterId string, meterName string, meterCategory string,
         meterSubCategory string, serviceName string, serviceTier string, serviceFamily string,
         unitOfMeasure string, unitPrice decimal(18,6), currency string, rowCreatedDate timestamp_ntz""",
     "dim_offer": """offerKey int, offerId string, offerName string, offerType string,
@@ -45,8 +45,8 @@ _DDL = {
         monthlySavings decimal(18,2), rowCreatedDate timestamp_ntz""",
     "dim_tag_kv": """tagKey int, tagKeyName string, tagValue string, tagCategory string,
         isRequired boolean, rowCreatedDate timestamp_ntz""",
-    "fact_cost_daily": """dateKey int, resourceKey int, subscriptionKey int, resourceGroupKey int,
-        regionKey int, meterKey int, offerKey int, benefitKey int, resourceId string,
+    "fact_cost_daily": """dateKey int, resourceKey bigint, subscriptionKey int, resourceGroupKey int,
+        regionKey int, meterKey bigint, offerKey int, benefitKey int, resourceId string,
         subscriptionId string, meterId string, billingPeriodStartDate date,
         billingPeriodEndDate date, usageQuantity decimal(18,6), effectivePrice decimal(18,6),
         unitPrice decimal(18,6), actualCost decimal(18,2), amortizedCost decimal(18,2),
@@ -54,21 +54,21 @@ _DDL = {
         isReservationCharge boolean, isSavingsPlanCharge boolean, isCredit boolean,
         isRefund boolean, chargeType string, frequency string, invoiceId string,
         additionalInfo string, rowCreatedDate timestamp_ntz""",
-    "fact_utilization_daily": """dateKey int, resourceKey int, resourceId string,
+    "fact_utilization_daily": """dateKey int, resourceKey bigint, resourceId string,
         avgCpuPercentage decimal(5,2), maxCpuPercentage decimal(5,2),
         avgMemoryPercentage decimal(5,2), maxMemoryPercentage decimal(5,2),
         avgDiskIOPS decimal(18,2), maxDiskIOPS decimal(18,2), avgNetworkIOPS decimal(18,2),
         maxNetworkIOPS decimal(18,2), avgThroughput decimal(18,2), maxThroughput decimal(18,2),
         idlePercentage decimal(5,2), uptimeHours decimal(8,2), downtimeHours decimal(8,2),
         availabilityPercentage decimal(5,2), rowCreatedDate timestamp_ntz""",
-    "fact_savings_opportunity": """dateKey int, resourceKey int, resourceId string,
+    "fact_savings_opportunity": """dateKey int, resourceKey bigint, resourceId string,
         recommendationType string, recommendationDescription string,
         potentialMonthlySavings decimal(18,2), potentialAnnualSavings decimal(18,2),
         realizedMonthlySavings decimal(18,2), realizedAnnualSavings decimal(18,2), status string,
         priority string, estimatedImplementationHours int, actualImplementationHours int,
         recommendationDate date, implementationDate date, rowCreatedDate timestamp_ntz,
         rowModifiedDate timestamp_ntz""",
-    "fact_anomaly_daily": """dateKey int, resourceKey int, subscriptionKey int,
+    "fact_anomaly_daily": """dateKey int, resourceKey bigint, subscriptionKey int,
         actualCost decimal(18,2), expectedCost decimal(18,2), costVariance decimal(18,2),
         variancePercentage double, zScore double, anomalyType string, severity string,
         isAnomaly boolean, previousDayCost decimal(18,2), previousWeekCost decimal(18,2),

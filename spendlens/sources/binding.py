@@ -155,11 +155,11 @@ class BoundStar(Star):
         line = (c("l_linenumber") % 4).cast("int")
         return {
             "dateKey": date_key_of(c("l_shipdate")),
-            "resourceKey": c("l_suppkey").cast("int"),
+            "resourceKey": c("l_suppkey"),
             "subscriptionKey": c("s_nationkey") + 1,
             "resourceGroupKey": c("s_nationkey") + 1,
             "regionKey": c("n_regionkey") + 1,
-            "meterKey": c("l_partkey").cast("int"),
+            "meterKey": c("l_partkey"),
             "offerKey": F.lit(1),
             "benefitKey": F.when(c("l_returnflag") == "R", line + 1).when(c("l_returnflag") == "A", line + 5),
             "resourceId": F.concat(F.lit("/res/"), c("l_suppkey")),
@@ -233,7 +233,7 @@ class BoundStar(Star):
         return self.sample("supplier").join(
             self._nations, F.col("s_nationkey") == nation
         ).select(
-            key.cast("int").alias("resourceKey"),
+            key.alias("resourceKey"),
             F.concat(F.lit("/res/"), key).alias("resourceId"),
             F.col("s_name").alias("resourceName"),
             _pick(kinds, key % 3).alias("resourceType"),
@@ -257,7 +257,7 @@ class BoundStar(Star):
     @cached_property
     def dim_meter(self) -> DataFrame:
         return self.sample("part").select(
-            F.col("p_partkey").cast("int").alias("meterKey"),
+            F.col("p_partkey").alias("meterKey"),
             F.concat(F.lit("meter-"), F.col("p_partkey")).alias("meterId"),
             F.col("p_name").alias("meterName"),
             F.col("p_type").alias("meterCategory"),
