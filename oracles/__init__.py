@@ -1,4 +1,4 @@
-"""Reference answers: one DuckDB statement per registered query, over the sample tables.
+"""Expected answers: one DuckDB statement per registered query, over the sample tables.
 
 Written as plain SQL over common table expressions that mirror the binding, independent of the
 Spark operators (self joins and subqueries where the operators use windows or partial results).
