@@ -141,8 +141,10 @@ _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _compare_blocks(group: pa.Table) -> pa.Table:
-    """Pairs of different components whose signatures are near; ``side`` 0 meets ``side`` 1, and
-    within a block everything meets everything."""
+    """Pairs of different components whose sizes and signatures are near; ``side`` 0 meets ``side``
+    1, and within a block everything meets everything. Only the first bucket that two documents
+    share gives their pair."""
+    band, size = group.column("band")[0].as_py(), group.column("n_shingles").to_numpy()
     bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
     ids, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
     side = group.column("side").to_numpy()
@@ -150,7 +152,11 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     found_a, found_b = [], []
     for i in left.tolist():
         other = right[(component[right] != component[i]) & (ids[right] != ids[i])]
-        other = other[(bins[other] == bins[i]).sum(axis=1) >= NEAR] if len(other) else other
+        other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
+        if len(other):
+            same = bins[other] == bins[i]
+            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            other = other[(same.sum(axis=1) >= NEAR) & (first == band)]
         found_a.append(np.minimum(ids[i], ids[other]))
         found_b.append(np.maximum(ids[i], ids[other]))
     pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], axis=1), axis=0) \
@@ -206,9 +212,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     .agg(F.min("doc_id").alias("doc")), "sets")
     distinct = groups.join(sketch, (groups.digest == sketch.digest) & (groups.doc == sketch.doc_id), "left_semi")
     bands = sketch.join(distinct.select(F.col("doc").alias("doc_id"), F.col("digest")), ["doc_id", "digest"],
-                        "left_semi").select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket"))
+                        "left_semi").select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "bucket"))
     centres = bands.groupBy("bucket").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).filter("centre < last")
-    members = staged(bands.join(centres.select("bucket", "centre"), "bucket").distinct(), "buckets")
+    members = staged(bands.join(centres.select("bucket", "centre"), "bucket").dropDuplicates(["bucket", "doc"]), "buckets")
 
     active = staged(members.select("doc").distinct(), "active")
     few = active.count() <= BROADCAST_IDS
@@ -220,18 +226,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = staged(_confirmed(stars, texts), "links")
     label = components(links)
 
-    named = members.join(label, "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
+    named = members.join(label, "doc", "left").select("bucket", "band", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                         F.count(F.lit(1)).alias("size")).filter("low < high AND size > 2")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     open_members = (
         named.join(mixed.select("bucket", "size"), "bucket")
-        .join(sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bins").dropDuplicates(["doc"]), "doc")
+        .join(sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bins", "n_shingles").dropDuplicates(["doc"]), "doc")
         .withColumn("blocks", blocks).withColumn("block", block)
         .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
-                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "doc", "component", "bins"))
+                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "doc", "component", "n_shingles", "bins"))
     rest = open_members.groupBy("bucket", "one", "two").applyInArrow(_compare_blocks, "a long, b long").distinct()
     more = staged(_confirmed(rest, texts), "links")
     if more.limit(1).count():

@@ -7,18 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
+from . import bpe, minhash, packing, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), "word_bpe_49k.json", closing=2)
+
+
+def op6_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.round_trip(_documents(spark, sf_dir), "byte_bpe_50k.json", digests=True)
+    return coded.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.token_counts(_documents(spark, sf_dir), "byte_bpe_50k.json")
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_vector_packing": op4_vector_packing,
+    "op6_pair_index_bpe": op6_pair_index_bpe,
+    "op7_token_counts": op7_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
