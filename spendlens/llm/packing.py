@@ -27,6 +27,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .segments import vocabulary_path
+from .segments import tokenizer
 from .shipping import ship
 from .words import slices
 
@@ -54,12 +55,8 @@ class _Words(dict):
     LIMIT = 600_000
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = tokenizer(vocabulary)
         self.reset()
 
     def reset(self) -> None:
@@ -85,7 +82,7 @@ class _Words(dict):
             self.begin = np.concatenate([self.begin, begin])
             self.size = np.concatenate([self.size, sizes])
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        words = np.fromiter((self[w] for x in split for w in x), dtype=np.int64, count=int(counts.sum()))
+        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
         sizes = self.size[words]
         total = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         source = np.arange(total[-1]) + np.repeat(self.begin[words] - total[:-1], sizes)

@@ -25,6 +25,17 @@ def vocabulary_path(vocabulary: str) -> str:
     return public_tokenizers.path(vocabulary)
 
 
+def tokenizer(vocabulary: str):
+    """The library's tokenizer, whole texts, one thread: Spark has the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(vocabulary_path(vocabulary))
+    made.no_truncation()
+    made.no_padding()
+    return made
+
+
 class SegmentCache:
     """Values of segments, kept for the life of a worker and begun anew beyond ``limit`` entries.
 

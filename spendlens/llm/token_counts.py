@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .segments import SegmentCache, vocabulary_path
+from .segments import SegmentCache, tokenizer
 from .shipping import ship
 from .words import buffers, slices
 
@@ -75,11 +75,7 @@ def frequent_segments(docs: DataFrame) -> list[str]:
 
 class _Counter:
     def __init__(self, vocabulary: str, known: dict[str, int]):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = tokenizer(vocabulary)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = SegmentCache(self.encode, special, known=known)
 
