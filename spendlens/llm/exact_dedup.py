@@ -20,13 +20,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.staging import staged, work_folder
 
-_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State in RocksDB; without files allocated ahead, since there are many small stores.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 #: Digests of hits that are broadcast (64 bytes each) to pick the rows to compare.
 BROADCAST_HITS = 500_000
 ARRIVAL = "digest string, doc_id bigint, file string, row bigint"
@@ -52,23 +58,28 @@ def _holder() -> Column:
     return F.max(F.struct("doc_id", "file", "row"))
 
 
-def fold(arrivals: str, checkpoint: str, spark) -> DataFrame:
+def fold(arrivals: str, checkpoint: str, spark: SparkSession) -> DataFrame:
     """Fold what is new in the folder of arrivals into the keyed state and return the state:
     digest, holder (doc_id, file, row), size."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, _STATE)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         stream = spark.readStream.schema(ARRIVAL).parquet(arrivals)
         query = (stream.groupBy("digest").agg(_holder().alias("holder"), F.count(F.lit(1)).alias("size"))
                  .writeStream.outputMode("update").format("noop").trigger(availableNow=True)
                  .option("checkpointLocation", checkpoint).start())
         query.awaitTermination()
+        return _read_state(spark, checkpoint)
     finally:
-        spark.conf.set(provider, before)
-    return spark.read.format("statestore").load(checkpoint).select(
-        F.col("key.digest").alias("digest"), F.col("value").getField("max").alias("holder"),
-        F.col("value").getField("count").alias("size"))
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    state = spark.read.format("statestore").load(checkpoint)
+    return staged(state.select(F.col("key.digest").alias("digest"), F.col("value").getField("max").alias("holder"),
+                               F.col("value").getField("count").alias("size")), "state")
 
 
 def deduplicate(docs: DataFrame, folder: str | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
@@ -80,7 +91,7 @@ def deduplicate(docs: DataFrame, folder: str | None = None, digest: Callable[[Co
     rows = _located(docs).withColumn("digest", digest(F.col("text")))
     keys = rows.select("digest", "doc_id", "file", "row")
     keys.write.mode("append").parquet(f"{folder}/arrivals")
-    state = staged(fold(f"{folder}/arrivals", f"{folder}/state", spark), "state")
+    state = fold(f"{folder}/arrivals", f"{folder}/state", spark)
 
     hits = state.filter("size > 1").select("digest")
     # beyond the bound all texts are compared: the aggregate does not need the filter
