@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, packing, syncmers, token_counts
+from . import bpe, exact_dedup, html_text, minhash, packing, syncmers, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(_pages(spark, sf_dir)).drop("url")
+
+
 def op2_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_documents(spark, sf_dir)).drop("file", "row")
 
@@ -36,16 +44,22 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_with_edits(_documents(spark, sf_dir))
 
 
+def op9_nearest_url_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_pages(spark, sf_dir))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_capture_index": op1_warc_capture_index,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
     "op4_vector_packing": op4_vector_packing,
     "op6_pair_index_bpe": op6_pair_index_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_closed_syncmers": op8_closed_syncmers,
+    "op9_nearest_url_text": op9_nearest_url_text,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
