@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, minhash, packing, syncmers, token_counts, warc
+from . import bpe, exact_dedup, html_text, minhash, packing, substrings, syncmers, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_documents(spark, sf_dir)).drop("file", "row")
 
 
+def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_documents(spark, sf_dir), digests=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), "word_bpe_49k.json", closing=2)
 
@@ -55,6 +60,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
+    "op3_recompression_dedup": op3_recompression_dedup,
     "op4_vector_packing": op4_vector_packing,
     "op6_pair_index_bpe": op6_pair_index_bpe,
     "op7_token_counts": op7_token_counts,
