@@ -40,6 +40,7 @@ from .shipping import ship
 from .words import slices
 
 POOL = 256
+_MARKS = b".,;:!?"
 
 
 @dataclass(frozen=True)
@@ -50,9 +51,9 @@ class Limits:
 
 
 class _Words(dict):
-    """Place of each word's ids in one growing array; the tokenizer is asked once per word."""
+    """Place of each word's ids in one growing array; the tokenizer is asked once per stem."""
 
-    LIMIT = 600_000
+    LIMIT = 1_200_000
 
     def __init__(self, vocabulary: str):
         super().__init__()
@@ -61,8 +62,34 @@ class _Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.ids: list[np.ndarray] = []
-        self.flat, self.begin, self.size = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._add([b""], [[]])
+
+    def _add(self, words: list[bytes], lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
+        self.update(zip(words, range(len(self.begin), len(self.begin) + len(words))))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum()))])
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Marks after an ASCII letter are pre-tokens of their own and the tokenizer folds case, so
+        words share the ids of their letters."""
+        split = []
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if not stem[-1:].isalpha():
+                stem = word
+            split.append((word, stem.lower() if stem.isalpha() else stem, word[len(stem):]))
+        unknown = list({p for pair in split for p in pair[1:]}.difference(self))
+        if unknown:
+            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False)
+            self._add(unknown, [e.ids for e in encoded])
+        self.update((word, self[stem]) for word, stem, marks in split if not marks)
+        marked = [x for x in split if x[2]]
+        begin, size = self.begin.tolist(), self.size.tolist()
+        ids = {p: self.flat[begin[self[p]]:begin[self[p]] + size[self[p]]].tolist() for x in marked for p in x[1:]}
+        self._add([x[0] for x in marked], [ids[stem] + ids[marks] for _, stem, marks in marked])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin. White space separates pre-tokens and
@@ -70,21 +97,13 @@ class _Words(dict):
         if len(self) > self.LIMIT:
             self.reset()
         split = [text.split() for text in texts]
-        new = sorted(set().union(*split).difference(self)) if split else []
+        new = list(set(chain.from_iterable(split)).difference(self))
         if new:
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            lists = [e.ids for e in encoded]
-            sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-            begin = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            self.update(zip(new, range(len(self.begin), len(self.begin) + len(new))))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in lists for i in x), dtype=np.int64,
-                                                               count=int(sizes.sum()))])
-            self.begin = np.concatenate([self.begin, begin])
-            self.size = np.concatenate([self.size, sizes])
+            self._learn(new)
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
         sizes = self.size[words]
-        total = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         source = np.arange(total[-1]) + np.repeat(self.begin[words] - total[:-1], sizes)
         return self.flat[source], total[np.concatenate([[0], np.cumsum(counts)])]
 
