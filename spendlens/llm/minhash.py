@@ -248,3 +248,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document stands for its group; rows with a null
+    doc_id stay."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).dropDuplicates()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, minhash, packing, substrings, syncmers, token_counts, warc
+from . import bpe, exact_dedup, html_text, minhash, packing, substrings, syncmers, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), "word_bpe_49k.json", closing=2)
 
 
+def op5_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op6_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(_documents(spark, sf_dir), "byte_bpe_50k.json", digests=True)
     return coded.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
     "op3_recompression_dedup": op3_recompression_dedup,
     "op4_vector_packing": op4_vector_packing,
+    "op5_toxicity_gru": op5_toxicity_gru,
     "op6_pair_index_bpe": op6_pair_index_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_closed_syncmers": op8_closed_syncmers,

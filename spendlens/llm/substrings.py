@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.staging import staged
 from .shipping import ship
@@ -260,27 +261,33 @@ _KEPT = pa.schema([("place", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa
                    ("kept", pa.large_string())])
 
 
+def _gone(words: Words, spans: pa.ListArray, window: int) -> np.ndarray:
+    """Which words a repeated window covers."""
+    marks = np.zeros(len(words.names) + 1, dtype=np.int64)
+    flat, counts = spans.flatten(), np.diff(np.asarray(spans.offsets))
+    counts[np.asarray(spans.is_null())] = 0
+    base = np.repeat(words.first[:-1], counts)
+    begin, end = (flat.field(i).to_numpy().astype(np.int64) + base for i in (0, 1))
+    np.add.at(marks, begin, 1)
+    np.add.at(marks, end + window - 1, -1)
+    return np.cumsum(marks[:-1]) > 0
+
+
+def _left(words: Words, gone: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """For each text the number of words that go, and the others joined by one space."""
+    raw, starts, ends = words.data.tobytes(), words.start, words.end
+    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+        left = np.flatnonzero(~gone[a:b]) + a
+        yield b - a - len(left), b" ".join([raw[s:e] for s, e in zip(starts[left].tolist(), ends[left].tolist())])
+
+
 def _remove(window: int, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(part.column("text"))
-                n = len(words.names)
-                marks = np.zeros(n + 1, dtype=np.int64)
-                spans = part.column("spans")
-                flat, counts = spans.flatten(), np.diff(np.asarray(spans.offsets))
-                base = np.repeat(words.first[:-1], counts)
-                begin, end = (flat.field(i).to_numpy().astype(np.int64) + base for i in (0, 1))
-                np.add.at(marks, begin, 1)
-                np.add.at(marks, end + window - 1, -1)
-                gone = np.cumsum(marks[:n]) > 0
-                kept, removed = [], []
-                raw, starts, ends = words.data.tobytes(), words.start, words.end
-                for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-                    left = np.flatnonzero(~gone[a:b]) + a
-                    removed.append(b - a - len(left))
-                    text = b" ".join([raw[s:e] for s, e in zip(starts[left].tolist(), ends[left].tolist())])
-                    kept.append(hashlib.sha256(text).hexdigest() if digests else text.decode())
+                removed, kept = zip(*_left(words, _gone(words, part.column("spans"), window)))
+                kept = [hashlib.sha256(text).hexdigest() if digests else text.decode() for text in kept]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("place"), part.column("doc_id"), pa.array(np.diff(words.first), pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(kept, pa.large_string())], schema=_KEPT)
@@ -288,21 +295,66 @@ def _remove(window: int, digests: bool):
     return run
 
 
+def _rewrite(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = words_of(part.column("text"))
+                texts = part.column("text").to_pylist()
+                for i, (removed, text) in enumerate(_left(words, _gone(words, part.column("_spans"), window))):
+                    if removed:
+                        texts[i] = text.decode()
+                at = part.schema.get_field_index("text")
+                yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+
+    return run
+
+
+
+
+def _place():
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
+def _on_file(docs: DataFrame) -> bool:
+    """Whether the rows have a place: a plain scan of files."""
+    try:
+        docs.select(_place())
+        return True
+    except AnalysisException:
+        return False
+
+
 def _placed(docs: DataFrame) -> DataFrame:
     """place, doc_id and text. The place names the row: its file and its number there."""
     wanted = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place")
-    try:
-        return docs.select(place, *wanted)
-    except Exception as error:
-        if "UNRESOLVED_COLUMN" not in str(error):
-            raise
-        return staged(docs.select(*wanted), "content").select(place, "doc_id", "text")
+    if not _on_file(docs):
+        docs = staged(docs.select(*wanted), "content")
+    return docs.select(_place().alias("place"), *wanted)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, digests: bool = False) -> DataFrame:
     """One row per document: place, doc_id, n_words, n_removed, kept (the words that stay, joined by
     one space; with ``digests`` their SHA-256 in lowercase hex)."""
+    found, texts = _repeats(docs, window)
+    none = F.array().cast("array<struct<begin:int,end:int>>")
+    return texts.join(found, "place", "left").select("place", "doc_id", "text", F.coalesce("spans", none).alias("spans")).mapInArrow(
+        _remove(window, digests), "place long, doc_id long, n_words long, n_removed long, kept string")
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, their texts without repeated words (see remove_repeats); a
+    text that loses none is left as it is."""
+    placed = staged(docs, "content") if not _on_file(docs) else docs
+    found, _ = _repeats(placed, window)
+    columns = placed.columns
+    spans = found.withColumnsRenamed({"place": "_place", "spans": "_spans"}).filter("size(_spans) > 0")
+    here = placed.withColumn("_place", _place()).join(spans, "_place", "left")
+    return here.mapInArrow(_rewrite(window), here.schema).select(*columns)
+
+
+def _repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(place, spans of the starts of repeated windows) where there are any, and the texts by place."""
     ship(docs.sparkSession)
     rows = _placed(docs)
     stretches = rows.select("place", "text").mapInArrow(
@@ -330,5 +382,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digests: bool = False)
     none = F.array().cast("array<struct<begin:int,end:int>>")
     found = spans.join(late, "place", "left").select(
         "place", F.concat("spans", F.coalesce("late", none)).alias("spans"))
-    return texts.join(found, "place", "left").select("place", "doc_id", "text", F.coalesce("spans", none).alias("spans")).mapInArrow(
-        _remove(window, digests), "place long, doc_id long, n_words long, n_removed long, kept string")
+    return found, texts
