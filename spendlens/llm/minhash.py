@@ -146,6 +146,7 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     share gives their pair."""
     band, size = group.column("band")[0].as_py(), group.column("n_shingles").to_numpy()
     bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+    keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     ids, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
     side = group.column("side").to_numpy()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side != 1 if (side == 0).all() else side == 1)
@@ -154,9 +155,8 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
         other = right[(component[right] != component[i]) & (ids[right] != ids[i])]
         other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
         if len(other):
-            same = bins[other] == bins[i]
-            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-            other = other[(same.sum(axis=1) >= NEAR) & (first == band)]
+            first = (keys[other] == keys[i]).argmax(axis=1)
+            other = other[((bins[other] == bins[i]).sum(axis=1) >= NEAR) & (first == band)]
         found_a.append(np.minimum(ids[i], ids[other]))
         found_b.append(np.maximum(ids[i], ids[other]))
     pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], axis=1), axis=0) \
@@ -233,11 +233,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     open_members = (
         named.join(mixed.select("bucket", "size"), "bucket")
-        .join(sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bins", "n_shingles").dropDuplicates(["doc"]), "doc")
+        .join(sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bands", "bins", "n_shingles").dropDuplicates(["doc"]), "doc")
         .withColumn("blocks", blocks).withColumn("block", block)
         .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
-                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "doc", "component", "n_shingles", "bins"))
+                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "doc", "component", "n_shingles", "bands", "bins"))
     rest = open_members.groupBy("bucket", "one", "two").applyInArrow(_compare_blocks, "a long, b long").distinct()
     more = staged(_confirmed(rest, texts), "links")
     if more.limit(1).count():
