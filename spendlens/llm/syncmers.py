@@ -105,19 +105,19 @@ def neighbours(ids: DataFrame) -> DataFrame:
 def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited (likeness to the edited text's), near_next (to the next document's)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    # both joins below read the same two columns, so the texts are shuffled once for both
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST)).alias("id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(_SMALLEST))).withColumn("n_chars", F.char_length("text").cast("long"))
-    sizes = rows.select("id", F.floor(F.col("n_chars") / 4).alias("wanted")).groupBy("id").agg(F.max("wanted").alias("wanted"))
+    sizes = rows.groupBy("id").agg(F.max(F.expr("char_length(text) div 4")).alias("wanted"))
     asked = (neighbours(sizes).join(sizes, "id")
              .select(F.col("after").alias("id"), F.col("id").alias("before"), "wanted"))
     given = rows.join(asked, "id").select(
         F.col("before").alias("id"), F.struct(F.expr("left(text, int(wanted))").alias("prefix"),
                                               anchors(F.col("text")).alias("kept")).alias("gift"))
     given = given.groupBy("id").agg(F.min("gift").alias("gift"))
-    df = rows.join(given, "id").withColumn(
+    df = rows.join(given, "id").withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
         "edited", F.expr("concat(left(text, int(n_chars - n_chars div 4)), left(gift.prefix, int(n_chars div 4)))"))
-    df = df.select("doc_id", "n_chars", anchors(F.col("text")).alias("kept"), anchors(F.col("edited")).alias("edited_kept"),
+    df = df.select(F.when(F.col("id") != _SMALLEST, F.col("id")).alias("doc_id"), "n_chars", anchors(F.col("text")).alias("kept"), anchors(F.col("edited")).alias("edited_kept"),
                    F.col("gift.kept").alias("next_kept"), F.sha2("edited", 256).alias("edited_sha256"))
     df = df.withColumns({"near_edited": likeness(F.col("kept"), F.col("edited_kept")),
                          "near_next": likeness(F.col("kept"), F.col("next_kept"))})
