@@ -1,14 +1,14 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input is the sum of an embedding of its name and the mean of embeddings of its character
-trigrams (bytes, lower-case ASCII letters, with the white space around it). A forward and a backward
-gated recurrent layer run over windows of WINDOW words; every text is covered whole by windows that
+A word's input is an embedding of its name plus the embeddings of its character trigrams (bytes,
+ASCII letters lower-cased, with the white space around it; their sum over the root of their number).
+A forward and a backward gated recurrent layer run over windows of WINDOW words; every text is covered whole by windows that
 overlap by WINDOW - STRIDE words. Attention pools the states of a window, a linear layer gives its
 logit, and a text's logit is the largest of its windows', calibrated on the training texts with the
 weights of all labels. So one toxic passage is found in a text of any length.
 
 Training reads labels of at most SAMPLE texts of each class, chosen by a hash of their ids among
-rows that are not held out (crc32 of the id as text, modulo 5, is not 0). In the first epochs every
+rows that are not held out (crc32 of the id as text, modulo 5, is not 0). In the first steps every
 window bears its text's label: what both classes share teaches nothing, what only toxic texts hold
 stands out. In the later rounds a text is judged as in use: a toxic one by its most toxic window, a
 clean one by the HARDEST of all its windows. Seeds
@@ -33,12 +33,10 @@ from .words import LOWER, SPACE, U64, Words, slices, words_of
 
 #: Labelled texts that training may read: not toxic, toxic.
 SAMPLE = (4000, 1500)
-#: Windows per class in the first epochs, evenly spaced among those of the sample.
-SAMPLE_WINDOWS = 24_000
 WINDOW, STRIDE = 32, 24
 WORD_BITS, CHAR_BITS = 17, 15
 WIDTH, HIDDEN = 8, 8
-EPOCHS, ROUNDS, HARDEST = 2, 5, 3
+STEPS, ROUNDS, ROUND_STEPS, HARDEST = 240, 6, 40, 3
 BATCH, RATE, DECAY = 512, 0.01, 1e-5
 _MULTIPLIER = U64(0x9E3779B97F4A7C15)
 
@@ -64,7 +62,7 @@ class Vocabulary:
     def inputs(self, p: dict[str, np.ndarray]) -> np.ndarray:
         first = np.cumsum(self.counts) - self.counts
         chars = np.add.reduceat(p["chars"][self.grams], first, axis=0) if len(self.grams) else np.zeros((0, WIDTH), np.float32)
-        return p["words"][self.bucket] + chars / self.counts[:, None].astype(np.float32)
+        return p["words"][self.bucket] + chars / np.sqrt(self.counts[:, None]).astype(np.float32)
 
     def take(self, which: np.ndarray) -> Vocabulary:
         first = np.cumsum(self.counts) - self.counts
@@ -167,7 +165,7 @@ def gradients(p: dict[str, np.ndarray], vocabulary: Vocabulary, index: np.ndarra
         g[f"add_{side}"] = to_ahead.sum(axis=0)
         to_inputs += to_ahead @ p[f"in_{side}"].T
     g["words"] = _scatter(vocabulary.bucket, to_inputs, 1 << WORD_BITS)
-    share = to_inputs / vocabulary.counts[:, None].astype(np.float32)
+    share = to_inputs / np.sqrt(vocabulary.counts[:, None]).astype(np.float32)
     g["chars"] = _scatter(vocabulary.grams, np.repeat(share, vocabulary.counts, axis=0), 1 << CHAR_BITS)
     return g
 
@@ -201,7 +199,8 @@ class Model:
     def scores(self, words: Words) -> np.ndarray:
         if self.constant is not None:
             return np.where(np.diff(words.first) > 0, self.constant, 0.0)
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.text_logits(words) + self.offset, -60, 60)))
+        logit = self.text_logits(words)
+        return np.where(np.isfinite(logit), 1 / (1 + np.exp(-np.clip(self.slope * logit + self.offset, -60, 60))), 0.0)
 
 
 def _calibrated(logit: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -230,6 +229,8 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
     rng = np.random.default_rng(5)
     truth = labels[text]
     fitted = np.arange(len(texts)) % 5 != 4  # the others set the limit
+    if any(len(np.unique(labels[text[fitted[text] == side]])) < 2 for side in (True, False)):
+        fitted[:] = True  # too few texts to set some apart
     ours = fitted[text]
     p = parameters()
     momentum = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -239,19 +240,19 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
         inputs = everything.inputs(p)
         return np.concatenate([logits(p, inputs, index[a:a + 8192])[0] for a in range(0, len(index), 8192)])
 
-    def epoch(window: np.ndarray, toxic_share: float, pace: float) -> None:
+    def steps_on(window: np.ndarray, number: int, toxic_share: float, first_pace: float, last_pace: float) -> None:
         nonlocal steps
-        toxic = truth[window] == 1
-        weights = np.where(toxic, toxic_share / max(toxic.sum(), 1), (1 - toxic_share) / max((~toxic).sum(), 1)) * len(window)
-        order = rng.permutation(len(window))
-        for a in range(0, len(order), BATCH):
-            pick = order[a:a + BATCH]
-            own = index[window[pick]]
+        sides = [window[truth[window] == value] for value in (0, 1)]
+        sizes = (BATCH - round(toxic_share * BATCH), round(toxic_share * BATCH))
+        for i in range(number):
+            pick = np.concatenate([rng.choice(side, size) for side, size in zip(sides, sizes)])
+            own = index[pick]
             distinct, inner = np.unique(own, return_inverse=True)
             gap = int(distinct[0] == -1)
             g = gradients(p, everything.take(distinct[gap:]), inner.reshape(own.shape) - gap,
-                          truth[window[pick]].astype(np.float32), weights[pick].astype(np.float32) / len(pick))
+                          truth[pick].astype(np.float32), np.full(BATCH, 1 / BATCH, dtype=np.float32))
             steps += 1
+            pace = first_pace + (last_pace - first_pace) * i / number
             for k, v in p.items():
                 m, s = momentum[k]
                 d = g[k] + DECAY * v
@@ -259,21 +260,17 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
                 s += 0.001 * (d * d - s)
                 v -= (pace * (m / (1 - 0.9**steps)) / (np.sqrt(s / (1 - 0.999**steps)) + 1e-8)).astype(np.float32)
 
-    spread = np.concatenate([own[np.unique(np.linspace(0, len(own) - 1, min(len(own), SAMPLE_WINDOWS)).astype(np.int64))]
-                             for own in (np.flatnonzero(ours & (truth == value)) for value in (0, 1)) if len(own)])
-    for i in range(EPOCHS):
-        epoch(spread, 0.25, RATE / (1 + i))  # most windows of toxic texts hold nothing toxic
+    # most windows of toxic texts hold nothing toxic
+    steps_on(np.flatnonzero(ours), STEPS, 0.25, RATE, 0.5 * RATE)
     for i in range(ROUNDS):
         order = np.lexsort((-all_logits(), text))
         place_in_text = np.arange(len(order)) - np.searchsorted(text[order], text[order])
         hardest = order[ours[order] & (place_in_text < np.where(truth[order] == 1, 1, HARDEST))]
-        epoch(hardest, 0.4, 0.5 * RATE * (1 - i / (ROUNDS + 1)))
+        steps_on(hardest, ROUND_STEPS, 0.35, 0.5 * RATE * (1 - i / ROUNDS), 0.5 * RATE * (1 - (i + 1) / ROUNDS))
     model = Model(p)
     logit = np.full(len(texts), -np.inf)
     np.maximum.at(logit, text, all_logits())
-    there = np.isfinite(logit) & ~fitted
-    if len(np.unique(labels[there])) < 2:  # too few texts to set some apart
-        there = np.isfinite(logit)
+    there = np.isfinite(logit) & (~fitted | fitted.all())
     y = labels[there].astype(float)
     weight = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1)) * len(y)
     model.slope, model.offset = _calibrated(logit[there], y, weight)
