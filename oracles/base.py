@@ -43,7 +43,6 @@ fact AS (
          l_returnflag = 'R' AS isReservationCharge, l_returnflag = 'A' AS isSavingsPlanCharge,
          l_linestatus AS chargeType
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  WHERE l_shipdate <= {NOW}
 ),
 dim_date AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS dateKey, d AS "date",

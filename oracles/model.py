@@ -179,7 +179,7 @@ QUERIES = {
       FROM fact WHERE dateKey >= 20000701 GROUP BY dateKey""",
     "linear_forecast": f"""
       , daily AS (SELECT f.subscriptionKey, d."date", CAST(sum(f.actualCost) AS DOUBLE) AS y, CAST(d."date" - DATE '2001-08-01' AS DOUBLE) AS x
-        FROM fact f JOIN dim_date d USING (dateKey) WHERE d."date" >= {NOW} - INTERVAL 90 DAY GROUP BY f.subscriptionKey, d."date"),
+        FROM fact f JOIN dim_date d USING (dateKey) WHERE d."date" >= {NOW} - INTERVAL 90 DAY AND d."date" <= {NOW} GROUP BY f.subscriptionKey, d."date"),
       fit AS (SELECT subscriptionKey, regr_slope(y, x) AS slope, regr_intercept(y, x) AS icept, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, count(*) AS n
         FROM daily GROUP BY subscriptionKey HAVING count(*) > 2 AND regr_slope(y, x) IS NOT NULL),
       ahead AS (SELECT *, sqrt(greatest(syy - slope * sxy, 0) / (n - 2)) AS resid, icept + slope * h AS e FROM fit, (VALUES (30), (60), (90)) t(h))

@@ -59,9 +59,3 @@ def conform(df: DataFrame, schema) -> DataFrame:
             for f in schema.fields
         ]
     )
-
-
-def broadcast_up_to(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting: a larger side keeps Spark's shuffled join
-    (where adaptive execution splits skewed keys)."""
-    return F.broadcast(df) if df.count() <= max_rows else df

@@ -1,35 +1,56 @@
-"""Exact interpolating percentiles, also for groups too large for one task."""
+"""Exact interpolating percentiles of groups of any size."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import broadcast_up_to
-
-# A group above this many values is not buffered by the built-in aggregate.
-HOT_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
+#: Parts a group's values are cut into, at the quantiles of a sketch.
+BUCKETS = 64
 
 
-def percentiles(
-    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
-    """One row per group with a column per wanted share (0.5 is the median).
+def percentiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """One row per group with a column per wanted share (0.5 is the median); NULL without values.
 
-    The built-in aggregate holds a group's distinct values in one buffer. Group sizes are counted
-    first; groups above ``hot_rows`` take :func:`_hot_percentiles`, with the same result.
+    Equal values of a group are counted first. A mergeable sketch cuts the group into buckets of
+    about equal size; bucket totals tell in which bucket a rank lies, and only there values are
+    ranked. So no task sorts more than a bucket, whatever the size of the group.
     """
-    numbers = df.select(*keys, F.col(value).cast("double").alias("_value"))
-    sizes = numbers.groupBy(*keys).agg(F.count("_value").alias("_size")).filter(F.col("_size") > hot_rows)
-    direct = [F.percentile("_value", share).alias(name) for name, share in wanted.items()]
-    if sizes.isEmpty():
-        return numbers.groupBy(*keys).agg(*direct)
-    hot = broadcast_up_to(sizes.select(*keys))
-    usual = numbers.join(hot, keys, "left_anti").groupBy(*keys).agg(*direct)
-    return usual.unionByName(_hot_percentiles(numbers.join(hot, keys, "left_semi"), keys, wanted))
+    group = F.struct(*keys).alias("_group")
+    numbers = df.select(group, F.col(value).cast("double").alias("_value"))
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    sizes = numbers.groupBy("_group").agg(
+        F.count("_value").alias("_size"), F.percentile_approx("_value", shares, SKETCH_ACCURACY).alias("_cuts"))
+    counts = numbers.filter("_value IS NOT NULL").groupBy("_group", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = counts.join(sizes, "_group").withColumn(
+        "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))).drop("_cuts")
+    totals = placed.groupBy("_group", "_bucket").agg(F.sum("_rows").alias("_total"))
+    up_to = F.sum("_total").over(Window.partitionBy("_group").orderBy("_bucket"))
+    totals = totals.withColumn("_before", up_to - F.col("_total"))
+
+    ranks = {name: (F.col("_size") - 1) * F.lit(share) for name, share in wanted.items()}
+
+    def holds(rank: Column) -> Column:
+        """Whether the bucket has the value of a rank, counted from 0."""
+        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_total"))
+
+    asked = F.lit(False)
+    for rank in ranks.values():
+        asked = asked | holds(F.floor(rank)) | holds(F.ceil(rank))
+    inside = Window.partitionBy("_group", "_bucket").orderBy("_value")
+    ranked = placed.join(totals, ["_group", "_bucket"]).filter(asked).withColumn(
+        "_up_to", F.col("_before") + F.sum("_rows").over(inside))
+    bounds = [
+        F.min(F.when(F.col("_up_to") > at(rank), F.col("_value"))).alias(f"{name}{suffix}")
+        for name, rank in ranks.items() for suffix, at in (("_lower", F.floor), ("_upper", F.ceil))
+    ]
+    found = ranked.groupBy("_group").agg(*bounds)
+    between = [
+        (F.col(f"{name}_lower") + (F.col(f"{name}_upper") - F.col(f"{name}_lower")) * (rank - F.floor(rank))).alias(name)
+        for name, rank in ranks.items()
+    ]
+    return sizes.select("_group", "_size").join(found, "_group", "left").select("_group.*", *between)
 
 
 def approximate_percentiles(
@@ -40,40 +61,3 @@ def approximate_percentiles(
     return df.groupBy(*keys).agg(
         *[F.percentile_approx(number, share, accuracy).alias(name) for name, share in wanted.items()]
     )
-
-
-def _hot_percentiles(numbers: DataFrame, keys: list[str], wanted: dict[str, float]) -> DataFrame:
-    """A mergeable sketch brackets every wanted rank; below the bracket values are only counted,
-    inside it (a few ten-thousandths of the group) they are ranked exactly."""
-    margin = 2 / SKETCH_ACCURACY
-    shares = [s for share in wanted.values() for s in (max(share - margin, 0.0), min(share + margin, 1.0))]
-    present = numbers.filter("_value IS NOT NULL")
-    bounds = present.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_value").alias("_min"), F.max("_value").alias("_max"),
-        F.percentile_approx("_value", shares, SKETCH_ACCURACY).alias("_bounds"),
-    )
-    # Counting equal values spreads a hot group over its values before anything is sorted.
-    counts = present.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_rows"))
-    bounded = counts.join(broadcast_up_to(bounds), keys)
-
-    def one(position: int, name: str, share: float) -> DataFrame:
-        sketched = F.col("_size") >= 2 * SKETCH_ACCURACY
-        low = F.when(sketched, F.col("_bounds")[2 * position]).otherwise(F.col("_min"))
-        high = F.when(sketched, F.col("_bounds")[2 * position + 1]).otherwise(F.col("_max"))
-        below = F.lit(float("-inf"))
-        bracket = (
-            bounded.filter(F.col("_value") <= high)
-            .groupBy(*keys, "_size", F.when(F.col("_value") < low, below).otherwise(F.col("_value")).alias("_value"))
-            .agg(F.sum("_rows").alias("_rows"))
-        )
-        up_to = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_value"))
-        rank = (F.col("_size") - 1) * F.lit(share)
-        at = bracket.withColumn("_up_to", up_to).groupBy(*keys, "_size").agg(
-            F.min(F.when(F.col("_up_to") > F.floor(rank), F.col("_value"))).alias("_lower"),
-            F.min(F.when(F.col("_up_to") > F.ceil(rank), F.col("_value"))).alias("_upper"),
-        )
-        between = (F.col("_upper") - F.col("_lower")) * (rank - F.floor(rank))
-        return at.select(*keys, (F.col("_lower") + between).alias(name))
-
-    parts = [one(i, name, share) for i, (name, share) in enumerate(wanted.items())]
-    return reduce(lambda left, right: left.join(right, keys), parts)

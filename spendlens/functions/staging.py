@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables below the shared folder the session names in
-    ``spark.checkpoint.dir``. Where that is unset, below the warehouse, which is shared as well."""
+    ``spark.checkpoint.dir``. Only a local session may leave it unset: it works below its warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -192,12 +192,14 @@ def detect_cost_anomalies(
     )
 
 
-def with_previous_costs(anomalies: DataFrame, star: Star, as_of: datetime) -> DataFrame:
+def with_previous_costs(
+    anomalies: DataFrame, star: Star, as_of: datetime, days: int = DETECTION_DAYS
+) -> DataFrame:
     """Fill the cost of the same subscription one day, one week and one month earlier.
 
-    ``anomalies`` holds scored days of the last 30 days; the history read ends one month before.
+    ``anomalies`` holds scored days of the last ``days`` days; history is read from a month before.
     """
-    since = first_day_from(months_before(days_before(as_of, DETECTION_DAYS), 1))
+    since = first_day_from(months_before(days_before(as_of, days), 1))
     history = (
         star.cost(["dateKey", "subscriptionKey", "actualCost"], since=since)
         .groupBy("dateKey", "subscriptionKey")

@@ -10,9 +10,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_up_to, text
+from ..functions.columns import text
 from ..functions.dates import days_before, first_day_from, last_day_until
-from ..functions.staging import staged
 from ..star import Star
 
 # Tag names and the resource columns they come from.
@@ -75,12 +74,12 @@ def cost_data_by_range(
     rows = (
         cost.join(_subscription(star, subscription_id), "subscriptionKey")
         .join(days, "dateKey")
-        .join(broadcast_up_to(resources), "resourceKey")
+        .join(resources, "resourceKey")
         .join(meters, "meterKey")
     )
     tags = F.create_map(*[e for name, column in TAG_COLUMNS.items() for e in (F.lit(name), text(column))])
     return (
-        rows.orderBy(F.desc("date"), F.desc("actualCost"))
+        rows.orderBy(F.desc("date"), F.desc("actualCost"), "resourceKey", "meterKey", "amortizedCost", "usageQuantity")
         .select(
             "resourceId", "resourceName", "resourceType", "subscriptionId", "subscriptionName",
             _iso("date"), "actualCost", "amortizedCost", "costInUSD", "usageQuantity", "effectivePrice",
@@ -108,11 +107,14 @@ def cost_data_by_resource(
         **_range(days_before(as_of, days_back), as_of),
     )
     rows = (
-        cost.join(broadcast_up_to(resources), "resourceKey")
+        cost.join(resources, "resourceKey")
         .join(star.dim_date.select("dateKey", "date"), "dateKey")
         .join(star.dim_meter.select("meterKey", "meterCategory", "serviceName"), "meterKey")
     )
-    return rows.orderBy(F.desc("date")).select(
+    # a day is more than one task can sort; within it the order goes on, so it can be split
+    return rows.orderBy(
+        F.desc("date"), F.desc("actualCost"), "resourceKey", "meterKey", "amortizedCost", "usageQuantity"
+    ).select(
         "resourceId", "resourceName", "resourceType", _iso("date"), "actualCost", "amortizedCost",
         "costInUSD", "usageQuantity", "effectivePrice", "meterCategory", "serviceName",
     )
@@ -183,18 +185,14 @@ def anomalous_cost_data(
         .groupBy("dateKey", "resourceKey").agg(F.sum("actualCost").alias("dailyCost"))
         .join(star.dim_date.select("dateKey"), "dateKey")
     )
-    # Written first, so its real size is known: a small result is broadcast and the raw rows are
-    # not shuffled, a large one is joined by a shuffle.
-    flagged = staged(
-        rolling_anomalies(daily).join(star.current_resources("resourceId", "resourceName"), "resourceKey"), "flagged"
-    )
+    flagged = rolling_anomalies(daily).join(star.current_resources("resourceId", "resourceName"), "resourceKey")
     rows = (
         star.cost(["dateKey", "resourceKey", "meterKey", "actualCost", "amortizedCost", "costInUSD"], **span)
         .join(flagged, ["dateKey", "resourceKey"])
         .join(star.dim_date.select("dateKey", "date"), "dateKey")
         .join(star.dim_meter.select("meterKey", "meterCategory", "serviceName"), "meterKey")
     )
-    return rows.orderBy(F.desc("zScore"), F.desc("actualCost")).select(
+    return rows.orderBy(F.desc("zScore"), F.desc("actualCost"), "resourceKey", "date", "meterKey", "amortizedCost").select(
         "resourceId", "resourceName", _iso("date"), "actualCost", "amortizedCost", "costInUSD",
         "meterCategory", "serviceName", "zScore",
         F.format_string("Z-Score: %.2f", "zScore").alias("additionalInfo"),

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_up_to
 from ..star import Star
 
 # The default rule parameters.
@@ -38,18 +37,22 @@ class SecuredStar(Star):
         self._members = {}
         if resources is not None:
             self.dim_resource = resources
-            self._members["resourceKey"] = broadcast_up_to(resources.select("resourceKey"))
+            self._members["resourceKey"] = resources.select("resourceKey")
         if subscriptions is not None:
             self.dim_subscription = subscriptions
-            self._members["subscriptionKey"] = broadcast_up_to(subscriptions.select("subscriptionKey"))
+            self._members["subscriptionKey"] = subscriptions.select("subscriptionKey")
 
     def __getattr__(self, name: str):
-        return getattr(self.__dict__["_base"], name)
-
-    def _visible(self, rows: DataFrame) -> DataFrame:
-        for key, members in self._members.items():
-            if key in rows.columns:
-                rows = rows.join(members, key, "left_semi")
+        """Facts are narrowed by attribute as well; other tables are the base's."""
+        table = getattr(self.__dict__["_base"], name)
+        return self._visible(table, name) if name.startswith("fact_") else table
+
+    def _visible(self, rows: DataFrame, name: str = "fact") -> DataFrame:
+        related = [key for key in self._members if key in rows.columns]
+        if self._members and not related:
+            raise PermissionError(f"{name} is not related to a secured dimension")
+        for key in related:
+            rows = rows.join(self._members[key], key, "left_semi")
         return rows
 
     def cost(self, columns, since=None, until=None):
@@ -62,10 +65,6 @@ class SecuredStar(Star):
     def anomalies(self, since=None, until=None):
         return self._visible(self._base.anomalies(since, until))
 
-    @property
-    def fact_savings_opportunity(self) -> DataFrame:
-        return self._visible(self._base.fact_savings_opportunity)
-
 
 def secured(
     star: Star, user: str, open_subscriptions: Sequence[str] = OPEN_SUBSCRIPTIONS, admins: Sequence[str] = ADMINS

@@ -19,7 +19,7 @@ from ..operators import (
 )
 from ..operators.calendar import calendar_of
 from ..schema import schema
-from ..sources.binding import AS_OF, FIRST_DAY, BoundStar, metric_samples
+from ..sources.binding import AS_OF, END, FIRST_DAY, BoundStar, metric_samples
 from ..sources.exports import latest_export, read_export
 from ..sources.lake import read_or_empty
 from ..sources.tags import flatten_tags
@@ -29,7 +29,7 @@ from ..streaming.metrics import daily_statistics, run_rollup_stream
 from .ingest import TRACKED, resource_versions
 from .refresh import POLICIES, refreshed
 
-HISTORY_DAYS = (AS_OF.date() - FIRST_DAY).days
+HISTORY_DAYS = (END.date() - FIRST_DAY).days
 
 
 def dated_cost(star: Star, *columns: str) -> DataFrame:
@@ -198,12 +198,12 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "aggregate_daily_metrics": lambda s: rollup.aggregate_daily_metrics(s, AS_OF),
     "utilization_upsert": _utilization_upsert,
     "cost_data": lambda s: _tags_as_columns(costs.cost_data(s, AS_OF)),
-    "cost_data_by_range": lambda s: _tags_as_columns(costs.cost_data_by_range(s, FIRST_DAY, AS_OF)),
-    "cost_data_by_resource": lambda s: costs.cost_data_by_resource(s, AS_OF, days_back=HISTORY_DAYS),
-    "total_cost": lambda s: costs.total_cost(s, FIRST_DAY, AS_OF),
-    "cost_by_service": lambda s: costs.cost_by_service(s, FIRST_DAY, AS_OF),
-    "cost_by_resource_group": lambda s: costs.cost_by_resource_group(s, FIRST_DAY, AS_OF),
-    "anomalous_cost_data": lambda s: costs.anomalous_cost_data(s, AS_OF, days_back=HISTORY_DAYS),
+    "cost_data_by_range": lambda s: _tags_as_columns(costs.cost_data_by_range(s, FIRST_DAY, END)),
+    "cost_data_by_resource": lambda s: costs.cost_data_by_resource(s, END, days_back=HISTORY_DAYS),
+    "total_cost": lambda s: costs.total_cost(s, FIRST_DAY, END),
+    "cost_by_service": lambda s: costs.cost_by_service(s, FIRST_DAY, END),
+    "cost_by_resource_group": lambda s: costs.cost_by_resource_group(s, FIRST_DAY, END),
+    "anomalous_cost_data": lambda s: costs.anomalous_cost_data(s, END, days_back=HISTORY_DAYS),
     "detect_anomalies": detect_over_history,
     "anomaly_result_records": lambda s: anomaly.result_records(detect_over_history(s), AS_OF),
     "anomaly_severity_counts": lambda s: anomaly.severity_counts(detect_over_history(s)),

@@ -8,14 +8,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_up_to, date_key_of, stamp
+from ..functions.columns import conform, date_key_of, stamp
 from ..functions.staging import staged
 from ..operators.calendar import calendar_of
 from ..operators.costs import TAG_COLUMNS
+from ..schema import schema
 from ..sources.exports import latest_export, read_export
 from ..sources.lake import Lake
 
 NUMBERING_BUCKETS = 1024
+# The member of rows whose export names none.
+UNKNOWN = "(unknown)"
 # Attributes whose change opens a new resource version.
 TRACKED = [
     "resourceName", "resourceType", "resourceGroupName", "subscriptionId", "subscriptionName", "location",
@@ -23,17 +26,21 @@ TRACKED = [
 ]
 
 
-def numbered(members: DataFrame, natural_key: str, surrogate_key: str, start: Column) -> DataFrame:
+def _names(natural_key: str | Sequence[str]) -> list[str]:
+    return [natural_key] if isinstance(natural_key, str) else list(natural_key)
+
+
+def numbered(members: DataFrame, natural_key: str | Sequence[str], surrogate_key: str, start: Column) -> DataFrame:
     """Dense surrogate keys ``start + 1 ..`` for distinct ``members``, the same on every run.
 
     Members are numbered inside hash buckets; a bucket's offset is the size of the buckets before
     it. No task sees more than one bucket, the offsets are one small row per bucket.
     """
-    bucketed = members.withColumn("_bucket", F.pmod(F.xxhash64(natural_key), F.lit(NUMBERING_BUCKETS)))
+    bucketed = members.withColumn("_bucket", F.pmod(F.xxhash64(*_names(natural_key)), F.lit(NUMBERING_BUCKETS)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    position = F.row_number().over(Window.partitionBy("_bucket").orderBy(natural_key))
+    position = F.row_number().over(Window.partitionBy("_bucket").orderBy(*_names(natural_key)))
     return (
         bucketed.withColumn("_position", position).join(F.broadcast(offsets), "_bucket")
         .withColumn(surrogate_key, start + F.col("_offset") + F.col("_position"))
@@ -45,10 +52,11 @@ def _last_key(existing: DataFrame, surrogate_key: str) -> Column:
     return existing.agg(F.coalesce(F.max(surrogate_key), F.lit(0))).scalar()
 
 
-def new_members(existing: DataFrame, incoming: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
+def new_members(existing: DataFrame, incoming: DataFrame, natural_key: str | Sequence[str],
+                surrogate_key: str) -> DataFrame:
     """Members of ``incoming`` (one row per natural key) that the dimension lacks, with keys."""
-    unknown = incoming.filter(F.col(natural_key).isNotNull()).join(
-        existing.select(natural_key), natural_key, "left_anti")
+    names = _names(natural_key)
+    unknown = incoming.dropna(subset=names).join(existing.select(*names), names, "left_anti")
     return numbered(unknown, natural_key, surrogate_key, _last_key(existing, surrogate_key))
 
 
@@ -59,9 +67,9 @@ def resource_versions(existing: DataFrame, incoming: DataFrame, as_of: datetime,
     now = stamp(as_of)
     columns = existing.columns
     compared = [c for c in tracked if c in incoming.columns]
-    arriving = incoming.select("resourceId", F.xxhash64(*compared).alias("_arriving"))
+    arriving = incoming.select("resourceId", F.struct(*compared).alias("_arriving"))
     marked = existing.join(arriving, "resourceId", "left")
-    changed = F.col("isCurrent") & F.col("_arriving").isNotNull() & (F.xxhash64(*compared) != F.col("_arriving"))
+    changed = F.col("isCurrent") & F.col("_arriving").isNotNull() & ~F.struct(*compared).eqNullSafe(F.col("_arriving"))
     kept = marked.withColumn("_closed", changed).select(
         *[
             F.when(F.col("_closed"), {"isCurrent": F.lit(False)}.get(c, now)).otherwise(F.col(c)).alias(c)
@@ -83,18 +91,19 @@ def resource_versions(existing: DataFrame, incoming: DataFrame, as_of: datetime,
     return kept.unionByName(opened.select(*columns))
 
 
-def _latest(rows: DataFrame, natural_key: str, **columns: Column) -> DataFrame:
+def _latest(rows: DataFrame, natural_key: str | Sequence[str], **columns: Column) -> DataFrame:
     """One row per natural key with the attributes of its latest day. Raw rows are first reduced to
     the distinct attribute combinations; ties between those go to the largest in text order."""
+    names = _names(natural_key)
     combinations = (
-        rows.filter(F.col(natural_key).isNotNull())
-        .groupBy(natural_key, *[c.alias(n) for n, c in columns.items()]).agg(F.max("Date").alias("_day"))
+        rows.dropna(subset=names)
+        .groupBy(*names, *[c.alias(n) for n, c in columns.items()]).agg(F.max("Date").alias("_day"))
     )
     attributes = F.struct(*columns)
     return (
-        combinations.groupBy(natural_key)
+        combinations.groupBy(*names)
         .agg(F.max_by(attributes, F.struct("_day", F.to_json(attributes))).alias("_row"))
-        .select(natural_key, "_row.*")
+        .select(*names, "_row.*")
     )
 
 
@@ -131,8 +140,9 @@ def meters_of(export: DataFrame) -> DataFrame:
 
 
 def resource_groups_of(export: DataFrame) -> DataFrame:
-    return _latest(export, "ResourceGroup", subscriptionId=F.col("SubscriptionId"), location=F.col("Location")
-                   ).withColumnRenamed("ResourceGroup", "resourceGroupName")
+    """Groups of two subscriptions may bear one name."""
+    return _latest(export, ["ResourceGroup", "SubscriptionId"], location=F.col("Location")).withColumnsRenamed(
+        {"ResourceGroup": "resourceGroupName", "SubscriptionId": "subscriptionId"})
 
 
 def regions_of(export: DataFrame) -> DataFrame:
@@ -151,9 +161,14 @@ def benefits_of(export: DataFrame) -> DataFrame:
     ).withColumnRenamed("ReservationId", "reservationId")
 
 
+def with_unknown(export: DataFrame) -> DataFrame:
+    """Rows that name no resource, subscription or meter belong to a member of that name."""
+    return export.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in ("ResourceId", "SubscriptionId", "MeterId")})
+
+
 def cost_rows(export: DataFrame, lake: Lake) -> DataFrame:
-    """Export rows as cost facts. Dimension keys are looked up by natural key; the current resource
-    version is taken."""
+    """Export rows as cost facts, one for one. Dimension keys are looked up by natural key; the
+    current resource version is taken. A key without a member stays NULL."""
     plan = F.col("PricingModel") == "SavingsPlan"
     reserved = F.col("ReservationId").isNotNull()
     rows = export.select(
@@ -176,27 +191,38 @@ def cost_rows(export: DataFrame, lake: Lake) -> DataFrame:
         F.col("InvoiceId").alias("invoiceId"), F.col("AdditionalInfo").alias("additionalInfo"),
     )
     lookups = (
-        (lake.read("dim_resource").filter("isCurrent"), "resourceId", "resourceKey", "inner"),
-        (lake.read("dim_subscription"), "subscriptionId", "subscriptionKey", "inner"),
-        (lake.read("dim_meter"), "meterId", "meterKey", "inner"),
-        (lake.read("dim_resource_group"), "resourceGroupName", "resourceGroupKey", "left"),
-        (lake.read("dim_region"), "regionName", "regionKey", "left"),
-        (lake.read("dim_offer"), "offerId", "offerKey", "left"),
-        (lake.read("dim_benefit"), "reservationId", "benefitKey", "left"),
+        (lake.read("dim_resource").filter("isCurrent"), "resourceId", "resourceKey"),
+        (lake.read("dim_subscription"), "subscriptionId", "subscriptionKey"),
+        (lake.read("dim_meter"), "meterId", "meterKey"),
+        (lake.read("dim_resource_group"), ["resourceGroupName", "subscriptionId"], "resourceGroupKey"),
+        (lake.read("dim_region"), "regionName", "regionKey"),
+        (lake.read("dim_offer"), "offerId", "offerKey"),
+        (lake.read("dim_benefit"), "reservationId", "benefitKey"),
     )
-    for dimension, natural_key, surrogate_key, how in lookups:
-        rows = rows.join(broadcast_up_to(dimension.select(natural_key, surrogate_key)), natural_key, how)
+    for dimension, natural_key, surrogate_key in lookups:
+        names = _names(natural_key)
+        rows = rows.join(dimension.select(*names, surrogate_key), names, "left")
     return rows
 
 
+def beside(facts: DataFrame, lake: Lake) -> DataFrame:
+    """Stored facts of the days in ``facts`` that belong to subscriptions which it lacks on that day:
+    a load replaces the days of its own subscriptions only."""
+    touched = facts.select("dateKey", "subscriptionKey").distinct()
+    stored = lake.read("fact_cost_daily").join(touched.select("dateKey").distinct(), "dateKey", "left_semi")
+    return stored.join(touched, ["dateKey", "subscriptionKey"], "left_anti")
+
+
 def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[str, int]:
-    """Read the exports, extend the dimensions, replace the days the exports cover."""
-    export = staged(latest_export(read_export(lake.spark, path or lake.export_path())).drop("exportTime"), "export")
+    """Read the exports, extend the dimensions, replace the days the exports cover, subscription by
+    subscription. ``unknown_members``: cost rows that named no resource, subscription or meter."""
+    newest = latest_export(read_export(lake.spark, path or lake.export_path())).drop("exportTime")
+    export = staged(with_unknown(newest), "export")
     written = {}
     for table, members, natural_key, surrogate_key in (
         ("dim_subscription", subscriptions_of, "subscriptionId", "subscriptionKey"),
         ("dim_meter", meters_of, "meterId", "meterKey"),
-        ("dim_resource_group", resource_groups_of, "resourceGroupName", "resourceGroupKey"),
+        ("dim_resource_group", resource_groups_of, ["resourceGroupName", "subscriptionId"], "resourceGroupKey"),
         ("dim_region", regions_of, "regionName", "regionKey"),
         ("dim_offer", offers_of, "offerId", "offerKey"),
         ("dim_benefit", benefits_of, "reservationId", "benefitKey"),
@@ -207,6 +233,11 @@ def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[s
     written["dim_resource"] = lake.replace("dim_resource", versions)
     days = calendar_of(export, "Date").join(lake.read("dim_date").select("dateKey"), "dateKey", "left_anti")
     written["dim_date"] = lake.append("dim_date", days)
-    facts = cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of))
-    written["fact_cost_daily"] = lake.replace("fact_cost_daily", facts)
+    facts = staged(conform(cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of)), schema("fact_cost_daily")),
+                   "facts")
+    kept = beside(facts, lake)
+    written["unknown_members"] = export.filter(
+        (F.col("ResourceId") == UNKNOWN) | (F.col("SubscriptionId") == UNKNOWN) | (F.col("MeterId") == UNKNOWN)).count()
+    written["fact_cost_daily"] = facts.count()
+    lake.replace("fact_cost_daily", facts.unionByName(kept))
     return written

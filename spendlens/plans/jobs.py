@@ -66,9 +66,12 @@ def run_forecast(lake: Lake, as_of: datetime) -> int:
 
 
 def run_refresh(lake: Lake, table: str, incoming: DataFrame, as_of: datetime) -> int:
-    """Replace the days of the table's reload window by ``incoming``."""
-    since = date_key(POLICIES[table].reload_from(as_of))
-    return lake.replace(table, incoming.filter(F.col("dateKey") >= since))
+    """Replace the days of the table's reload window by ``incoming``: a day that it lacks goes, and
+    so do the days before the kept history."""
+    since, keep = (date_key(day) for day in (POLICIES[table].reload_from(as_of), POLICIES[table].keep_from(as_of)))
+    written = lake.replace(table, incoming.filter(F.col("dateKey") >= since), only_after=since)
+    lake.drop_days(table, [day for day in lake.days(table) if day < keep])
+    return written
 
 
 def publish_refreshed(lake: Lake, table: str, incoming: DataFrame, as_of: datetime, path: str) -> None:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import reduce
+from urllib.parse import unquote
 
-from ..functions.columns import broadcast_up_to
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The columns of an export and their types. The header repeats many names.
 EXPORT_COLUMNS = {
@@ -42,15 +43,21 @@ def _positions(names: list[str]) -> dict[str, str]:
     return chosen
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """Typed export rows with ``exportFolder`` and ``exportTime`` of their file. Columns the header
-    lacks are NULL; unreadable numbers and dates too."""
-    raw = (
-        spark.read.option("header", True).option("recursiveFileLookup", True)
-        .option("multiLine", False).option("escape", '"').csv(path)
-    )
+def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their header line. The first line of a file is the first one of its first split; the
+    result is one row per file."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    first = lines.filter("_metadata.file_block_start = 0").groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.first("value").alias("header"))
+    layouts: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        if row["header"]:
+            layouts.setdefault(row["header"], []).append(unquote(row["file"]))
+    return layouts
+
+
+def _typed(raw: DataFrame) -> DataFrame:
     chosen = _positions(raw.columns)
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
     columns = []
     for name, kind in {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}.items():
         if name not in chosen:
@@ -58,16 +65,34 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
             continue
         text = F.col(f"`{chosen[name]}`")
         columns.append((text if kind == "string" else text.try_cast(kind)).alias(name))
-    return raw.select(*columns, folder.alias("exportFolder"),
+    return raw.select(*columns, F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("exportFolder"),
                       F.col("_metadata.file_modification_time").alias("exportTime"))
 
 
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """Typed export rows with ``exportFolder`` and ``exportTime`` of their file. Files are read by
+    header: their columns may differ in order and number. Columns a header lacks are NULL,
+    unreadable numbers and dates too. A quoted field may hold line feeds."""
+    csv = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    layouts = [_typed(csv.csv(files)) for files in _layouts(spark, path).values()]
+    if not layouts:
+        fields = ", ".join(f"`{n}` {k}" for n, k in {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}.items())
+        return spark.createDataFrame([], f"{fields}, exportFolder string, exportTime timestamp")
+    return reduce(DataFrame.unionByName, layouts)
+
+
+# What an export holds as a whole: a later one replaces it.
+EXPORT_KEYS = ["BillingAccountId", "SubscriptionId", "BillingPeriodStartDate"]
+
+
 def latest_export(rows: DataFrame) -> DataFrame:
-    """For every billing period only the rows of the newest export folder. A later month-to-date
-    export holds the whole month again, so it replaces the earlier ones."""
-    period = ["BillingPeriodStartDate"]
+    """For every billing account, subscription and billing period only the rows of the newest export
+    folder. A later month-to-date export holds the whole month again, so it replaces the earlier
+    ones; exports of other accounts or subscriptions stay beside it."""
     newest = (
-        rows.groupBy(*period, "exportFolder").agg(F.max("exportTime").alias("exportTime"))
-        .groupBy(*period).agg(F.max_by("exportFolder", F.struct("exportTime", "exportFolder")).alias("exportFolder"))
+        rows.groupBy(*EXPORT_KEYS, "exportFolder").agg(F.max("exportTime").alias("exportTime"))
+        .groupBy(*EXPORT_KEYS).agg(F.max_by("exportFolder", F.struct("exportTime", "exportFolder")).alias("exportFolder"))
     )
-    return rows.join(broadcast_up_to(newest), [*period, "exportFolder"], "left_semi")
+    newest = newest.toDF(*[f"_{c}" for c in newest.columns])
+    same = [rows[c].eqNullSafe(newest[f"_{c}"]) for c in [*EXPORT_KEYS, "exportFolder"]]
+    return rows.join(newest, reduce(Column.__and__, same), "left_semi")

@@ -47,16 +47,16 @@ def merge_days(
 ) -> int:
     """Upsert ``source`` into the day-partitioned table at ``path``; returns the rows of ``source``.
 
-    Only days from the earliest one in ``source`` on are read and rewritten. The merged days are
-    staged first, so the table is never read while it is replaced, and repeating a failed run
-    gives the same result.
+    Only the days of ``source`` are read and rewritten. The merged days are staged first, so the
+    table is never read while it is replaced, and repeating a failed run gives the same result.
     """
     spark = source.sparkSession
     source = staged(source, "incoming")
     first, rows = source.agg(F.min(day), F.count(F.lit(1))).first()
     if not rows:
         return 0
-    target = read_or_empty(spark, path, fields).filter(F.col(day) >= first)
+    days = source.select(day).distinct()
+    target = read_or_empty(spark, path, fields).filter(F.col(day) >= first).join(days, day, "left_semi")
     merged = staged(upserted(target, source, list(keys), list(updated)), "merged")
     write_days(merged, path, day, "overwrite")
     return rows
@@ -83,17 +83,40 @@ class Lake:
         the table itself stay chosen when the write is repeated."""
         return self._write(table, rows, "append")
 
-    def replace(self, table: str, rows: DataFrame) -> int:
+    def replace(self, table: str, rows: DataFrame, only_after: int | None = None) -> int:
         """A new version of the table (of the days it holds, for a fact). ``rows`` may come from
-        the table itself: they are staged before the first file is replaced."""
-        return self._write(table, rows, "overwrite")
-
-    def _write(self, table: str, rows: DataFrame, mode: str) -> int:
+        the table itself: they are staged before the first file is replaced. With ``only_after``,
+        days from that one on which ``rows`` lacks are removed."""
+        return self._write(table, rows, "overwrite", only_after)
+
+    def days(self, table: str) -> list[int]:
+        """The days a fact has a folder for: one name per day."""
+        folder, files = self._folder(table)
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        prefix = f"{PARTITION_COLUMN[table]}="
+        return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+    def drop_days(self, table: str, days: Sequence[int]) -> None:
+        folder, files = self._folder(table)
+        for day in days:
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{PARTITION_COLUMN[table]}={day}"), True)
+
+    def _folder(self, table: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _write(self, table: str, rows: DataFrame, mode: str, only_after: int | None = None) -> int:
         version = staged(conform(rows, schema(table)), table)
         count = version.count()
         if table in PARTITION_COLUMN:
+            day = PARTITION_COLUMN[table]
             if count:
-                write_days(version, self.path(table), PARTITION_COLUMN[table], mode)
+                write_days(version, self.path(table), day, mode)
+            if only_after is not None:
+                present = {row[0] for row in version.select(day).distinct().collect()}
+                self.drop_days(table, [d for d in self.days(table) if d >= only_after and d not in present])
         else:
             version.write.mode(mode).parquet(self.path(table))
         return count

@@ -10,6 +10,8 @@ from stars import NOW, by, cost_row, small_star
 from spendlens.operators import budget, insights, measures, security
 from spendlens.plans.refresh import POLICIES, refreshed
 from spendlens.schema import schema
+from pyspark.sql import functions as F
+
 from spendlens.sources.tags import first_record_keys, flatten_tags
 
 
@@ -155,8 +157,13 @@ def test_budget_crossings(spark):
 
 def test_tags(spark):
     df = spark.createDataFrame([(1, '{"env": "a", "team": "x"}'), (2, None), (3, '{"env": "b", "new": 1}')], "id int, tags string").coalesce(1)
-    assert first_record_keys(df) == ["env", "team"]
-    assert [tuple(r) for r in flatten_tags(df).collect()] == [(1, "a", "x"), (2, None, None), (3, "b", None)]
+    assert first_record_keys(df, "id") == ["env", "team"]
+    first = flatten_tags(df, first_record_keys(df, "id"))
+    assert [tuple(r) for r in first.collect()] == [(1, "a", "x"), (2, None, None), (3, "b", None)]
+    for shuffled in (df, df.repartition(3), df.orderBy(F.desc("id"))):
+        every = flatten_tags(shuffled).orderBy("id")
+        assert every.columns == ["id", "env", "new", "team"]
+        assert [tuple(r) for r in every.collect()] == [(1, "a", None, "x"), (2, None, None, None), (3, "b", "1", None)]
     assert [tuple(r) for r in flatten_tags(df, ["new"]).collect()] == [(1, None), (2, None), (3, "1")]
 
 
