@@ -75,14 +75,15 @@ class Vocabulary:
         return cls(*(np.concatenate([getattr(v, f) for v in parts]) for f in ("bucket", "grams", "counts")))
 
 
-def windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word places of every window (-1 beyond the end of its text), and its text."""
-    sizes = np.diff(words.first)
+def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word places of every window (-1 beyond the end of its text), and its text. ``first``: where
+    the words of each text begin, and where the last ends."""
+    sizes = np.diff(first)
     counts = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE)), 0)
     text = np.repeat(np.arange(len(sizes)), counts)
     begin = (np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
     place = begin[:, None] + np.arange(WINDOW)
-    return np.where(place < sizes[text][:, None], place + words.first[text][:, None], -1), text
+    return np.where(place < sizes[text][:, None], place + first[text][:, None], -1), text
 
 
 def parameters(seed: int = 11) -> dict[str, np.ndarray]:
@@ -184,7 +185,7 @@ class Model:
 
     def window_logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         _, first, back = np.unique(words.names, return_index=True, return_inverse=True)
-        place, text = windows(words)
+        place, text = windows(words.first)
         index = np.where(place >= 0, back[place], -1) if len(back) else place
         vocabulary = Vocabulary.of(words, first)
         return logits(self.parameters, vocabulary.inputs(self.parameters), index)[0], text
@@ -219,13 +220,23 @@ def _calibrated(logit: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tup
 
 def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
     """``share``: of toxic labels among all that may be learned from."""
-    words = words_of(pa.array(texts, pa.large_string()), lower=True)
-    place, text = windows(words)
+    names, vocabularies, backs, sizes = [], [], [], []
+    for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]), "text"):
+        words = words_of(part.column("text"), lower=True)
+        own, at, back = np.unique(words.names, return_index=True, return_inverse=True)
+        backs.append(back + sum(map(len, names)))
+        names.append(own)
+        vocabularies.append(Vocabulary.of(words, at))
+        sizes.append(np.diff(words.first))
+    if not names:
+        return Model(constant=share)
+    place, text = windows(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]))
     if len(np.unique(labels[text])) < 2:
         return Model(constant=share)
-    _, first, back = np.unique(words.names, return_index=True, return_inverse=True)
-    everything = Vocabulary.of(words, first)
-    index = np.where(place >= 0, back[place], -1)
+    _, first, among = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    everything = Vocabulary.joined(vocabularies).take(first)
+    index = np.where(place >= 0, among[np.concatenate(backs)][place], -1).astype(np.int32)
+    del names, vocabularies, backs, place
     rng = np.random.default_rng(5)
     truth = labels[text]
     fitted = np.arange(len(texts)) % 5 != 4  # the others set the limit
@@ -236,9 +247,18 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
     momentum = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     steps = 0
 
+    def chosen(window: np.ndarray) -> tuple[Vocabulary, np.ndarray]:
+        """The words of some windows, and the windows' places among them."""
+        distinct, inner = np.unique(index[window], return_inverse=True)
+        gap = int(distinct[0] == -1)
+        return everything.take(distinct[gap:]), inner.reshape(-1, WINDOW) - gap
+
     def all_logits() -> np.ndarray:
-        inputs = everything.inputs(p)
-        return np.concatenate([logits(p, inputs, index[a:a + 8192])[0] for a in range(0, len(index), 8192)])
+        found = []
+        for a in range(0, len(index), 4096):
+            own, inner = chosen(np.arange(a, min(a + 4096, len(index))))
+            found.append(logits(p, own.inputs(p), inner)[0])
+        return np.concatenate(found)
 
     def steps_on(window: np.ndarray, number: int, toxic_share: float, first_pace: float, last_pace: float) -> None:
         nonlocal steps
@@ -246,10 +266,7 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
         sizes = (BATCH - round(toxic_share * BATCH), round(toxic_share * BATCH))
         for i in range(number):
             pick = np.concatenate([rng.choice(side, size) for side, size in zip(sides, sizes)])
-            own = index[pick]
-            distinct, inner = np.unique(own, return_inverse=True)
-            gap = int(distinct[0] == -1)
-            g = gradients(p, everything.take(distinct[gap:]), inner.reshape(own.shape) - gap,
+            g = gradients(p, *chosen(pick),
                           truth[pick].astype(np.float32), np.full(BATCH, 1 / BATCH, dtype=np.float32))
             steps += 1
             pace = first_pace + (last_pace - first_pace) * i / number

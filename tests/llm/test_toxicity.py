@@ -15,7 +15,7 @@ DIR = "/root/testdata/sf0.1"
 
 def test_gradients_match_differences():
     words = words_of(pa.array(["a bb ccc dd e " * 9, "zz b c"]), lower=True)
-    place, _ = toxicity.windows(words)
+    place, _ = toxicity.windows(words.first)
     _, first, back = np.unique(words.names, return_index=True, return_inverse=True)
     index = np.where(place >= 0, back[place], -1)
     vocabulary = toxicity.Vocabulary.of(words, first)
@@ -42,7 +42,7 @@ def test_gradients_match_differences():
 
 def test_windows_cover_every_word():
     for n in (1, 31, 32, 33, 56, 57, 500):
-        place, text = toxicity.windows(words_of(pa.array(["w " * n, ""])))
+        place, text = toxicity.windows(words_of(pa.array(["w " * n, ""])).first)
         assert set(place[place >= 0]) == set(range(n)) and set(text) == {0}
 
 
