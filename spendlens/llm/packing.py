@@ -41,6 +41,8 @@ from .words import slices
 
 POOL = 256
 _MARKS = b".,;:!?"
+#: Words of letters per call of the tokenizer, which spends more on a call than on a word.
+GROUP = 512
 
 
 @dataclass(frozen=True)
@@ -58,19 +60,33 @@ class _Words(dict):
     def __init__(self, vocabulary: str):
         super().__init__()
         self.tokenizer = tokenizer(vocabulary)
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(names.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.late: list[tuple[np.ndarray, np.ndarray]] = []
         self._add([b""], [[]])
+        self._settle()
 
     def _add(self, words: list[bytes], lists: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
-        self.update(zip(words, range(len(self.begin), len(self.begin) + len(words))))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum()))])
+        self._append(words, np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum())), sizes)
+
+    def _append(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.size) + sum(len(s) for _, s in self.late)
+        self.update(zip(words, range(first, first + len(words))))
+        self.late.append((ids, sizes))
+
+    def _settle(self) -> None:
+        """Join what was appended to the arrays."""
+        self.flat = np.concatenate([self.flat, *(ids for ids, _ in self.late)])
+        self.size = np.concatenate([self.size, *(sizes for _, sizes in self.late)])
+        self.begin = np.cumsum(self.size, dtype=np.int64) - self.size
+        self.late = []
 
     def _learn(self, words: list[bytes]) -> None:
         """Marks after an ASCII letter are pre-tokens of their own and the tokenizer folds case, so
@@ -81,15 +97,27 @@ class _Words(dict):
             if not stem[-1:].isalpha():
                 stem = word
             split.append((word, stem.lower() if stem.isalpha() else stem, word[len(stem):]))
-        unknown = list({p for pair in split for p in pair[1:]}.difference(self))
-        if unknown:
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False)
-            self._add(unknown, [e.ids for e in encoded])
-        self.update((word, self[stem]) for word, stem, marks in split if not marks)
+        unknown = {p for pair in split for p in pair[1:]}.difference(self)
+        letters = [p for p in unknown if p.decode().isalpha()]
+        others = list(unknown.difference(letters))
+        for begin in range(0, len(letters), GROUP):
+            group = letters[begin:begin + GROUP]
+            ids = self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.closes[ids])
+            if len(ends) == len(group):  # one pre-token a word; otherwise a letter folds into more
+                self._append(group, np.array(ids, dtype=np.int32), np.diff(ends, prepend=-1).astype(np.int32))
+            else:
+                others += group
+        if others:
+            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in others], add_special_tokens=False)
+            self._add(others, [e.ids for e in encoded])
+        self._settle()
+        self.update([(word, self[stem]) for word, stem, marks in split if not marks])
         marked = [x for x in split if x[2]]
         begin, size = self.begin.tolist(), self.size.tolist()
         ids = {p: self.flat[begin[self[p]]:begin[self[p]] + size[self[p]]].tolist() for x in marked for p in x[1:]}
         self._add([x[0] for x in marked], [ids[stem] + ids[marks] for _, stem, marks in marked])
+        self._settle()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin. White space separates pre-tokens and
