@@ -243,6 +243,16 @@ QUERIES = {
         FROM fact f JOIN dim_date d USING (dateKey) GROUP BY ALL)
       SELECT {day('p', 'billingPeriodStartDate')}, {m('loaded', 'loadedCost')}, {m('invoiced', 'invoicedAmount')}, {m('loaded - invoiced', 'difference')},
         abs(CAST(loaded - invoiced AS DOUBLE)) / CAST(invoiced AS DOUBLE) <= 0.02 AS reconciled FROM months""",
+    "load_exports_fact": f"""
+      SELECT f.subscriptionId, f.subscriptionId AS "groupOwner", {day('d.billingPeriodStart', 'billingPeriodStartDate')},
+        count(*) AS "costRows", {m('sum(f.actualCost)', 'cost')}, count(*) FILTER (f.meterKey % 10 = 0) AS "unknownResources"
+      FROM fact f JOIN dim_date d USING (dateKey) GROUP BY f.subscriptionId, d.billingPeriodStart""",
+    "rls_fact_attributes": f"""
+      , seen AS (SELECT 'cost' AS name, count(*) AS n FROM {_STAR}
+          WHERE s.subscriptionName IN ('NATION_2', 'NATION_7') AND (r.businessUnit = 'NATION_2' OR r.team = 'NATION_2')
+        UNION ALL SELECT 'utilization', count(*) FROM util u JOIN dim_resource r USING (resourceKey)
+          WHERE r.businessUnit = 'NATION_2' OR r.team = 'NATION_2')
+      SELECT name || how AS reading, n AS "visibleRows" FROM seen, (VALUES (' by method'), (' by attribute')) t(how)""",
     "cost_export": f"""
       SELECT {day('d.billingPeriodStart', 'BillingPeriodStartDate')}, f.subscriptionId AS "SubscriptionId", count(*) AS costRows,
         {m('sum(f.actualCost)', 'cost')}, {m('sum(f.usageQuantity)', 'quantity')}

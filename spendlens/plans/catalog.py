@@ -7,6 +7,7 @@ caller makes (one subscription, one resource, a date range) are left open: all m
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,12 @@ from ..operators.calendar import calendar_of
 from ..schema import schema
 from ..sources.binding import AS_OF, END, FIRST_DAY, BoundStar, metric_samples
 from ..sources.exports import latest_export, read_export
-from ..sources.lake import read_or_empty
+from ..sources.lake import Lake, read_or_empty
 from ..sources.tags import flatten_tags
 from ..star import Star
 from ..streaming.alerts import alert_stream, run_alerts
 from ..streaming.metrics import daily_statistics, run_rollup_stream
-from .ingest import TRACKED, resource_versions
+from .ingest import TRACKED, UNKNOWN, load_exports, resource_versions
 from .refresh import POLICIES, refreshed
 
 HISTORY_DAYS = (END.date() - FIRST_DAY).days
@@ -97,6 +98,17 @@ def _secured_cost(star: Star, *group_by: str) -> DataFrame:
     return measures.measures(star, ["Total Actual Cost", "Cost per Resource"], group_by)
 
 
+def _secured_facts(star: BoundStar) -> DataFrame:
+    """Rows of every secured fact, read by method and by attribute: both see the same."""
+    narrow = security.secured(star, "NATION_2", ("NATION_2", "NATION_7"))
+    read = {
+        "cost by method": narrow.cost(["subscriptionKey"]), "cost by attribute": narrow.fact_cost_daily,
+        "utilization by method": narrow.utilization(), "utilization by attribute": narrow.fact_utilization_daily,
+    }
+    parts = [rows.agg(F.count(F.lit(1)).alias("visibleRows")).withColumn("reading", F.lit(name)) for name, rows in read.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _refresh_window(star: BoundStar) -> DataFrame:
     """Days kept and days reloaded: the stored copy ends before the reload window."""
     policy = POLICIES["fact_cost_daily"]
@@ -141,6 +153,35 @@ def _cost_export(star: BoundStar) -> DataFrame:
         F.sum("Quantity").alias("quantity"))
 
 
+def _load_exports_fact(star: BoundStar) -> DataFrame:
+    """The cost rows written as exports of two billing accounts and loaded into an empty lake. One
+    account has exported twice (the older amounts must not count), the other writes its columns in
+    another order; all resource groups bear one name, every tenth meter's rows name no resource."""
+    folder, lake = work_folder(star.spark, "exports"), Lake(star.spark, work_folder(star.spark, "lake"))
+
+    def export(account: int, run: str, price_factor: str = "1.0", backwards: bool = False) -> None:
+        number = F.regexp_extract("SubscriptionId", r"(\d+)", 1).cast("int")
+        rows = _export_columns(star, price_factor=price_factor).filter(number % 2 == account).withColumns({
+            "BillingAccountId": F.lit(f"account-{account}"), "ResourceGroup": F.lit("rg"),
+            "ResourceId": F.when(~F.col("MeterId").endswith("0"), F.col("ResourceId")),
+        })
+        columns = sorted(rows.columns, reverse=backwards)
+        rows.select(columns).write.option("header", True).csv(f"{folder}/{run}")
+
+    export(0, "run=1", price_factor="0.5")
+    export(0, "run=2")
+    export(1, "run=3", backwards=True)
+    load_exports(lake, AS_OF, folder)
+    groups = lake.read("dim_resource_group").select("resourceGroupKey", F.col("subscriptionId").alias("groupOwner"))
+    named = lake.read("dim_resource").select("resourceKey", F.col("resourceId").alias("member"))
+    return (
+        lake.read("fact_cost_daily").join(groups, "resourceGroupKey").join(named, "resourceKey")
+        .groupBy("subscriptionId", "groupOwner", "billingPeriodStartDate").agg(
+            F.count(F.lit(1)).alias("costRows"), F.sum("actualCost").alias("cost"),
+            F.count(F.when(F.col("member") == UNKNOWN, 1)).alias("unknownResources"))
+    )
+
+
 def _resource_snapshot(star: BoundStar) -> DataFrame:
     """A later state of the resources: those with a negative balance changed team."""
     suppliers = star.sample("supplier").select(
@@ -276,6 +317,8 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "completeness": quality.completeness,
     "reconciliation": lambda s: quality.reconciliation(s, _invoices(s), tolerance=0.02),
     "cost_export": _cost_export,
+    "load_exports_fact": _load_exports_fact,
+    "rls_fact_attributes": _secured_facts,
     "resource_versions": _resource_versions,
     "stream_budget_alerts": _stream_alerts,
     "stream_daily_metrics": _stream_metrics,
