@@ -32,7 +32,7 @@ from .shipping import ship
 from .words import LOWER, SPACE, U64, Words, slices, words_of
 
 #: Labelled texts that training may read: not toxic, toxic.
-SAMPLE = (4000, 1500)
+SAMPLE = (3000, 1200)
 WINDOW, STRIDE = 32, 24
 WORD_BITS, CHAR_BITS = 17, 15
 WIDTH, HIDDEN = 8, 8
@@ -56,8 +56,8 @@ class Vocabulary:
         first = np.cumsum(counts) - counts
         place = np.arange(counts.sum()) + np.repeat(begin - first, counts)  # of the byte before, in data
         code = (data[place] << U64(16)) | (data[place + 1] << U64(8)) | data[place + 2]
-        return cls((words.names[at] >> U64(64 - WORD_BITS)).astype(np.int64),
-                   ((code * _MULTIPLIER) >> U64(64 - CHAR_BITS)).astype(np.int64), counts)
+        return cls((words.names[at] >> U64(64 - WORD_BITS)).astype(np.int32),
+                   ((code * _MULTIPLIER) >> U64(64 - CHAR_BITS)).astype(np.int32), counts)
 
     def inputs(self, p: dict[str, np.ndarray]) -> np.ndarray:
         first = np.cumsum(self.counts) - self.counts
@@ -82,8 +82,11 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE)), 0)
     text = np.repeat(np.arange(len(sizes)), counts)
     begin = (np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
-    place = begin[:, None] + np.arange(WINDOW)
-    return np.where(place < sizes[text][:, None], place + first[text][:, None], -1), text
+    place = begin[:, None].astype(np.int32) + np.arange(WINDOW, dtype=np.int32)
+    beyond = place >= sizes[text][:, None]
+    place += first[text][:, None].astype(np.int32)
+    place[beyond] = -1
+    return place, text
 
 
 def parameters(seed: int = 11) -> dict[str, np.ndarray]:
@@ -224,7 +227,7 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
     for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]), "text"):
         words = words_of(part.column("text"), lower=True)
         own, at, back = np.unique(words.names, return_index=True, return_inverse=True)
-        backs.append(back + sum(map(len, names)))
+        backs.append((back + sum(map(len, names))).astype(np.int32))
         names.append(own)
         vocabularies.append(Vocabulary.of(words, at))
         sizes.append(np.diff(words.first))
@@ -235,7 +238,8 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
         return Model(constant=share)
     _, first, among = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
     everything = Vocabulary.joined(vocabularies).take(first)
-    index = np.where(place >= 0, among[np.concatenate(backs)][place], -1).astype(np.int32)
+    index = among.astype(np.int32)[np.concatenate(backs)][place]
+    index[place < 0] = -1
     del names, vocabularies, backs, place
     rng = np.random.default_rng(5)
     truth = labels[text]
