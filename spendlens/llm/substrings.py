@@ -182,7 +182,8 @@ def _counts_here(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _STRETCHES = pa.schema([("deal", pa.int64()), ("stretch", pa.int64()), ("known", pa.int8()), ("place", pa.int64()),
                         ("begin", pa.int32()), ("end", pa.int32())])
 #: known: 0 nothing, 1 the key is shared, 2 all windows are repeated, 3 the same and the first such
-#: stretch of its part; a witness has no place.
+#: stretch of its part; a witness has no place. The row that a key's witness with known = 1 stands for is
+#: dealt by its stretch and does not meet it: the witness shows a repeat, but never takes the turn to be named.
 
 
 def _file_windows(window: int):
@@ -362,7 +363,7 @@ def _repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     per_deal, per_stretch = Window.partitionBy("deal"), Window.partitionBy("deal", "stretch")
     judged = (stretches
               .withColumn("same", F.count(F.lit(1)).over(per_stretch))
-              .withColumn("turn", F.row_number().over(per_stretch.orderBy("place")))
+              .withColumn("turn", F.row_number().over(per_stretch.orderBy(F.expr("place IS NULL AND known < 2"), "place")))
               .withColumn("met", F.count(F.lit(1)).over(per_deal))
               .filter("place IS NOT NULL AND (known > 0 OR met > 1)")
               .withColumn("done", F.expr("known >= 2 OR same > 1"))

@@ -48,6 +48,22 @@ def test_against_brute_force(table, seed, letters, window):
     assert got(df) == brute_force(rows, window)
 
 
+@pytest.mark.parametrize("files", [("TE", "T"), ("TE", "TE"), ("TE", "T", "TT"), ("TEF", "E", "FTT"), ("ETF", "T", "T")])
+def test_repeats_between_parts(table, files):
+    """T is a text, E and F are copies of it with a word changed; each file is a part of its own."""
+    rng, parts = random.Random(6), [[] for _ in files]
+    for i in range(40):
+        text = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        copies = {"T": text, "E": text[:90] + ["edit"] + text[91:], "F": text[:120] + ["other"] + text[121:]}
+        for part, letters in zip(parts, files):
+            part += [(1000 * i + len(part), " ".join(copies[x])) for x in letters]
+    docs = [table(rows, "doc_id long, text string", f"parts/n={n}", 1) for n, rows in enumerate(parts)]
+    whole = docs[0].sparkSession.read.parquet(docs[0].inputFiles()[0].rsplit("/", 2)[0])
+    assert whole.rdd.getNumPartitions() == len(files)
+    df = substrings.remove_repeats(whole, digests=True)
+    assert got(df) == brute_force([r for rows in parts for r in rows], 35)
+
+
 def test_sample(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
