@@ -1,7 +1,7 @@
 """Main text of web pages by differencing pages that are near by URL.
 
-The pages of a host are ordered by URL path; each is paired with the page before and the page after
-it. The text lines (blocks) of the two are aligned by their longest common subsequence, and lines
+The pages of a host are ordered by URL path; each is paired with the nearest page before and after it
+whose lines differ from its own: copies (a recrawl, a mirror path) say nothing about what is frame. The text lines (blocks) of the two are aligned by their longest common subsequence, and lines
 that a page shares with a neighbour are deleted. Elements that are never article text (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out first,
 and where a page marks its article (``article`` or ``main``) only what lies inside is text and what
@@ -9,7 +9,7 @@ lies inside is safe from the deletion: neighbours may quote the same passage. So
 decides for all lines of a page that marks no article.
 
 Neighbours exchange hashes of lines only. The order is made in ranges, so a host with a third of
-all pages is split; a range hands on its first and last row. Pages of one host and path are ordered
+all pages is split; a range hands on its first and last row and what differs from them. Pages of one host and path are ordered
 by page_id. Null html or url counts as empty; rows that repeat page_id and url have the same
 neighbours. Malformed markup never fails: what cannot be read as a tag is text. Extra columns are
 ignored.
@@ -25,7 +25,7 @@ from html import unescape
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.staging import staged
@@ -195,23 +195,38 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
-    """page_id, url, and the line hashes of the pages before and after on the same host (null: none)."""
+    """page_id, url, and the line hashes of the nearest pages before and after on the same host that
+    differ from its own (null: none)."""
     order = ["host", "path", "page_id", "url"]
     keyed = pages.mapInArrow(_outlines, "page_id long, url string, host string, path string, hashes array<bigint>")
     ranged = staged(keyed.dropDuplicates(["page_id", "url"]).repartitionByRange(*order)
                     .withColumn("range", F.spark_partition_id()), "page-order")
     row, key = F.struct("host", "hashes"), F.struct(*order)
-    edges = ranged.groupBy("range").agg(F.min_by(row, key).alias("first"), F.max_by(row, key).alias("last"))
-    ranges = Window.orderBy("range")  # a row per shuffle partition
-    edges = edges.select("range", F.lag("last").over(ranges).alias("last_before"), F.lead("first").over(ranges).alias("first_after"))
-    inside = Window.partitionBy("range").orderBy(*order)
-    placed = ranged.withColumns({"b": F.lag(row).over(inside), "a": F.lead(row).over(inside)}).join(edges, "range")
+    placed = _differing(ranged, Window.partitionBy("range"), order, row, "b", "a")
+    # a run of equal pages may begin and end ranges away: at most four rows of each range tell
+    edges = placed.groupBy("range").agg(F.min_by(F.struct(row.alias("row"), "a"), key).alias("first"),
+                                        F.max_by(F.struct(row.alias("row"), "b"), key).alias("last"))
+    ends = (edges.select("range", F.posexplode(F.array("first.row", "first.a", "last.b", "last.row")).alias("at", "row"))
+            .filter("row IS NOT NULL"))
+    ends = _differing(ends, Window.partitionBy(), ["range", "at"], F.col("row"), "b", "a").groupBy("range").agg(
+        F.min_by("b", "at").alias("first_before"), F.max_by("a", "at").alias("last_after"))
+    placed = placed.join(ends, "range")
 
     def beside(own: str, edge: str):
         other = F.coalesce(own, edge)
         return F.when(other["host"] == F.col("host"), other["hashes"])
 
-    return placed.select("page_id", "url", beside("b", "last_before").alias("before"), beside("a", "first_after").alias("after"))
+    return placed.select("page_id", "url", beside("b", "first_before").alias("before"), beside("a", "last_after").alias("after"))
+
+
+def _differing(rows: DataFrame, part: WindowSpec, order: list[str], value: Column, before: str, after: str) -> DataFrame:
+    """Adds the nearest value before and after each row that differs from its own."""
+    for name, by in ((before, [F.col(c).asc() for c in order]), (after, [F.col(c).desc() for c in order])):
+        window = part.orderBy(*by)
+        rows = rows.withColumn(name, F.lag(value).over(window))
+        other = F.when(~F.col(name).eqNullSafe(value), F.col(name))
+        rows = rows.withColumn(name, F.last(other, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -101,3 +101,21 @@ def test_neighbours_decide_where_no_article_is_marked(table):
     assert rows[10].text == "Home\nAll topics\nalone\nImprint 2020" and rows[11].text == "" and rows[11].n_chars == 0
     assert rows[12].text == rows[13].text == "s" and rows[5].url == "http://h.org/p/5?x=1"
     assert html_text.main_text(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_copies_are_not_compared(table, spark, coalesced):
+    frame = "<div>Home</div>{}<div>Imprint</div>"
+    pages = []
+    for host, topics in (("a.org", [1, 1, 2, 2, 2, 3]), ("b.org", [4] * 40 + [5]), ("c.org", [6] * 3), ("d.org", [7] * 30 + [8] * 30 + [7] * 30)):
+        pages += [(len(pages) + i, f"http://{host}/p/{i // 2:03d}", frame.format(f"<p>text {n}</p><p>more {n}</p>")) for i, n in enumerate(topics)]
+    docs = table(pages, "page_id long, url string, html string", files=3)
+    key, held = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(key, coalesced)  # false: the runs of copies reach over ranges
+    try:
+        texts = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
+    finally:
+        spark.conf.set(key, held)
+    for i, url, html in pages:
+        lines = [t for t, _ in html_text.lines_of(html)]
+        assert texts[i] == "\n".join(lines if "c.org" in url else lines[1:-1])
