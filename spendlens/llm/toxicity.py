@@ -33,7 +33,7 @@ from .words import LOWER, SPACE, U64, Words, slices, words_of
 
 #: Labelled texts that training may read: not toxic, toxic.
 SAMPLE = (3000, 1200)
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 17, 15
 WIDTH, HIDDEN = 8, 8
 STEPS, ROUNDS, ROUND_STEPS, HARDEST = 240, 6, 40, 3

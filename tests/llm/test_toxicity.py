@@ -46,6 +46,12 @@ def test_windows_cover_every_word():
         assert set(place[place >= 0]) == set(range(n)) and set(text) == {0}
 
 
+def test_passages_lie_whole_in_a_window():
+    place, _ = toxicity.windows(words_of(pa.array(["w " * 300])).first)
+    whole = [set(row[row >= 0]) for row in place]
+    assert all(any(set(range(a, a + 17)) <= row for row in whole) for a in range(300 - 16))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.learn(docs, labels)
