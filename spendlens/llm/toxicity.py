@@ -7,8 +7,8 @@ overlap by WINDOW - STRIDE words. Attention pools the states of a window, a line
 logit, and a text's logit is the largest of its windows', calibrated on the training texts with the
 weights of all labels. So one toxic passage is found in a text of any length.
 
-Training reads labels of at most SAMPLE texts of each class, chosen by a hash of their ids among
-rows that are not held out (crc32 of the id as text, modulo 5, is not 0). In the first steps every
+Training reads labels of at most SAMPLE texts of each class with SAMPLE_BYTES together, chosen by a hash of
+their ids (a text that no longer fits is passed over) among rows that are not held out (crc32 of the id as text, modulo 5, is not 0). In the first steps every
 window bears its text's label: what both classes share teaches nothing, what only toxic texts hold
 stands out. In the later rounds a text is judged as in use: a toxic one by its most toxic window, a
 clean one by the HARDEST of all its windows. Seeds
@@ -33,6 +33,8 @@ from .words import LOWER, SPACE, U64, Words, slices, words_of
 
 #: Labelled texts that training may read: not toxic, toxic.
 SAMPLE = (3000, 1200)
+#: Bytes of these texts that the driver may hold: not toxic, toxic.
+SAMPLE_BYTES = (12_000_000, 6_000_000)
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 17, 15
 WIDTH, HIDDEN = 8, 8
@@ -315,12 +317,29 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(constant=share)
     chosen = [usable.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE[value]) for value in (0, 1)]
     sample = chosen[0].union(chosen[1])  # at most as many ids as SAMPLE says: small enough to broadcast
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).collect())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text")).alias("size"))
+    sizes = found.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    ids = [i for value in (0, 1) for i in _within([(r["doc_id"], r["size"]) for r in sizes if r["toxic"] == value], SAMPLE_BYTES[value])]
+    limit = F.when(F.col("toxic") == 1, SAMPLE_BYTES[1]).otherwise(SAMPLE_BYTES[0])
+    sample = sample.filter(F.col("doc_id").isin(ids))
+    rows = (texts.join(F.broadcast(sample), "doc_id").withColumn("text", F.substring("text", F.lit(1), limit))
+            .dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]), share)
 
 
+def _within(sizes: list[tuple[int, int]], limit: int) -> list[int]:
+    """The ids whose texts fit into ``limit`` bytes together: one that no longer fits is passed over. If
+    none fits, the shortest (its beginning is used)."""
+    ids, left = [], limit
+    for i, size in sizes:
+        if size <= left:
+            ids.append(i)
+            left -= size
+    return ids or [i for i, _ in sorted(sizes, key=lambda x: x[1])[:1]]
+
+
 _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 

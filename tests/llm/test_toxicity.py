@@ -76,6 +76,19 @@ def test_edges(table, spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_sample_is_bounded_in_bytes(table, spark, monkeypatch):
+    docs = table([(i, ("bad " if i % 2 else "fine ") * (100_000 if i % 3 == 0 else 20)) for i in range(60)], "doc_id long, text string")
+    labels, taken = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"), []
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", (450_000, 1_000), raising=False)
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, share: taken.append((texts, toxic)))
+    toxicity.learn(docs, labels)
+    sizes = [sum(len(t) for t, v in zip(*taken[0]) if v == value) for value in (0, 1)]
+    assert 0 < sizes[0] <= 450_000 and 0 < sizes[1] <= 1_000
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", (50, 50), raising=False)
+    toxicity.learn(docs, labels)
+    assert [len(t) for t in taken[1][0]] == [50, 50]
+
+
 def test_scores_need_only_the_text(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.learn(docs, labels)
