@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, minhash, packing, substrings, syncmers, token_counts, toxicity, warc
+from . import bpe, exact_dedup, html_text, minhash, packing, runs, substrings, syncmers, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op13_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(runs.find_runs(runs.with_planted_runs(_documents(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_nearest_url_text": op9_nearest_url_text,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op13_synchronising_runs": op13_synchronising_runs,
 }
 
 ORACLES: dict[str, str] = {
