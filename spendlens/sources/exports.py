@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The columns of an export and their types. The header repeats many names.
@@ -31,54 +32,116 @@ EXPORT_COLUMNS = {
 OPTIONAL_COLUMNS = {"ResourceId": "string", "ResourceGroup": "string"}
 
 
-def _positions(names: list[str]) -> dict[str, str]:
-    """Known column -> the header entry to read. A repeated name carries its position as a suffix;
-    the first occurrence counts."""
-    known = {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}
-    chosen: dict[str, str] = {}
+KNOWN = {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}
+_CSV = {"escape": '"'}
+
+
+def header_positions(names: list[str]) -> dict[str, int]:
+    """Known column -> its position in the header; the first occurrence of a name counts."""
+    chosen: dict[str, int] = {}
     for position, name in enumerate(names):
-        plain = name if name in known else name.removesuffix(str(position))
-        if plain in known:
-            chosen.setdefault(plain, name)
+        if name in KNOWN:
+            chosen.setdefault(name, position)
     return chosen
 
 
-def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by their header line. The first line of a file is the first one of its first split; the
-    result is one row per file."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    first = lines.filter("_metadata.file_block_start = 0").groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.first("value").alias("header"))
-    layouts: dict[str, list[str]] = {}
-    for row in first.orderBy("file").collect():
-        if row["header"]:
-            layouts.setdefault(row["header"], []).append(unquote(row["file"]))
+def _text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines of text files with their file, the start of their split (``block``) and a number
+    that grows inside a split. ``odd`` tells that a line has an odd number of quotes."""
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(paths)
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_modification_time").alias("exportTime"),
+        F.monotonically_increasing_id().alias("at"), "value", (quotes % 2).alias("odd"))
+
+
+def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str], list[str]]]:
+    """(header, files without a line of odd quotes, other files) per header that occurs. The driver
+    gets two numbers and a flag per file, and one line per header."""
+    first = F.min_by(F.when(F.col("block") == 0, F.xxhash64("value")), F.struct("block", "at"))
+    files = _text(spark, path).groupBy("file").agg(first.alias("header"), (F.max("odd") > 0).alias("quoted"))
+    by_header: dict[int, tuple[list[str], list[str]]] = {}
+    for row in files.orderBy("file").collect():
+        by_header.setdefault(row["header"], ([], []))[row["quoted"]].append(unquote(row["file"]))
+    layouts = []
+    for plain, quoted in by_header.values():
+        line = spark.read.option("lineSep", "\n").text((plain or quoted)[0]).first()["value"]
+        names = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+        if names:
+            layouts.append((names, plain, quoted))
     return layouts
 
 
-def _typed(raw: DataFrame) -> DataFrame:
-    chosen = _positions(raw.columns)
+def csv_records(lines: DataFrame) -> DataFrame:
+    """The records of CSV files out of their lines (see ``_text``): file, exportTime, block and line where
+    a record starts, record. A quoted field may hold line feeds; a quote inside it is doubled.
+
+    A line starts a record if the quotes before it are even in number. Every split counts its own; the
+    sum over the splits before it, one small row each, tells whether it begins inside a field. So any
+    number of tasks reads one file. Records of one line are ready then; only the lines of longer
+    records are gathered, also across splits.
+    """
+    splits = lines.groupBy("file", "exportTime", "block").agg(F.sum("odd").alias("odds"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    entered = splits.select("file", "exportTime", "block", (F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2).alias("inside"))
+    here = Window.partitionBy("file", "block").orderBy("at")
+    before = F.coalesce(F.sum("odd").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = (
+        lines.drop("exportTime").join(entered, ["file", "block"])
+        .withColumns({"line": F.row_number().over(here), "starts": (F.col("inside") + before) % 2 == 0})
+        .withColumn("first", F.max(F.when(F.col("starts"), F.col("line"))).over(here))
+        .select("file", "exportTime", "block", "line", "value", "first", (F.col("starts") & (F.col("odd") == 0)).alias("whole"))
+    )
+    # lines before the first start of a split belong to the last record that started before it
+    last = placed.groupBy("file", "block").agg(F.max("first").alias("last"))
+    carried = last.select("file", "block", F.last(F.when(F.col("last").isNotNull(), F.struct("block", "last")), True)
+                          .over(earlier).alias("owner"))
+    parts = placed.filter(~F.col("whole")).join(carried, ["file", "block"])
+    begins = F.when(F.col("first").isNotNull(), F.struct("block", F.col("first").alias("last"))).otherwise(F.col("owner"))
+    long = parts.groupBy("file", "exportTime", begins.alias("begins")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
+    joined = long.select("file", "exportTime", F.col("begins.block").alias("block"), F.col("begins.last").alias("line"),
+                         F.array_join("lines.value", "\n").alias("record"))
+    return placed.filter("whole").select("file", "exportTime", "block", "line", F.col("value").alias("record")).unionByName(joined)
+
+
+def _typed(raw: DataFrame, names: list[str]) -> DataFrame:
+    """Declared columns out of ``c0``, ``c1``, ... and the file."""
+    chosen = header_positions(names)
     columns = []
-    for name, kind in {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}.items():
+    for name, kind in KNOWN.items():
         if name not in chosen:
             columns.append(F.lit(None).cast(kind).alias(name))
             continue
-        text = F.col(f"`{chosen[name]}`")
+        text = F.col(f"c{chosen[name]}")
         columns.append((text if kind == "string" else text.try_cast(kind)).alias(name))
-    return raw.select(*columns, F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("exportFolder"),
-                      F.col("_metadata.file_modification_time").alias("exportTime"))
+    return raw.select(*columns, F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("exportFolder"), "exportTime")
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """Typed export rows with ``exportFolder`` and ``exportTime`` of their file. Files are read by
     header: their columns may differ in order and number. Columns a header lacks are NULL,
-    unreadable numbers and dates too. A quoted field may hold line feeds."""
-    csv = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    layouts = [_typed(csv.csv(files)) for files in _layouts(spark, path).values()]
-    if not layouts:
-        fields = ", ".join(f"`{n}` {k}" for n, k in {**EXPORT_COLUMNS, **OPTIONAL_COLUMNS}.items())
+    unreadable numbers and dates too. A quoted field may hold line feeds: files in which that may be
+    so are put together by :func:`csv_records`, all others are plain splittable CSV."""
+    tables = []
+    for names, plain, quoted in _layouts(spark, path):
+        fields = ", ".join(f"c{i} string" for i in range(len(names)))
+        if plain:
+            tables.append(_typed(
+                spark.read.options(header=True, **_CSV).schema(fields).csv(plain).select(
+                    "*", F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_modification_time").alias("exportTime")), names))
+        if quoted:
+            # the header is the first record of its file; an empty line is no record
+            text = F.regexp_replace("record", "\r$", "")
+            rows = csv_records(_text(spark, quoted)).filter("NOT (block = 0 AND line = 1) AND trim(record) NOT IN ('', '\r')")
+            rows = rows.select("file", "exportTime", F.from_csv(text, fields, {**_CSV, "multiLine": "true"}).alias("row"))
+            tables.append(_typed(rows.select("row.*", "file", "exportTime"), names))
+    if not tables:
+        fields = ", ".join(f"`{n}` {k}" for n, k in KNOWN.items())
         return spark.createDataFrame([], f"{fields}, exportFolder string, exportTime timestamp")
-    return reduce(DataFrame.unionByName, layouts)
+    return reduce(DataFrame.unionByName, tables)
 
 
 # What an export holds as a whole: a later one replaces it.
