@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from .base import statement
 from .core import QUERIES as _core
+from .features import QUERIES as _features
 from .model import QUERIES as _model
 
-QUERIES: dict[str, str] = {name: statement(sql) for name, sql in {**_core, **_model}.items()}
+QUERIES: dict[str, str] = {name: statement(sql) for name, sql in {**_core, **_model, **_features}.items()}

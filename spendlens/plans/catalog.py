@@ -27,6 +27,7 @@ from ..sources.tags import flatten_tags
 from ..star import Star
 from ..streaming.alerts import alert_stream, run_alerts
 from ..streaming.metrics import daily_statistics, run_rollup_stream
+from .features import FEATURES
 from .ingest import TRACKED, UNKNOWN, load_exports, resource_versions
 from .refresh import POLICIES, refreshed
 
@@ -323,3 +324,4 @@ CATALOG: dict[str, Callable[[BoundStar], DataFrame]] = {
     "stream_budget_alerts": _stream_alerts,
     "stream_daily_metrics": _stream_metrics,
 }
+CATALOG |= FEATURES
