@@ -11,7 +11,8 @@ from ..functions.advice import monthly_savings, recommendation_category, recomme
 from ..functions.columns import dbl, safe_divide
 from ..functions.dates import days_before, first_day_from, last_day_until
 from ..functions.metrics import CPU, FREE_MEMORY, resource_type, utilization_percentage
-from ..functions.quantiles import approximate_percentiles, percentiles
+from ..functions.quantiles import approximate_percentiles, percentiles_of_counts
+from ..functions.staging import staged
 from ..star import Star
 from .kpis import utilization_status
 
@@ -53,18 +54,25 @@ def resource_utilization_metrics(star: Star, as_of: datetime) -> DataFrame:
 
 def daily_metrics_summary(star: Star, as_of: datetime, approximate: bool = False) -> DataFrame:
     """Day statistics per resource and metric. The percentiles cover the day, resource and metric,
-    whichever group or namespace a sample was filed under; ``approximate`` takes sketches."""
+    whichever group or namespace a sample was filed under; ``approximate`` takes sketches.
+
+    The samples are read once: equal values are counted, and both the statistics and the exact
+    percentiles come from these counts."""
     samples = star.metrics(since=days_before(as_of, METRIC_DAYS)).select(
         F.to_date("startTime").alias("metricDate"), "resourceId", "subscriptionId", "resourceGroup",
         "metricName", "metricNamespace", "metricValue",
     )
     series = ["metricDate", "resourceId", "metricName"]
-    groups = samples.groupBy(*series, "subscriptionId", "resourceGroup", "metricNamespace").agg(
-        F.sum("metricValue").alias("sumValue"), F.max("metricValue").alias("maxValue"),
-        F.min("metricValue").alias("minValue"), F.count(F.lit(1)).alias("sampleCount"),
-    )
-    quantiles = (approximate_percentiles if approximate else percentiles)(
-        samples, series, "metricValue", {"p50Value": 0.50, "p95Value": 0.95}
+    filed, wanted = [*series, "subscriptionId", "resourceGroup", "metricNamespace"], {"p50Value": 0.50, "p95Value": 0.95}
+    counts = samples.groupBy(*filed, "metricValue").agg(F.count(F.lit(1)).alias("rows"))
+    if approximate:
+        quantiles = approximate_percentiles(samples, series, "metricValue", wanted)
+    else:
+        counts = staged(counts, "metric-counts")
+        quantiles = percentiles_of_counts(counts, series, "metricValue", "rows", wanted)
+    groups = counts.groupBy(*filed).agg(
+        F.sum(F.col("metricValue") * F.col("rows")).alias("sumValue"), F.max("metricValue").alias("maxValue"),
+        F.min("metricValue").alias("minValue"), F.sum("rows").alias("sampleCount"),
     )
     average, top = F.col("avgValue"), dbl("maxValue")
     memory_status = (

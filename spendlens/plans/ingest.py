@@ -235,9 +235,9 @@ def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[s
     written["dim_date"] = lake.append("dim_date", days)
     facts = staged(conform(cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of)), schema("fact_cost_daily")),
                    "facts")
-    kept = beside(facts, lake)
+    kept = staged(beside(facts, lake), "kept")
     written["unknown_members"] = export.filter(
         (F.col("ResourceId") == UNKNOWN) | (F.col("SubscriptionId") == UNKNOWN) | (F.col("MeterId") == UNKNOWN)).count()
     written["fact_cost_daily"] = facts.count()
-    lake.replace("fact_cost_daily", facts.unionByName(kept))
+    lake.replace("fact_cost_daily", facts.unionByName(kept), ready=True)
     return written

@@ -83,11 +83,12 @@ class Lake:
         the table itself stay chosen when the write is repeated."""
         return self._write(table, rows, "append")
 
-    def replace(self, table: str, rows: DataFrame, only_after: int | None = None) -> int:
+    def replace(self, table: str, rows: DataFrame, only_after: int | None = None, ready: bool = False) -> int:
         """A new version of the table (of the days it holds, for a fact). ``rows`` may come from
         the table itself: they are staged before the first file is replaced. With ``only_after``,
-        days from that one on which ``rows`` lacks are removed."""
-        return self._write(table, rows, "overwrite", only_after)
+        days from that one on which ``rows`` lacks are removed. ``ready``: ``rows`` have been staged,
+        are complete, and do not depend on the table any more."""
+        return self._write(table, rows, "overwrite", only_after, ready)
 
     def days(self, table: str) -> list[int]:
         """The days a fact has a folder for: one name per day."""
@@ -107,8 +108,8 @@ class Lake:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _write(self, table: str, rows: DataFrame, mode: str, only_after: int | None = None) -> int:
-        version = staged(conform(rows, schema(table)), table)
+    def _write(self, table: str, rows: DataFrame, mode: str, only_after: int | None = None, ready: bool = False) -> int:
+        version = rows if ready else staged(conform(rows, schema(table)), table)
         count = version.count()
         if table in PARTITION_COLUMN:
             day = PARTITION_COLUMN[table]
