@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import staged
 from .shipping import ship
-from .words import U64, Words, join_names, scramble, slices, words_of
+from .words import U64, Words, buffers, join_names, release, scramble, slices, words_of
 
 SHINGLE = 5
 ROWS, BANDS = 8, 64
@@ -127,6 +127,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  bands, pa.array(low, pa.binary())], schema=_SKETCH)
+    release()
 
 
 
@@ -164,18 +165,31 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
 
 
+def _pair_slices(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive pairs with about ``limit`` bytes in both texts together; a longer pair is alone."""
+    total = np.concatenate([[0], np.cumsum(sum(np.diff(buffers(batch.column(c))[1]) for c in ("text_a", "text_b")))])
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + limit, side="right")) - 1)
+        yield batch.slice(begin, min(end, batch.num_rows) - begin)
+        begin = end
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text_a"):
+        for part in _pair_slices(batch):
+            # the words of one side are gone before the other's are cut
             sides = [shingle_sets(words_of(part.column(c), lower=True)) for c in ("text_a", "text_b")]
             sizes = [np.bincount(owner, minlength=part.num_rows) for owner, _ in sides]
             owner, value = (np.concatenate(x) for x in zip(*sides))
+            del sides
             order = np.lexsort((value, owner))
             owner, value = owner[order], value[order]
             shared = np.bincount(owner[1:][(owner[1:] == owner[:-1]) & (value[1:] == value[:-1])],
                                  minlength=part.num_rows)
             linked = 100 * shared >= PERCENT * (sizes[0] + sizes[1] - shared)
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema=_PAIRS).filter(pa.array(linked))
+    release()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:

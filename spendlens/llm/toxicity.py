@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
-from .words import LOWER, SPACE, U64, Words, slices, words_of
+from .words import LOWER, SPACE, U64, Words, release, slices, words_of
 
 #: Labelled texts that training may read: not toxic, toxic.
 SAMPLE = (3000, 1200)
@@ -350,6 +350,7 @@ def _score(shared):
             for part in slices(batch, "text", 1 << 20):
                 scores = model.scores(words_of(part.column("text"), lower=True))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores, pa.float64())], schema=_SCORED)
+        release()
 
     return run
 
@@ -375,5 +376,6 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
             for part in slices(batch, "text", 1 << 20):
                 scores = model.scores(words_of(part.column("text"), lower=True))
                 yield part.filter(pa.array(scores < 0.5))
+        release()
 
     return docs.mapInArrow(run, columns)

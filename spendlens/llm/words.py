@@ -6,6 +6,9 @@ alone, so equal words have equal names in every task and in every run.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +111,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         begin = end
 
 
+def release() -> None:
+    """Give memory that this worker does not use any more back to the system: workers outlive their
+    tasks, and what one stage has left free would add to what the next one takes."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def words_of(column: pa.Array, lower: bool = False) -> Words:
     data, offsets = buffers(column)
     return Words(data[offsets[0]:offsets[-1]], offsets - offsets[0], lower)
