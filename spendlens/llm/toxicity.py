@@ -261,8 +261,8 @@ def train(texts: list[str], labels: np.ndarray, share: float) -> Model:
 
     def all_logits() -> np.ndarray:
         found = []
-        for a in range(0, len(index), 4096):
-            own, inner = chosen(np.arange(a, min(a + 4096, len(index))))
+        for a in range(0, len(index), 1024):
+            own, inner = chosen(np.arange(a, min(a + 1024, len(index))))
             found.append(logits(p, own.inputs(p), inner)[0])
         return np.concatenate(found)
 
@@ -322,7 +322,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     sizes = found.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     ids = [i for value in (0, 1) for i in _within([(r["doc_id"], r["size"]) for r in sizes if r["toxic"] == value], SAMPLE_BYTES[value])]
     limit = F.when(F.col("toxic") == 1, SAMPLE_BYTES[1]).otherwise(SAMPLE_BYTES[0])
-    sample = sample.filter(F.col("doc_id").isin(ids))
+    fitting = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
+    sample = sample.join(F.broadcast(fitting), "doc_id", "left_semi")
     rows = (texts.join(F.broadcast(sample), "doc_id").withColumn("text", F.substring("text", F.lit(1), limit))
             .dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
