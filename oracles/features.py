@@ -39,6 +39,24 @@ _FORECAST = f"""
     FROM predicted p JOIN spent s ON s.subscriptionKey = p.subscriptionKey AND s."date" = p.day
     WHERE p.g <= 7 AND p.origin < DATE '2001-08-01' GROUP BY p.subscriptionKey, p.origin)"""
 
+_MOVERS = f"""
+  , part AS (SELECT me.serviceName, f.resourceKey, d."date" >= {NOW} - INTERVAL 30 DAY AS recent, f.usageQuantity AS q, f.actualCost AS c
+    FROM fact f JOIN dim_date d USING (dateKey) JOIN dim_meter me USING (meterKey) WHERE d."date" >= {NOW} - INTERVAL 60 DAY AND d."date" <= {NOW}),
+  member AS (SELECT serviceName, resourceKey, coalesce(sum(q) FILTER (NOT recent), 0) AS q0, coalesce(sum(q) FILTER (recent), 0) AS q1,
+      coalesce(sum(c) FILTER (NOT recent), 0) AS c0, coalesce(sum(c) FILTER (recent), 0) AS c1 FROM part GROUP BY ALL),
+  service AS (SELECT serviceName, sum(q0)::DOUBLE AS q0, sum(q1)::DOUBLE AS q1, sum(c0)::DOUBLE AS c0, sum(c1)::DOUBLE AS c1 FROM member GROUP BY ALL),
+  priced AS (SELECT m.*, CASE WHEN s.q0 > 0 THEN s.c0 / s.q0 WHEN s.q1 > 0 THEN s.c1 / s.q1 ELSE 0 END AS p FROM member m JOIN service s USING (serviceName)),
+  effect AS (SELECT *, (q1 - q0)::DOUBLE * p AS quantity, CASE WHEN q0 > 0 THEN (q1 - q0)::DOUBLE * (c0::DOUBLE / q0::DOUBLE - p) ELSE 0 END AS mix FROM priced)"""
+
+_SCALED = """
+  , small AS (SELECT resourceId, "date", CAST(CAST(actualCost AS DECIMAL(28,5)) / 1000 AS DECIMAL(18,5)) AS cost, subscriptionId FROM res_days),
+  spread AS (SELECT resourceId, avg(CAST(cost AS DOUBLE)) FILTER (rn > 1) AS mean, stddev_pop(CAST(cost AS DOUBLE)) FILTER (rn > 1) AS sd, count(*) AS n
+    FROM (SELECT *, row_number() OVER (PARTITION BY resourceId ORDER BY "date" DESC) AS rn FROM small) GROUP BY resourceId),
+  deviant AS (SELECT s.*, p.mean, CAST(s.cost AS DOUBLE) - p.mean AS delta, (CAST(s.cost AS DOUBLE) - p.mean) / p.sd AS z
+    FROM small s JOIN spread p USING (resourceId) WHERE p.n >= 7 AND p.sd > 0 AND abs((CAST(s.cost AS DOUBLE) - p.mean) / p.sd) >= 1.0 AND s.cost >= 0),
+  judged AS (SELECT *, CASE WHEN abs(z) >= 3 OR abs(delta) >= 1000 THEN 'High' WHEN abs(z) >= 2 OR abs(delta) >= 100 THEN 'Medium' ELSE 'Low' END AS severity FROM deviant)"""
+_DONE = """CASE WHEN so.resourceKey % 3 = 0 THEN CAST(potentialMonthlySavings * 0.8 AS DECIMAL(18,2)) ELSE realizedMonthlySavings END"""
+
 QUERIES: dict[str, str] = {
     "resource_intervals": f"""{_VERSIONS}
       SELECT resourceId, team, env, {day('validFrom', 'validFrom')}, {day('validTo', 'validTo')}, validTo IS NULL AS "isCurrent"
@@ -98,4 +116,50 @@ QUERIES: dict[str, str] = {
       SELECT x.subscriptionId, x."year", x."month", t.threshold, {m('b.budgetAmount')}, 1 AS announcements
       FROM spent x JOIN budget b ON b.subscriptionId = x.subscriptionId AND b.idx = x."year" * 12 + x."month"
       JOIN (VALUES (50), (75), (90), (100)) t(threshold) ON x.spent * 100 >= b.budgetAmount * t.threshold AND b.budgetAmount > 0""",
+    "movers_explained": f"""{_MOVERS}
+      SELECT serviceName, {m('sum(c0)', 'previousCost')}, {m('sum(c1)', 'currentCost')}, {m('sum(c1) - sum(c0)', 'change')}, {r('sum(quantity)', 'quantityEffect')},
+        {r('sum(mix)', 'mixEffect')}, {r('sum((c1 - c0)::DOUBLE - quantity - mix)', 'priceEffect')},
+        count(*) FILTER (c0 = 0 AND c1 <> 0) AS "membersCome", count(*) FILTER (c0 <> 0 AND c1 = 0) AS "membersGone" FROM effect GROUP BY serviceName""",
+    "movers_explained_members": f"""{_MOVERS}
+      SELECT serviceName, resourceKey, {m('c0', 'previousCost')}, {m('c1', 'currentCost')}, {m('c1 - c0', 'change')}, {r('quantity', 'quantityEffect')},
+        {r('mix', 'mixEffect')}, {r('(c1 - c0)::DOUBLE - quantity - mix', 'priceEffect')} FROM effect""",
+    "export_drift": """
+      SELECT * FROM (VALUES ('run=2', 'Tags', 'missing', CAST(NULL AS BIGINT)), ('run=2', 'Tags', 'disappeared', NULL),
+        ('run=3', 'Tags', 'appeared', NULL), ('run=3', 'Discount', 'appeared', NULL), ('run=3', 'Discount', 'unexpected', NULL)) t("exportFolder", "column", problem, "rows")
+      UNION ALL SELECT 'run=3', 'EffectivePrice', 'retyped', count(*) FROM fact WHERE meterKey % 10 = 7""",
+    "account_completeness": f"""
+      , row AS (SELECT 'account-' || ((subscriptionKey - 1) % 5) AS account, d."date" AS dt, d.billingPeriodStart AS a, d.billingPeriodEnd AS b FROM fact JOIN dim_date d USING (dateKey)),
+      newest AS (SELECT account, max(dt) AS newest FROM row GROUP BY account),
+      period AS (SELECT account, a, b, count(DISTINCT dt) AS days, count(*) AS n FROM row GROUP BY ALL)
+      SELECT account AS "BillingAccountId", {day('a', 'BillingPeriodStartDate')}, CAST(least(b, newest) - a AS INTEGER) + 1 AS "expectedDays", days AS "deliveredDays",
+        CAST(least(b, newest) - a AS INTEGER) + 1 - days AS "missingDays", n AS "costRows" FROM period JOIN newest USING (account)""",
+    "detect_cost_anomalies_resumed": f"""
+      SELECT dateKey, resourceKey, subscriptionKey, {m('actualCost')}, {r('expectedCost', 'expectedCost')}, {r('costVariance', 'costVariance')},
+        {r('variancePercentage', 'variancePercentage')}, {r('zScore', 'zScore')}, anomalyType, severity, isAnomaly,
+        {ts(NOW, 'detectionDate')} FROM anomaly_fact WHERE dateKey > 20010725""",
+    "generate_rightsizing_resumed": f"""
+      SELECT dateKey, resourceKey, resourceId, recommendationType, recommendationDescription, {m('potentialMonthlySavings')}, {m('potentialAnnualSavings')},
+        status, priority, {day('recommendationDate', 'recommendationDate')}, 0.0::DOUBLE AS realizedMonthlySavings, 0.0::DOUBLE AS realizedAnnualSavings
+      FROM rightsizing WHERE resourceKey % 2 <> 0""",
+    "advisor_repeated": f"""
+      SELECT recommendationType, status, count(*) AS opportunities, {m('sum(potentialMonthlySavings)', 'potentialMonthlySavings')} FROM savings GROUP BY ALL""",
+    "detect_anomalies_scaled": f"""{_SCALED}
+      SELECT resourceId, subscriptionId, {day('"date"', 'date')}, {m('cost', 'actualCost')}, {r('mean', 'expectedCost')}, {r('delta', 'variance')},
+        {r('CASE WHEN mean > 0 THEN delta / mean * 100 ELSE 0 END', 'variancePercentage')}, {r('z', 'zScore')},
+        CASE WHEN cost > mean THEN 'Spike' ELSE 'Drop' END AS "anomalyType", severity, TRUE AS "isAnomaly", {r('least(1.0, abs(z) / 3.0)', 'confidence')} FROM judged""",
+    "anomaly_records_published": f"""{_SCALED}
+      SELECT resourceId AS resource_id, subscriptionId AS subscription_id, {day('"date"', 'date')}, {m('cost', 'actual_cost')}, {r('mean', 'expected_cost')},
+        {r('delta', 'variance')}, {r('CASE WHEN mean > 0 THEN delta / mean * 100 ELSE 0 END', 'variance_percentage')}, {r('z', 'z_score')},
+        CASE WHEN cost > mean THEN 'Spike' ELSE 'Drop' END AS anomaly_type, severity, TRUE AS is_anomaly, {r('least(1.0, abs(z) / 3.0)', 'confidence')},
+        '2001-08-01T00:00:00' AS detected_at FROM judged""",
+    "measure_savings_realized": f"""
+      SELECT r.team, {m(f'sum({_DONE})', 'Total Realized Monthly Savings')}, {m(f'sum(({_DONE}) * 12)', 'Total Realized Annual Savings')},
+        {r(f'CAST(sum({_DONE}) AS DOUBLE) / nullif(CAST(sum(potentialMonthlySavings) AS DOUBLE), 0) * 100', 'Implementation Rate %')},
+        count(*) FILTER (status = 'Pending' AND (so.resourceKey % 3 = 0) IS NOT TRUE) AS "Pending Opportunities",
+        count(*) FILTER (so.resourceKey % 3 = 0) AS "Completed Opportunities"
+      FROM savings so LEFT JOIN dim_resource r ON so.resourceKey = r.resourceKey GROUP BY r.team""",
+    "measure_anomalies_flagged": f"""
+      SELECT s.subscriptionName, count(*) AS "Total Anomalies", {r('sum(costVariance)', 'Total Cost Variance')},
+        {r('avg(variancePercentage)', 'Average Variance %')}, {r('max(zScore)', 'Max Z-Score')}
+      FROM anomaly_fact a LEFT JOIN dim_subscription s ON a.subscriptionKey = s.subscriptionKey WHERE isAnomaly GROUP BY s.subscriptionName""",
 }

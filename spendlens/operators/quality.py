@@ -68,6 +68,21 @@ def completeness(star: Star) -> DataFrame:
     )
 
 
+def account_completeness(rows: DataFrame) -> DataFrame:
+    """Per billing account and period: the days expected, from the first of the period to its end or
+    to the account's newest day, and the days and rows delivered. ``rows``: BillingAccountId, Date,
+    BillingPeriodStartDate, BillingPeriodEndDate of export rows."""
+    days = rows.groupBy("BillingAccountId", "BillingPeriodStartDate", "BillingPeriodEndDate", "Date").agg(
+        F.count(F.lit(1)).alias("costRows"))
+    newest = days.groupBy("BillingAccountId").agg(F.max("Date").alias("newest"))
+    periods = days.groupBy("BillingAccountId", "BillingPeriodStartDate", "BillingPeriodEndDate").agg(
+        F.count("Date").alias("deliveredDays"), F.sum("costRows").alias("costRows"))
+    expected = F.date_diff(F.least("BillingPeriodEndDate", "newest"), F.col("BillingPeriodStartDate")) + 1
+    return periods.join(newest, "BillingAccountId").select(
+        "BillingAccountId", "BillingPeriodStartDate", expected.alias("expectedDays"), "deliveredDays",
+        (expected - F.col("deliveredDays")).alias("missingDays"), "costRows")
+
+
 def schema_drift(found: StructType, expected: StructType) -> list[tuple[str, str]]:
     """(column, problem) pairs: missing, unexpected or of another type."""
     have = {f.name: f.dataType for f in found.fields}

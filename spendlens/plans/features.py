@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import last_day_until
 from ..functions.staging import staged, work_folder
-from ..operators import commitment, forecast, idle, versions
+from ..operators import anomaly, commitment, forecast, idle, measures, movers, quality, recommendations, versions
 from ..sources.binding import AS_OF, BoundStar
+from ..sources.exports import layout_drift
 from ..streaming.crossings import crossings, run_crossings
 from .incremental import DailyMoments
+from .jobs import publish_anomalies
 
 DETECTION_DAYS = 30
 
@@ -98,6 +100,97 @@ def stream_crossings(star: BoundStar) -> DataFrame:
         F.count(F.lit(1)).alias("announcements"))
 
 
+def export_drift(star: BoundStar) -> DataFrame:
+    """Three exports written one after the other: the second lacks the tags, the third has prices that
+    are no numbers and a column that nobody declared."""
+    folder = work_folder(star.spark, "exports")
+    rows = star.cost(["dateKey", "subscriptionId", "meterId", "usageQuantity", "effectivePrice"]).select(
+        F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd").alias("Date"), F.col("subscriptionId").alias("SubscriptionId"),
+        F.col("meterId").alias("MeterId"), F.col("usageQuantity").alias("Quantity"),
+        F.col("effectivePrice").cast("string").alias("EffectivePrice"), F.lit("a\nb").alias("Tags"))
+    broken = F.when(F.col("MeterId").endswith("7"), "n/a").otherwise(F.col("EffectivePrice"))
+    layouts = [rows, rows.drop("Tags"), rows.withColumns({"EffectivePrice": broken, "Discount": F.lit(0)})]
+    for number, layout in enumerate(layouts, 1):
+        layout.write.option("header", True).csv(f"{folder}/run={number}")
+    found = layout_drift(star.spark, folder, rows.columns)
+    return found.withColumn("exportFolder", F.element_at(F.split("exportFolder", "/"), -1))
+
+
+def account_completeness(star: BoundStar) -> DataFrame:
+    day = F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd")
+    number = F.regexp_extract("subscriptionId", r"(\d+)", 1).cast("int")
+    rows = star.cost(["dateKey", "subscriptionId", "billingPeriodStartDate", "billingPeriodEndDate"]).select(
+        F.concat(F.lit("account-"), number % 5).alias("BillingAccountId"), day.alias("Date"),
+        F.col("billingPeriodStartDate").alias("BillingPeriodStartDate"), F.col("billingPeriodEndDate").alias("BillingPeriodEndDate"))
+    return quality.account_completeness(rows)
+
+
+def member_effects(star: BoundStar) -> DataFrame:
+    return movers.member_effects(star, AS_OF)
+
+
+def resumed_detection(star: BoundStar) -> DataFrame:
+    """What a run adds when all days but the last week are scored already."""
+    stored = staged(star.fact_anomaly_daily, "anomalies")
+    return anomaly.detect_cost_anomalies(star, AS_OF, existing=stored.filter("dateKey <= 20010725"))
+
+
+def resumed_rightsizing(star: BoundStar) -> DataFrame:
+    """What a run adds when resources with an even key have an open recommendation."""
+    stored = staged(star.seeded_opportunities, "opportunities")
+    return recommendations.generate_rightsizing(star, AS_OF, existing=stored.filter("resourceKey % 2 = 0"))
+
+
+def repeated_advisor(star: BoundStar) -> DataFrame:
+    """Status and type of the opportunities after two advisor runs in a row: the second adds nothing."""
+    stored = star.with_tables(fact_savings_opportunity=star.seeded_opportunities)
+    for _ in range(2):
+        updated = staged(recommendations.advisor_update(stored, AS_OF), "opportunities")
+        added = recommendations.advisor_insert(stored, updated)
+        stored = star.with_tables(fact_savings_opportunity=staged(
+            updated.unionByName(added, allowMissingColumns=True), "opportunities"))
+    return stored.fact_savings_opportunity.groupBy("recommendationType", "status").agg(
+        F.count(F.lit(1)).alias("opportunities"), F.sum("potentialMonthlySavings").alias("potentialMonthlySavings"))
+
+
+def scaled_detection(star: BoundStar) -> DataFrame:
+    """Detection over small amounts with a low limit: spikes and drops, every severity."""
+    cost = star.cost(["dateKey", "resourceId", "subscriptionId", "actualCost"]).join(
+        star.dim_date.select("dateKey", "date"), "dateKey")
+    thousandth = (F.col("actualCost") / 1000).cast("decimal(18,5)")
+    return anomaly.detect_anomalies(cost.withColumn("actualCost", thousandth), z=1.0, min_cost=0.0)
+
+
+def published_records(star: BoundStar) -> DataFrame:
+    """The findings written as JSON lines and read back."""
+    folder = publish_anomalies(scaled_detection(star), work_folder(star.spark, "published"), AS_OF)
+    fields = """resource_id string, subscription_id string, date string, actual_cost decimal(18,5), expected_cost double,
+        variance double, variance_percentage double, z_score double, anomaly_type string, severity string, is_anomaly boolean,
+        confidence double, detected_at string"""
+    return star.spark.read.schema(fields).json(folder)
+
+
+def realized_savings(star: BoundStar) -> DataFrame:
+    """Savings measures where every third resource has done what was recommended."""
+    done = F.col("resourceKey") % 3 == 0
+    monthly = (F.col("potentialMonthlySavings") * F.lit("0.8").cast("decimal(2,1)")).cast("decimal(18,2)")
+    changed = star.fact_savings_opportunity.withColumns({
+        "status": F.when(done, "Completed").otherwise(F.col("status")),
+        "realizedMonthlySavings": F.when(done, monthly).otherwise(F.col("realizedMonthlySavings")),
+        "realizedAnnualSavings": F.when(done, (monthly * 12).cast("decimal(18,2)")).otherwise(F.col("realizedAnnualSavings"))})
+    return measures.measures(
+        star.with_tables(fact_savings_opportunity=changed),
+        ["Total Realized Monthly Savings", "Total Realized Annual Savings", "Implementation Rate %", "Pending Opportunities",
+         "Completed Opportunities"], ["team"], as_of=AS_OF)
+
+
+def flagged_measures(star: BoundStar) -> DataFrame:
+    """Anomaly measures over the flagged days only, whose variance does not cancel."""
+    flagged = star.with_tables(fact_anomaly_daily=star.fact_anomaly_daily.filter("isAnomaly"))
+    return measures.measures(flagged, ["Total Anomalies", "Total Cost Variance", "Average Variance %", "Max Z-Score"],
+                             ["subscriptionName"], as_of=AS_OF)
+
+
 FEATURES: dict[str, Callable[[BoundStar], DataFrame]] = {
     "resource_intervals": resource_intervals,
     "facts_by_version": facts_by_version,
@@ -107,4 +200,15 @@ FEATURES: dict[str, Callable[[BoundStar], DataFrame]] = {
     "purchase_quantity": lambda s: commitment.purchase_quantity(s, AS_OF),
     "idle_runs": lambda s: idle.idle_runs(s, min_idle=50.0, min_days=2),
     "stream_crossings": stream_crossings,
+    "movers_explained": lambda s: movers.movers_explained(s, AS_OF),
+    "movers_explained_members": member_effects,
+    "export_drift": export_drift,
+    "account_completeness": account_completeness,
+    "detect_cost_anomalies_resumed": resumed_detection,
+    "generate_rightsizing_resumed": resumed_rightsizing,
+    "advisor_repeated": repeated_advisor,
+    "detect_anomalies_scaled": scaled_detection,
+    "anomaly_records_published": published_records,
+    "measure_savings_realized": realized_savings,
+    "measure_anomalies_flagged": flagged_measures,
 }

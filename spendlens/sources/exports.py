@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -106,24 +107,24 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return placed.filter("whole").select("file", "exportTime", "block", "line", F.col("value").alias("record")).unionByName(joined)
 
 
-def _typed(raw: DataFrame, names: list[str]) -> DataFrame:
-    """Declared columns out of ``c0``, ``c1``, ... and the file."""
+def _typed(lines: DataFrame, names: list[str], raw: bool) -> DataFrame:
+    """Declared columns out of ``c0``, ``c1``, ... and the file; as text if ``raw``."""
     chosen = header_positions(names)
     columns = []
     for name, kind in KNOWN.items():
         if name not in chosen:
-            columns.append(F.lit(None).cast(kind).alias(name))
+            columns.append(F.lit(None).cast("string" if raw else kind).alias(name))
             continue
         text = F.col(f"c{chosen[name]}")
-        columns.append((text if kind == "string" else text.try_cast(kind)).alias(name))
-    return raw.select(*columns, F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("exportFolder"), "exportTime")
+        columns.append((text if raw or kind == "string" else text.try_cast(kind)).alias(name))
+    return lines.select(*columns, F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("exportFolder"), "exportTime")
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
+def read_export(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
     """Typed export rows with ``exportFolder`` and ``exportTime`` of their file. Files are read by
     header: their columns may differ in order and number. Columns a header lacks are NULL,
     unreadable numbers and dates too. A quoted field may hold line feeds: files in which that may be
-    so are put together by :func:`csv_records`, all others are plain splittable CSV."""
+    so are put together by :func:`csv_records`, all others are plain splittable CSV. ``raw`` leaves all values text."""
     tables = []
     for names, plain, quoted in _layouts(spark, path):
         fields = ", ".join(f"c{i} string" for i in range(len(names)))
@@ -131,19 +132,73 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
             tables.append(_typed(
                 spark.read.options(header=True, **_CSV).schema(fields).csv(plain).select(
                     "*", F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_modification_time").alias("exportTime")), names))
+                    F.col("_metadata.file_modification_time").alias("exportTime")), names, raw))
         if quoted:
             # the header is the first record of its file; an empty line is no record
             text = F.regexp_replace("record", "\r$", "")
             rows = csv_records(_text(spark, quoted)).filter("NOT (block = 0 AND line = 1) AND trim(record) NOT IN ('', '\r')")
             rows = rows.select("file", "exportTime", F.from_csv(text, fields, {**_CSV, "multiLine": "true"}).alias("row"))
-            tables.append(_typed(rows.select("row.*", "file", "exportTime"), names))
+            tables.append(_typed(rows.select("row.*", "file", "exportTime"), names, raw))
     if not tables:
         fields = ", ".join(f"`{n}` {k}" for n, k in KNOWN.items())
         return spark.createDataFrame([], f"{fields}, exportFolder string, exportTime timestamp")
     return reduce(DataFrame.unionByName, tables)
 
 
+def _headers(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file, exportTime, header number) and (header number, position, name)."""
+    lines = _text(spark, path)
+    first = F.min_by(F.when(F.col("block") == 0, F.xxhash64("value")), F.struct("block", "at"))
+    files = lines.groupBy("file", "exportTime").agg(first.alias("header"))
+    numbers = {row["header"]: row["file"] for row in files.groupBy("header").agg(F.min("file").alias("file")).collect()}
+    names = []
+    for number, file in numbers.items():  # one line per header that occurs
+        line = spark.read.option("lineSep", "\n").text(unquote(file)).first()["value"]
+        names += [(number, i, name) for i, name in enumerate(next(csv.reader([line.rstrip("\r")]), []))]
+    return files, spark.createDataFrame(names, "header long, position int, name string")
+
+
+def layout_drift(spark: SparkSession, path: str, required: Sequence[str] = tuple(EXPORT_COLUMNS)) -> DataFrame:
+    """exportFolder, column, problem, rows: how the layout of each export differs.
+
+    ``missing`` (a required column), ``unexpected`` (not a declared one), ``repeated``, ``retyped``
+    (with the number of values that the declared type cannot hold), and against the export before,
+    by time and name, ``appeared`` and ``disappeared``. The driver sees one line per header; files
+    and values are compared by Spark.
+    """
+    files, names = _headers(spark, path)
+    folder = F.regexp_extract("file", "^(.*)/[^/]*$", 1)
+    exports = files.groupBy(folder.alias("exportFolder")).agg(F.max("exportTime").alias("exportTime"))
+    held = (
+        files.select(folder.alias("exportFolder"), "header").distinct().join(names, "header")
+        .groupBy("exportFolder", "header", "name").agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("exportFolder", F.col("name").alias("column")).agg(F.max("times").alias("times"))
+    )
+
+    def report(rows: DataFrame, problem: str, number: Column = F.lit(None)) -> DataFrame:
+        return rows.select("exportFolder", "column", F.lit(problem).alias("problem"), number.cast("long").alias("rows"))
+
+    wanted = exports.select("exportFolder", F.explode(F.array(*[F.lit(c) for c in required])).alias("column"))
+    pair = ["exportFolder", "column"]
+    in_time = Window.orderBy("exportTime", "exportFolder")  # one row per export folder
+    before = exports.select("exportFolder", F.lag("exportFolder").over(in_time).alias("previous")).dropna()
+    earlier = before.join(held.select(F.col("exportFolder").alias("previous"), "column"), "previous").select(*pair)
+    later = held.join(before, "exportFolder", "left_semi").select(*pair)
+    kinds = {c: k for c, k in KNOWN.items() if k != "string"}
+    rows = read_export(spark, path, raw=True)
+    bad = rows.groupBy("exportFolder").agg(*[
+        F.count_if((F.coalesce(F.col(c), F.lit("")) != "") & F.col(c).try_cast(k).isNull()).alias(c) for c, k in kinds.items()])
+    retyped = bad.unpivot("exportFolder", list(kinds), "column", "rows").filter("rows > 0")
+    return reduce(DataFrame.unionByName, [
+        report(wanted.join(held, pair, "left_anti"), "missing"),
+        report(held.filter(~F.col("column").isin(list(KNOWN))), "unexpected"),
+        report(held.filter("times > 1"), "repeated", F.col("times")),
+        report(retyped, "retyped", F.col("rows")),
+        report(later.join(earlier, pair, "left_anti"), "appeared"),
+        report(earlier.join(later, pair, "left_anti"), "disappeared"),
+    ])
+
+
 # What an export holds as a whole: a later one replaces it.
 EXPORT_KEYS = ["BillingAccountId", "SubscriptionId", "BillingPeriodStartDate"]
 
