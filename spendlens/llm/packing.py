@@ -37,10 +37,11 @@ from pyspark.sql import functions as F
 
 from .segments import tokenizer
 from .shipping import ship
-from .words import slices
+from .words import LOWER, gather, range_names, slices, words_of
 
 POOL = 256
-_MARKS = b".,;:!?"
+_IS_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_IS_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
 #: Words of letters per call of the tokenizer, which spends more on a call than on a word.
 GROUP = 512
 
@@ -52,13 +53,17 @@ class Limits:
     loss: int = 4096
 
 
-class _Words(dict):
-    """Place of each word's ids in one growing array; the tokenizer is asked once per stem."""
+class _Words:
+    """Ids of words in one growing array; the tokenizer is asked once per stem.
+
+    Marks after an ASCII letter are pre-tokens of their own and the tokenizer folds case, so words
+    share the ids of their stem, in lower case if it is made of ASCII letters. Stems are looked up
+    by their 64-bit names, all of a slice at once, and their bytes are compared; a stem whose name
+    belongs to another is encoded without being kept."""
 
     LIMIT = 1_200_000
 
     def __init__(self, vocabulary: str):
-        super().__init__()
         self.tokenizer = tokenizer(vocabulary)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(names.values()) + 1, dtype=bool)  # ids that end a pre-token
@@ -66,74 +71,117 @@ class _Words(dict):
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.late: list[tuple[np.ndarray, np.ndarray]] = []
-        self._add([b""], [[]])
-        self._settle()
-
-    def _add(self, words: list[bytes], lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
-        self._append(words, np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum())), sizes)
-
-    def _append(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        first = len(self.size) + sum(len(s) for _, s in self.late)
-        self.update(zip(words, range(first, first + len(words))))
-        self.late.append((ids, sizes))
-
-    def _settle(self) -> None:
-        """Join what was appended to the arrays."""
-        self.flat = np.concatenate([self.flat, *(ids for ids, _ in self.late)])
-        self.size = np.concatenate([self.size, *(sizes for _, sizes in self.late)])
-        self.begin = np.cumsum(self.size, dtype=np.int64) - self.size
-        self.late = []
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Marks after an ASCII letter are pre-tokens of their own and the tokenizer folds case, so
-        words share the ids of their letters."""
-        split = []
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if not stem[-1:].isalpha():
-                stem = word
-            split.append((word, stem.lower() if stem.isalpha() else stem, word[len(stem):]))
-        unknown = {p for pair in split for p in pair[1:]}.difference(self)
-        letters = [p for p in unknown if p.decode().isalpha()]
-        others = list(unknown.difference(letters))
+        self.names, self.piece = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by name
+        self.bytes, self.at, self.length = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)  # piece 0: nothing
+        self.marks: dict[bytes, int] = {b"": 0}
+
+    def _new_pieces(self, words: list[bytes]) -> np.ndarray:
+        """Encode words; the numbers of their pieces."""
+        letters = [i for i, w in enumerate(words) if w.decode().isalpha()]
+        others = sorted(set(range(len(words))).difference(letters))
+        order, ids, sizes = [], [], []
         for begin in range(0, len(letters), GROUP):
             group = letters[begin:begin + GROUP]
-            ids = self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False).ids
-            ends = np.flatnonzero(self.closes[ids])
+            own = np.array(self.tokenizer.encode(b" ".join([words[i] for i in group]).decode(), add_special_tokens=False).ids,
+                           dtype=np.int32)
+            ends = np.flatnonzero(self.closes[own])
             if len(ends) == len(group):  # one pre-token a word; otherwise a letter folds into more
-                self._append(group, np.array(ids, dtype=np.int32), np.diff(ends, prepend=-1).astype(np.int32))
+                order += group
+                ids.append(own)
+                sizes.append(np.diff(ends, prepend=-1))
             else:
                 others += group
-        if others:
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in others], add_special_tokens=False)
-            self._add(others, [e.ids for e in encoded])
-        self._settle()
-        self.update([(word, self[stem]) for word, stem, marks in split if not marks])
-        marked = [x for x in split if x[2]]
-        begin, size = self.begin.tolist(), self.size.tolist()
-        ids = {p: self.flat[begin[self[p]]:begin[self[p]] + size[self[p]]].tolist() for x in marked for p in x[1:]}
-        self._add([x[0] for x in marked], [ids[stem] + ids[marks] for _, stem, marks in marked])
-        self._settle()
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False) if others else []
+        lists = [e.ids for e in encoded]
+        ids.append(np.fromiter(chain.from_iterable(lists), dtype=np.int32))
+        sizes = np.concatenate([*sizes, np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))]).astype(np.int64)
+        first, held = len(self.size), len(self.flat)
+        self.flat = np.concatenate([self.flat, *ids])
+        self.begin = np.concatenate([self.begin, held + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        number = np.empty(len(words), dtype=np.int64)
+        number[np.array(order + others, dtype=np.int64)] = np.arange(first, first + len(words))
+        return number
+
+    def _pieces_of_stems(self, names: np.ndarray, folded: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Pieces of distinct stems ``folded[start:start + size]``; their names may not be distinct."""
+        piece = np.zeros(len(names), dtype=np.int64)
+        known = np.zeros(len(names), dtype=bool)
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+            known = (self.names[at] == names) & (self.length[at] == size) & (size > 0)
+            ours = np.flatnonzero(known)
+            same = folded[gather(start[ours], size[ours])] == self.bytes[gather(self.at[at[ours]], size[ours])]
+            if len(ours):
+                known[ours] = np.logical_and.reduceat(same, np.cumsum(size[ours]) - size[ours])
+            piece[known] = self.piece[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            piece[new] = self._new_pieces([folded[a:a + n].tobytes() for a, n in zip(start[new].tolist(), size[new].tolist())])
+            _, first = np.unique(names[new], return_index=True)
+            keep = new[first]  # by name
+            place = np.searchsorted(self.names, names[keep])
+            if len(self.names):
+                free = self.names[np.minimum(place, len(self.names) - 1)] != names[keep]
+                keep, place = keep[free], place[free]
+            self.at = np.insert(self.at, place, len(self.bytes) + np.cumsum(size[keep]) - size[keep])
+            self.length = np.insert(self.length, place, size[keep])
+            self.piece = np.insert(self.piece, place, piece[keep])
+            self.names = np.insert(self.names, place, names[keep])
+            self.bytes = np.concatenate([self.bytes, folded[gather(start[keep], size[keep])]])
+        return piece
+
+    def _pieces_of_marks(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        piece = np.zeros(len(start), dtype=np.int64)
+        alone = end - start == 1
+        for byte in np.unique(data[start[alone]]).tolist():
+            piece[alone & (data[start] == byte)] = self._piece_of_marks([bytes([byte])])[0]
+        several = np.flatnonzero(~alone)
+        piece[several] = self._piece_of_marks([data[a:b].tobytes() for a, b in zip(start[several].tolist(), end[several].tolist())])
+        return piece
+
+    def _piece_of_marks(self, marks: list[bytes]) -> list[int]:
+        new = sorted(set(marks).difference(self.marks))
+        if new:
+            self.marks.update(zip(new, self._new_pieces(new).tolist()))
+        return [self.marks[m] for m in marks]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin. White space separates pre-tokens and
         is dropped, and no rule of the tokenizer looks across it, so words are encoded alone."""
-        if len(self) > self.LIMIT:
+        if len(self.names) > self.LIMIT or len(self.size) > 2 * self.LIMIT:
             self.reset()
-        split = [text.split() for text in texts]
-        new = list(set(chain.from_iterable(split)).difference(self))
-        if new:
-            self._learn(new)
-        counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
-        sizes = self.size[words]
-        total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        source = np.arange(total[-1]) + np.repeat(self.begin[words] - total[:-1], sizes)
-        return self.flat[source], total[np.concatenate([[0], np.cumsum(counts)])]
+        words = words_of(column)
+        data, start, end = words.data, words.start, words.end
+        stem_end, open_ = end.copy(), np.arange(len(end))
+        while len(open_):
+            open_ = open_[stem_end[open_] > start[open_]]
+            open_ = open_[_IS_MARK[data[stem_end[open_] - 1]]]
+            stem_end[open_] -= 1
+        ended = stem_end > start
+        ended[ended] = _IS_LETTER[data[stem_end[ended] - 1]]
+        stem_end = np.where(ended, stem_end, end)
+        others = np.concatenate([[0], np.cumsum(~_IS_LETTER[data], dtype=np.int64)])
+        pure = others[stem_end] == others[start]
+        change = np.zeros(len(data) + 1, dtype=np.int8)
+        change[start[pure]] += 1
+        change[stem_end[pure]] -= 1
+        folded = np.where(np.cumsum(change[:-1], dtype=np.int8) > 0, LOWER[data], data)
+        names, size = range_names(folded, start, stem_end), stem_end - start
+        _, first, stem = np.unique(names, return_index=True, return_inverse=True)
+        twin = first[stem]
+        if (size != size[twin]).any() or (folded[gather(start, size)] != folded[gather(start[twin], size)]).any():
+            known: dict[bytes, int] = {}  # two stems of this slice bear one name
+            stem = np.array([known.setdefault(folded[a:b].tobytes(), len(known)) for a, b in zip(start.tolist(), stem_end.tolist())])
+            _, first = np.unique(stem, return_index=True)
+        pieces = np.zeros(2 * len(start), dtype=np.int64)
+        pieces[::2] = self._pieces_of_stems(names[first], folded, start[first], size[first])[stem]
+        marked = np.flatnonzero(stem_end < end)
+        pieces[2 * marked + 1] = self._pieces_of_marks(data, stem_end[marked], end[marked])
+        sizes = self.size[pieces]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return self.flat[gather(self.begin[pieces], sizes)], total[2 * words.first]
 
 
 class Packer:
@@ -264,8 +312,7 @@ def _pack(vocabulary: str, closing: int, limits: Limits, with_ids: bool):
 
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text").cast(pa.large_binary()).to_pylist()
-                flat, first = words.encode([t or b"" for t in texts])
+                flat, first = words.encode(part.column("text"))
                 shares = part.column("share").to_pylist()
                 for i, doc_id in enumerate(part.column("doc_id").to_pylist()):
                     ids = np.append(flat[first[i]:first[i + 1]], closing).astype(np.uint32)

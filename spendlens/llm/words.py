@@ -84,6 +84,20 @@ class Words:
         return self.data[self.start[i]:self.end[i]].tobytes()
 
 
+def range_names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The names of byte ranges, as :class:`Words` gives them to words."""
+    n = len(data)
+    up, down = _powers_up_to(n + 1)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
+    return scramble((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * U64(0xD1342543DE82EF95))
+
+
+def gather(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after another."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows; null counts as empty."""
     column = column.cast(pa.large_string())
