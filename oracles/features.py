@@ -162,4 +162,32 @@ QUERIES: dict[str, str] = {
       SELECT s.subscriptionName, count(*) AS "Total Anomalies", {r('sum(costVariance)', 'Total Cost Variance')},
         {r('avg(variancePercentage)', 'Average Variance %')}, {r('max(zScore)', 'Max Z-Score')}
       FROM anomaly_fact a LEFT JOIN dim_subscription s ON a.subscriptionKey = s.subscriptionKey WHERE isAnomaly GROUP BY s.subscriptionName""",
+    "lattice_drill": f"""
+      , row AS (SELECT d.*, strftime(d."date", '%Y-%m-%d') AS dayName, s.subscriptionId, s.businessUnit, f.resourceKey, f.actualCost
+        FROM fact f JOIN dim_date d USING (dateKey) JOIN dim_subscription s USING (subscriptionKey)),
+      named AS (SELECT 'year_unit: businessUnit' AS drill, businessUnit AS member, resourceKey, actualCost FROM row
+        UNION ALL SELECT 'year_unit: year, businessUnit', "year" || '/' || businessUnit, resourceKey, actualCost FROM row
+        UNION ALL SELECT 'month_subscription: year, quarter, subscriptionId', "year" || '/' || "quarter" || '/' || subscriptionId, resourceKey, actualCost FROM row
+        UNION ALL SELECT 'day_subscription: date', dayName, resourceKey, actualCost FROM row
+        UNION ALL SELECT 'day_subscription: date, subscriptionId', dayName || '/' || subscriptionId, resourceKey, actualCost FROM row)
+      SELECT drill, member, {m('sum(actualCost)', 'cost')}, count(*) AS "costRows", count(DISTINCT resourceKey) AS resources, TRUE AS "sketchWithin"
+      FROM named GROUP BY drill, member""",
+    "variance_by_cell": """
+      , cell AS (SELECT f.dateKey, f.subscriptionKey, me.serviceName, coalesce(r.app, '') AS tag, sum(f.actualCost) AS cost FROM fact f JOIN dim_meter me USING (meterKey)
+          LEFT JOIN dim_resource r ON f.resourceKey = r.resourceKey WHERE f.dateKey BETWEEN 20010702 AND 20010801 GROUP BY ALL),
+      usual AS (SELECT c.subscriptionKey, c.serviceName, c.tag, CAST(sum(c.cost) AS DOUBLE) / any_value(p.n) AS mean FROM cell c
+          JOIN (SELECT subscriptionKey, count(DISTINCT dateKey) AS n FROM cell GROUP BY ALL) p USING (subscriptionKey) GROUP BY c.subscriptionKey, c.serviceName, c.tag),
+      varied AS (SELECT a.dateKey, a.subscriptionKey, u.serviceName, u.tag, coalesce(CAST(c.cost AS DOUBLE), 0) - u.mean AS v
+        FROM (SELECT DISTINCT dateKey, subscriptionKey FROM anomaly_fact WHERE isAnomaly) a JOIN usual u USING (subscriptionKey)
+        LEFT JOIN cell c ON c.dateKey = a.dateKey AND c.subscriptionKey = a.subscriptionKey AND c.serviceName = u.serviceName AND c.tag = u.tag),
+      whole AS (SELECT dateKey, subscriptionKey, sum(v) AS w FROM varied GROUP BY ALL),
+      service AS (SELECT dateKey, subscriptionKey, serviceName, sum(v) AS v FROM varied GROUP BY ALL),
+      service_rank AS (SELECT s.*, w.w, (SELECT coalesce(sum(abs(o.v)), 0) FROM service o WHERE o.dateKey = s.dateKey AND o.subscriptionKey = s.subscriptionKey
+          AND sign(o.v) = sign(w.w) AND (abs(o.v) > abs(s.v) OR (abs(o.v) = abs(s.v) AND o.serviceName < s.serviceName))) AS before
+        FROM service s JOIN whole w USING (dateKey, subscriptionKey) WHERE sign(s.v) = sign(w.w)),
+      inside AS (SELECT v.*, s.w FROM varied v JOIN service_rank s USING (dateKey, subscriptionKey, serviceName) WHERE s.before < 0.8 * abs(s.w) AND sign(v.v) = sign(s.w)),
+      ranked AS (SELECT *, coalesce(sum(abs(v)) OVER (PARTITION BY dateKey, subscriptionKey ORDER BY abs(v) DESC, serviceName, tag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+          row_number() OVER (PARTITION BY dateKey, subscriptionKey ORDER BY abs(v) DESC, serviceName, tag) AS number FROM inside)
+      SELECT dateKey, subscriptionKey, serviceName, tag AS "tagValue", ROUND(v, 6) AS variance, ROUND(v / w, 6) AS share, CAST(number AS INTEGER) AS "rank"
+      FROM ranked WHERE before < 0.8 * abs(w)""",
 }

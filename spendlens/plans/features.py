@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import last_day_until
 from ..functions.staging import staged, work_folder
-from ..operators import anomaly, commitment, forecast, idle, measures, movers, quality, recommendations, versions
+from ..operators import (
+    anomaly, attribution, commitment, forecast, idle, lattice, measures, movers, quality, recommendations, versions,
+)
 from ..sources.binding import AS_OF, BoundStar
 from ..sources.exports import layout_drift
 from ..streaming.crossings import crossings, run_crossings
@@ -191,6 +193,28 @@ def flagged_measures(star: BoundStar) -> DataFrame:
                              ["subscriptionName"], as_of=AS_OF)
 
 
+def lattice_drill(star: BoundStar) -> DataFrame:
+    """Drills of every depth out of the stored roll-ups, the last month of which is loaded again. The
+    sketch's count of resources must be within 3 % of the exact one."""
+    stored = lattice.Lattice(star.spark, work_folder(star.spark, "lattice"))
+    stored.build(star)
+    stored.build(star, since=date(2001, 10, 1))
+    drills = (["businessUnit"], ["year", "businessUnit"], ["year", "quarter", "subscriptionId"], ["date"], ["date", "subscriptionId"])
+    parts = []
+    for columns in drills:
+        exact = stored.drill(columns, exact=True).select(*columns, F.col("resources").alias("exact"))
+        near = F.abs(F.col("resources") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.03)
+        name = F.lit(f"{stored.level_for(columns)}: {', '.join(columns)}").alias("drill")
+        member = F.concat_ws("/", *[F.col(c).cast("string") for c in columns]).alias("member")
+        parts.append(stored.drill(columns).join(exact, columns).select(
+            name, member, "cost", "costRows", F.col("exact").alias("resources"), near.alias("sketchWithin")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def variance_by_cell(star: BoundStar) -> DataFrame:
+    return attribution.variance_by_cell(star, star.fact_anomaly_daily, AS_OF)
+
+
 FEATURES: dict[str, Callable[[BoundStar], DataFrame]] = {
     "resource_intervals": resource_intervals,
     "facts_by_version": facts_by_version,
@@ -211,4 +235,6 @@ FEATURES: dict[str, Callable[[BoundStar], DataFrame]] = {
     "anomaly_records_published": published_records,
     "measure_savings_realized": realized_savings,
     "measure_anomalies_flagged": flagged_measures,
+    "lattice_drill": lattice_drill,
+    "variance_by_cell": variance_by_cell,
 }
