@@ -51,19 +51,18 @@ def executive_kpis(
         ["dateKey", "subscriptionKey", "resourceKey", "meterKey", "actualCost", "amortizedCost", "costInUSD"],
         since=first_day_from(months_before(as_of, EXECUTIVE_MONTHS)),
     )
-    joined = _subscribed(
-        _dated(cost, star, "date", "year", "month", "quarter"),
-        star, "subscriptionId", "subscriptionName", "businessUnit",
-    )
-    daily = joined.groupBy(
-        "date", "year", "month", "quarter", "subscriptionId", "subscriptionName", "businessUnit"
-    ).agg(
+    # the distinct counts expand narrow rows of keys; names join the finished days
+    by_key = cost.groupBy("dateKey", "subscriptionKey").agg(
         F.sum("actualCost").alias("totalActualCost"),
         F.sum("amortizedCost").alias("totalAmortizedCost"),
         F.sum("costInUSD").alias("totalCostUSD"),
         count_distinct("resourceKey").alias("activeResourceCount"),
         count_distinct("meterKey").alias("uniqueServiceCount"),
     )
+    daily = _subscribed(
+        _dated(by_key, star, "date", "year", "month", "quarter"),
+        star, "subscriptionId", "subscriptionName", "businessUnit",
+    ).drop("dateKey", "subscriptionKey")
     if forecast is None:
         daily = daily.withColumn("forecastedCost", F.lit(0))
     else:
