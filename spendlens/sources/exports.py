@@ -162,8 +162,8 @@ def layout_drift(spark: SparkSession, path: str, required: Sequence[str] = tuple
     """exportFolder, column, problem, rows: how the layout of each export differs.
 
     ``missing`` (a required column), ``unexpected`` (not a declared one), ``repeated``, ``retyped``
-    (with the number of values that the declared type cannot hold), and against the export before,
-    by time and name, ``appeared`` and ``disappeared``. The driver sees one line per header; files
+    (with the number of values that the declared type cannot hold), and against the export before
+    in the same parent folder, by time and name, ``appeared`` and ``disappeared``. The driver sees one line per header; files
     and values are compared by Spark.
     """
     files, names = _headers(spark, path)
@@ -180,7 +180,8 @@ def layout_drift(spark: SparkSession, path: str, required: Sequence[str] = tuple
 
     wanted = exports.select("exportFolder", F.explode(F.array(*[F.lit(c) for c in required])).alias("column"))
     pair = ["exportFolder", "column"]
-    in_time = Window.orderBy("exportTime", "exportFolder")  # one row per export folder
+    series = F.regexp_extract("exportFolder", "^(.*)/[^/]*$", 1)  # exports of one folder follow each other
+    in_time = Window.partitionBy(series).orderBy("exportTime", "exportFolder")
     before = exports.select("exportFolder", F.lag("exportFolder").over(in_time).alias("previous")).dropna()
     earlier = before.join(held.select(F.col("exportFolder").alias("previous"), "column"), "previous").select(*pair)
     later = held.join(before, "exportFolder", "left_semi").select(*pair)
