@@ -70,3 +70,16 @@ def test_nulls_repeats_and_empty(table):
     assert rows == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 2, True), (None, 2, None, True)]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
     assert minhash.keep_one(docs).columns == ["doc_id", "text", "bands", "component"]
+
+
+def test_confirming_batches_are_cut_by_both_texts():
+    import pyarrow as pa
+
+    sizes = [(10, 900), (10, 900), (5000, 1), (1, 5000), (0, 0), (300, 300), (300, 300), (300, 300)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(sizes))), pa.array(["x" * a for a, _ in sizes]), pa.array(["y" * b for _, b in sizes])], ["a", "text_a", "text_b"])
+    parts = list(minhash._pair_slices(batch, 1900))
+    assert [i for part in parts for i in part.column("a").to_pylist()] == list(range(len(sizes)))
+    total = lambda part: sum(len(x) for c in ("text_a", "text_b") for x in part.column(c).to_pylist())
+    assert all(part.num_rows == 1 or total(part) <= 1900 for part in parts) and len(parts) < len(sizes)
+    assert list(minhash._pair_slices(batch.slice(0, 0))) == []

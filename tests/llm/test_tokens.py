@@ -105,3 +105,19 @@ def test_the_loss_limit_binds():
         assert offset == tokens[sequence]
         tokens[sequence] += size
     assert sum(tokens.values()) == sum(20 + i % 90 for i in range(200)) and max(tokens.values()) <= 100
+
+
+def test_stems_are_told_apart_by_their_bytes():
+    """Words with one name, marks, case, strings of special tokens, slices with an offset."""
+    import pyarrow as pa
+
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    texts = [f"{a} {b} {a}.", "Ab ab, AB!! .,. a.b ,,,, x", None, "", "<|endoftext|> <|ENDOFTEXT|>", "İß ﬁ K é. É! 中文, 9. a9,", f"{b}", f"{a}"]
+    column, made = pa.array(texts), tokenizer("word_bpe_49k.json")
+    words = packing._Words("word_bpe_49k.json")
+    for part in (column, column.slice(3), column):
+        flat, first = words.encode(part)
+        found = [flat[first[i]:first[i + 1]].tolist() for i in range(len(part))]
+        assert found == [made.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
