@@ -327,7 +327,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     rows = (texts.join(F.broadcast(sample), "doc_id").withColumn("text", F.substring("text", F.lit(1), limit))
             .dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
-    return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]), share)
+    texts, toxic = [r["text"] for r in rows], np.array([r["toxic"] for r in rows])
+    del rows
+    model = train(texts, toxic, share)
+    release()  # the driver lives on through the stages that follow
+    return model
 
 
 def _within(sizes: list[tuple[int, int]], limit: int) -> list[int]:
