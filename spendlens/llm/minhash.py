@@ -9,9 +9,12 @@ every edge is confirmed on the full sets.
 A bucket whose members are still in several components afterwards may hide a link that its centre
 does not have. Its members are compared by signature, in blocks of bounded size and only across
 components; pairs that agree on enough bins to be near the limit are confirmed on the full sets
-like the others. So every link between two members of a bucket is found. The chance that a pair at
-the limit shares no bucket is ``(1 - 0.85 ** ROWS) ** BANDS``, about 1e-9, and that its signatures
-agree on fewer than ``NEAR`` bins about 1e-10.
+where they are found. A link joins its two components within the block, so a block gives fewer
+links than it has components, however many of its pairs are near; members of a bucket's largest
+component meet only the others. So every link between two members of a bucket is found or follows
+from those given. The chance that a pair at the limit shares no bucket is
+``(1 - 0.85 ** ROWS) ** BANDS``, about 1e-9, and that its signatures agree on fewer than ``NEAR``
+bins about 1e-10.
 
 Documents with equal sets are one candidate (the smallest id); a text without words (null, empty
 or white space) links with nothing. ``doc_id`` is the identifier; rows that repeat one share a
@@ -39,8 +42,9 @@ BINS = ROWS * BANDS
 PERCENT = 85
 #: Equal bins (of BINS) from which a pair is confirmed: the limit less 6.6 deviations.
 NEAR = 381
-#: Members of a bucket compared at a time.
+#: Members of a bucket compared at a time, and their shingles.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 19
 #: Ids up to which the candidates' ids are broadcast (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 _ATTEMPTS = 64
@@ -141,27 +145,55 @@ def sketches(docs: DataFrame) -> DataFrame:
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+_SETS = pa.schema([("doc", pa.int64()), ("shingles", pa.binary())])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            owner, value = shingle_sets(words_of(part.column("text"), lower=True))
+            edges = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+            held = [value[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(held, pa.binary())], schema=_SETS)
+    release()
+
+
 def _compare_blocks(group: pa.Table) -> pa.Table:
-    """Pairs of different components whose sizes and signatures are near; ``side`` 0 meets ``side``
-    1, and within a block everything meets everything. Only the first bucket that two documents
-    share gives their pair."""
-    band, size = group.column("band")[0].as_py(), group.column("n_shingles").to_numpy()
+    """Links that join different components; ``side`` 0 meets ``side`` 1, and within a block
+    everything meets everything. Pairs whose sizes and signatures are near are confirmed on the full
+    sets, only in the first bucket that two documents share. Components grow with the links found,
+    so of the links between two of them one is given."""
+    band = group.column("band")[0].as_py()
     bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
     keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-    ids, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
+    ids, component = group.column("doc").to_numpy(), group.column("component").to_numpy().copy()
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("shingles").to_pylist()]
+    size = np.array([len(x) for x in sets])
+    begin = np.cumsum(size) - size
+    distinct, number = np.unique(np.concatenate(sets), return_inverse=True)
+    ours = np.zeros(len(distinct), dtype=bool)
     side = group.column("side").to_numpy()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side != 1 if (side == 0).all() else side == 1)
-    found_a, found_b = [], []
+    found: list[tuple[int, int]] = []
     for i in left.tolist():
         other = right[(component[right] != component[i]) & (ids[right] != ids[i])]
         other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
-        if len(other):
-            first = (keys[other] == keys[i]).argmax(axis=1)
-            other = other[((bins[other] == bins[i]).sum(axis=1) >= NEAR) & (first == band)]
-        found_a.append(np.minimum(ids[i], ids[other]))
-        found_b.append(np.maximum(ids[i], ids[other]))
-    pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], axis=1), axis=0) \
-        if found_a else np.zeros((0, 2), dtype=np.int64)
+        if not len(other):
+            continue
+        first = (keys[other] == keys[i]).argmax(axis=1)
+        other = other[((bins[other] == bins[i]).sum(axis=1) >= NEAR) & (first == band)]
+        if not len(other):
+            continue
+        own = number[begin[i]:begin[i] + size[i]]
+        ours[own] = True
+        for j in other.tolist():
+            if component[j] != component[i]:
+                shared = int(np.count_nonzero(ours[number[begin[j]:begin[j] + size[j]]]))
+                if 100 * shared >= PERCENT * (int(size[i]) + int(size[j]) - shared):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    component[component == component[j]] = component[i]
+        ours[own] = False
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
     return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
 
 
@@ -218,6 +250,36 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _links_across(members: DataFrame, label: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of one bucket that join different components of ``label``."""
+    traits = sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bands", "bins", "n_shingles").dropDuplicates(["doc"])
+    named = members.join(label, "doc", "left").select("bucket", "band", "doc", F.coalesce("component", "doc").alias("component"))
+    parts = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("part"))
+    mixed = parts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("part").alias("size"),
+        F.max(F.struct("part", "component")).getField("component").alias("main")).filter("parts > 1 AND size > 2")
+    opened = staged(named.join(mixed.select("bucket", "main"), "bucket").join(traits.select("doc", "n_shingles"), "doc")
+                    .withColumn("main", F.col("component") == F.col("main")), "open")
+
+    def blocks(of_main: bool):
+        mine = F.col("main") if of_main else ~F.col("main")
+        return F.ceil(F.greatest(F.count_if(mine) / BLOCK, F.sum(F.when(mine, F.col("n_shingles"))) / BLOCK_SHINGLES)).cast("int")
+
+    counts = opened.groupBy("bucket").agg(blocks(False).alias("rest_blocks"), blocks(True).alias("main_blocks"))
+    scattered = F.xxhash64("doc")
+    sets = texts.join(opened.select("doc").distinct(), "doc", "left_semi").mapInArrow(_sets, "doc long, shingles binary")
+    placed = (
+        opened.join(counts, "bucket").join(traits.drop("n_shingles"), "doc").join(sets, "doc")
+        .withColumn("block", F.when(F.col("main"), F.col("rest_blocks") + F.pmod(scattered, F.col("main_blocks")))
+                    .otherwise(F.pmod(scattered, F.col("rest_blocks"))).cast("int"))
+        .withColumn("with", F.explode(F.expr(
+            "sequence(0, rest_blocks - 1 + IF(main, 0, main_blocks))")))
+        .select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
+                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "doc", "component",
+                "bands", "bins", "shingles"))
+    return placed.groupBy("bucket", "one", "two").applyInArrow(_compare_blocks, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id that links reach;
     its own without links), kept (doc_id is component_id)."""
@@ -240,20 +302,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = staged(_confirmed(stars, texts), "links")
     label = components(links)
 
-    named = members.join(label, "doc", "left").select("bucket", "band", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count(F.lit(1)).alias("size")).filter("low < high AND size > 2")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    open_members = (
-        named.join(mixed.select("bucket", "size"), "bucket")
-        .join(sketch.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "bands", "bins", "n_shingles").dropDuplicates(["doc"]), "doc")
-        .withColumn("blocks", blocks).withColumn("block", block)
-        .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"),
-                F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "doc", "component", "n_shingles", "bands", "bins"))
-    rest = open_members.groupBy("bucket", "one", "two").applyInArrow(_compare_blocks, "a long, b long").distinct()
-    more = staged(_confirmed(rest, texts), "links")
+    more = staged(_links_across(members, label, sketch, texts), "links")
     if more.limit(1).count():
         label = components(links.union(more))
 

@@ -83,3 +83,43 @@ def test_confirming_batches_are_cut_by_both_texts():
     total = lambda part: sum(len(x) for c in ("text_a", "text_b") for x in part.column(c).to_pylist())
     assert all(part.num_rows == 1 or total(part) <= 1900 for part in parts) and len(parts) < len(sizes)
     assert list(minhash._pair_slices(batch.slice(0, 0))) == []
+
+
+def block(texts, component=None, bucket_band=0):
+    """One block as ``_compare_blocks`` gets it, all documents in one bucket of the first band."""
+    import numpy as np
+    import pyarrow as pa
+
+    column = pa.array(texts)
+    owner, value = minhash.shingle_sets(minhash.words_of(column, lower=True))
+    sizes = np.bincount(owner, minlength=len(texts))
+    minima = minhash.signatures(owner, value, len(texts))
+    keys = minhash.band_keys(minima).view(np.int64).copy()
+    keys[:, 0] = 7
+    return pa.table({
+        "band": [bucket_band] * len(texts), "side": [0] * len(texts), "doc": list(range(len(texts))),
+        "component": component or list(range(len(texts))), "bands": [k.tolist() for k in keys],
+        "bins": [r.tobytes() for r in (minima & np.uint64(255)).astype(np.uint8)],
+        "shingles": [x.tobytes() for x in np.split(value, np.cumsum(sizes)[:-1])], "n_shingles": sizes})
+
+
+def test_a_block_of_near_copies_gives_fewer_links_than_members():
+    """All pairs agree on enough bins: one group of linked texts, one of texts just below the limit."""
+    base = [f"w{i}" for i in range(400)]
+    linked = [" ".join(base[:20 + i] + [f"x{i}"] + base[21 + i:]) for i in range(60)]
+    assert minhash._compare_blocks(block(linked)).num_rows == 59
+    below = [" ".join([f"y{i}-{j}" if j % 50 == 3 + i % 7 else w for j, w in enumerate(base)]) for i in range(60)]
+    rows = list(enumerate(below))
+    assert sum(kept for *_, kept in brute_force(rows)) == 60
+    assert minhash._compare_blocks(block(below)).num_rows == 0
+
+
+def test_the_largest_component_meets_only_the_others(table, monkeypatch):
+    """Blocks of one bucket hold each pair across components, whichever is the largest one."""
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 900)
+    base = [f"w{i}" for i in range(300)]
+    step = lambda n: " ".join([f"z{j}" if j < n * 5 else w for j, w in enumerate(base)])
+    rows = [(i * 7 % 23, step(i)) for i in range(23)]
+    found = minhash.near_duplicates(table(rows, "doc_id long, text string", files=3)).collect()
+    assert sorted(tuple(r) for r in found) == brute_force(rows)
