@@ -9,11 +9,13 @@ bound. Null counts as empty, an empty text has no ids; extra columns are ignored
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -54,55 +56,66 @@ class PairIndexBPE:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.ranks.setdefault(vocab[left] << 32 | vocab[right], rank)
             self.merged.append((vocab[left], vocab[right], vocab[left + right]))
+        self.first_symbols = np.array([*self.byte_ids, -1])
+        self.first_ranks = np.array([[self.ranks.get(a << 32 | b, -1) for b in self.byte_ids] + [-1] for a in self.byte_ids]
+                                    + [[-1] * 257])
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each pre-token."""
-        symbols: list[int] = []
-        for word in words:
-            symbols += map(self.byte_ids.__getitem__, word)
-            symbols.append(-1)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ends = np.cumsum(lengths + 1) - 1
+        codes = np.full(int(ends[-1]) + 1 if len(words) else 0, 256, dtype=np.int64)  # 256: the end of a word
+        inside = np.ones(len(codes), dtype=bool)
+        inside[ends] = False
+        codes[inside] = np.frombuffer(b"".join(words), dtype=np.uint8)
+        symbols: list[int] = self.first_symbols[codes].tolist()
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
-        get = self.ranks.get
-        where: dict[int, list[int]] = {}  # the pair occurrence index, by the pair's rank
-        for position, rank in enumerate([get(a << 32 | b) for a, b in zip(symbols, symbols[1:])]):
-            if rank is not None:
-                if rank in where:
-                    where[rank].append(position)
-                else:
-                    where[rank] = [position]
+        first = self.first_ranks[codes[:-1], codes[1:]]
+        paired = np.flatnonzero(first >= 0)
+        paired = paired[np.argsort(first[paired], kind="stable")]
+        ranks, starts = np.unique(first[paired], return_index=True)
+        # the pair occurrence index, by the pair's rank
+        where: dict[int, list[int]] = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(paired, starts[1:]))}
+        get, merged = self.ranks.get, self.merged
         active = list(where)
         heapq.heapify(active)
         while active:
             rank = heapq.heappop(active)
-            left, right, new = self.merged[rank]
+            left, right, new = merged[rank]
+            high = new << 32
             positions = where.pop(rank)
             positions.sort()
             for position in positions:
-                follower = after[position]
-                if symbols[position] != left or symbols[follower] != right:
+                if symbols[position] != left:
                     continue  # taken by an earlier merge
+                follower = after[position]
+                if symbols[follower] != right:
+                    continue
                 symbols[position], symbols[follower] = new, -2
                 beyond = after[position] = after[follower]
                 before[beyond] = position
+                symbol = symbols[beyond]
+                if symbol >= 0:
+                    other = get(high | symbol)
+                    if other is not None:
+                        if other in where:
+                            where[other].append(position)
+                        else:
+                            where[other] = [position]
+                            heapq.heappush(active, other)
                 ahead = before[position]
-                beside = [(position, get(new << 32 | symbols[beyond]))]
-                if ahead >= 0:
-                    beside.append((ahead, get(symbols[ahead] << 32 | new)))
-                for place, other in beside:
+                if ahead >= 0 and symbols[ahead] >= 0:
+                    other = get(symbols[ahead] << 32 | new)
                     if other is not None:
                         if other in where:
-                            where[other].append(place)
+                            where[other].append(ahead)
                         else:
-                            where[other] = [place]
+                            where[other] = [ahead]
                             heapq.heappush(active, other)
-        result, ids = [], []
-        for symbol in symbols:
-            if symbol >= 0:
-                ids.append(symbol)
-            elif symbol == -1:
-                result.append(ids)
-                ids = []
-        return result
+        left_over = np.array(symbols, dtype=np.int64)
+        kept = left_over >= 0
+        ids, edges = left_over[kept].tolist(), np.concatenate([[0], np.cumsum(kept)[ends]]).tolist()
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
 class _Coder:
@@ -110,6 +123,7 @@ class _Coder:
 
     def __init__(self, vocabulary: str, limit: int = 400_000):
         self.bpe = PairIndexBPE(vocabulary_path(vocabulary))
+        self.decimal = {i: str(i) for i in self.bpe.text}
         self.cache = SegmentCache(self.encode, list(self.bpe.special), limit)
         self.words: dict[str, tuple[int, str, bytes]] = {}
         self.limit = limit
@@ -120,9 +134,9 @@ class _Coder:
         words, special = self.words, self.bpe.special
         split = [[] if s in special else PRE_TOKEN.findall(s) for s in segments]
         new = sorted({w for found in split for w in found}.difference(words))
-        text = self.bpe.text
+        text, decimal = self.bpe.text, self.decimal
         for word, ids in zip(new, self.bpe.encode([w.encode() for w in new])):
-            words[word] = (len(ids), ",".join(map(str, ids)), b"".join([text[i] for i in ids]))
+            words[word] = (len(ids), ",".join([decimal[i] for i in ids]), b"".join([text[i] for i in ids]))
         result = []
         for segment, found in zip(segments, split):
             if len(found) == 1:
@@ -144,13 +158,21 @@ _CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa
 def _code(vocabulary: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coders.get(vocabulary) or _coders.setdefault(vocabulary, _Coder(vocabulary))
+        gc.disable()  # the caches hold no cycles, and walking them again and again costs a tenth of the time
+        try:
+            yield from code(coder, batches)
+        finally:
+            gc.enable()
+
+    def code(coder: _Coder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sizes, ids, texts = [], [], []
                 for values in coder.cache.values([t or "" for t in part.column("text").to_pylist()]):
-                    sizes.append(sum(v[0] for v in values))
-                    ids.append(",".join([v[1] for v in values]))
-                    texts.append(b"".join([v[2] for v in values]).decode("utf-8", "replace"))
+                    counts, numbers, pieces = zip(*values) if values else ((), (), ())
+                    sizes.append(sum(counts))
+                    ids.append(",".join(numbers))
+                    texts.append(b"".join(pieces).decode("utf-8", "replace"))
                 if digests:
                     ids = [hashlib.sha256(x.encode()).hexdigest() for x in ids]
                     texts = [hashlib.sha256(x.encode()).hexdigest() for x in texts]

@@ -83,7 +83,7 @@ class SegmentCache:
         for i, parts in enumerate(cut):
             values: list[Any] | None = []
             for simple, segments in parts:
-                got = [known.get(s) or plain[s] for s in segments]
+                got = [known.get(s) or plain[s] for s in segments] if known else list(map(plain.__getitem__, segments))
                 if not simple or None in got:
                     values = None
                     break

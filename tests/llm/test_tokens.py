@@ -44,6 +44,24 @@ def test_sample_round_trip(spark):
     assert decoded.join(docs, (docs.doc_id == decoded.doc_id) & (docs.text == decoded.decoded)).count() == docs.count()
 
 
+def test_the_pair_index_looks_up_pairs_beside_merges_only():
+    """The first pairs come from a table of byte pairs, all of a part at once."""
+    class Counted(dict):
+        calls = 0
+
+        def get(self, *key):
+            self.calls += 1
+            return super().get(*key)
+
+    index, made = bpe.PairIndexBPE(bpe.vocabulary_path("byte_bpe_50k.json")), tokenizer("byte_bpe_50k.json")
+    index.ranks = Counted(index.ranks)
+    words = [" tokens", "é", "zzzz", "\x00\x01\x02" * 100, " counting", "aaaaaaa", "🙂"]
+    found = index.encode([w.encode() for w in words])
+    assert found == [made.encode(w, add_special_tokens=False).ids for w in words]
+    assert index.ranks.calls <= 2 * sum(len(w.encode()) - len(ids) for w, ids in zip(words, found))
+    assert index.encode([]) == []
+
+
 @pytest.mark.parametrize("entries", [0, 5, 16_384])
 def test_counts_equal_the_library(docs, monkeypatch, entries):
     monkeypatch.setattr(token_counts, "TABLE", entries)
