@@ -27,7 +27,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -78,13 +78,14 @@ class _Words:
 
     def _new_pieces(self, words: list[bytes]) -> np.ndarray:
         """Encode words; the numbers of their pieces."""
-        letters = [i for i, w in enumerate(words) if w.decode().isalpha()]
-        others = sorted(set(range(len(words))).difference(letters))
+        texts = [w.decode() for w in words]
+        alone = [t.isalpha() for t in texts]
+        letters, others = list(compress(range(len(texts)), alone)), [i for i, a in enumerate(alone) if not a]
         order, ids, sizes = [], [], []
-        for begin in range(0, len(letters), GROUP):
-            group = letters[begin:begin + GROUP]
-            own = np.array(self.tokenizer.encode(b" ".join([words[i] for i in group]).decode(), add_special_tokens=False).ids,
-                           dtype=np.int32)
+        groups = [letters[begin:begin + GROUP] for begin in range(0, len(letters), GROUP)]
+        joined = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False) if groups else []
+        for group, together in zip(groups, joined):
+            own = np.array(together.ids, dtype=np.int32)
             ends = np.flatnonzero(self.closes[own])
             if len(ends) == len(group):  # one pre-token a word; otherwise a letter folds into more
                 order += group
@@ -92,7 +93,7 @@ class _Words:
                 sizes.append(np.diff(ends, prepend=-1))
             else:
                 others += group
-        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False) if others else []
+        encoded = self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False) if others else []
         lists = [e.ids for e in encoded]
         ids.append(np.fromiter(chain.from_iterable(lists), dtype=np.int32))
         sizes = np.concatenate([*sizes, np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))]).astype(np.int64)
@@ -192,6 +193,7 @@ class Packer:
         self.limits, self.next = limits, first
         self.scale = 1.0 / np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
         self.wait: deque[tuple[int, int, int, int]] = deque()
+        self.waiting = 0  # tokens of the items in ``wait``
         self.placed: list[tuple[int, int, int, int, int]] = []
         self.room = [0, 0, 0]
         self._open()
@@ -219,7 +221,7 @@ class Packer:
         while not gone.all() and self.room[0] > 0 and self.room[1] > 0:
             room = np.array(self.room, dtype=float)
             worth = (vectors * self.scale) @ (room * self.scale)
-            fits = (vectors <= room).all(axis=1) & ~gone
+            fits = (vectors[:, 0] <= room[0]) & (vectors[:, 2] <= room[2]) & ~gone  # a piece is one segment
             if fits.any():
                 best = int(np.argmax(np.where(fits, worth, -1.0)))
                 self._place(*items[best])
@@ -237,7 +239,8 @@ class Packer:
             vectors[best] = (items[best][2], 1, items[best][3])
             gone[best] = not items[best][2]
             self._place(*head)
-        self.wait = deque(x for x, g in zip(items, gone) if not g)
+        self.wait = deque(x for x, g in zip(items, gone.tolist()) if not g)
+        self.waiting = sum([x[2] for x in self.wait])
         self._open()
 
     def add(self, document: int, tokens: int, loss: int) -> None:
@@ -248,13 +251,14 @@ class Packer:
             self._open()
         if item[2]:
             self.wait.append(item)
-        while len(self.wait) >= POOL or sum(x[2] for x in self.wait) >= POOL * whole:
+            self.waiting += item[2]
+        while len(self.wait) >= POOL or self.waiting >= POOL * whole:
             self._fill()
 
     def finish(self) -> None:
-        while self.wait and (sum(x[2] for x in self.wait) >= self.limits.tokens or len(self.wait) > self.limits.segments):
+        while self.wait and (self.waiting >= self.limits.tokens or len(self.wait) > self.limits.segments):
             self._fill()
-        left = sum(x[2] for x in self.wait)
+        left = self.waiting
         while left:  # the rest of the partition: lengths that are powers of two
             room = 1 << (left.bit_length() - 1)
             self.room = [room, self.limits.segments, self.limits.loss]

@@ -139,3 +139,38 @@ def test_stems_are_told_apart_by_their_bytes():
         flat, first = words.encode(part)
         found = [flat[first[i]:first[i + 1]].tolist() for i in range(len(part))]
         assert found == [made.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+
+
+def test_a_document_is_added_without_a_look_at_those_that_wait():
+    packer, looks = packing.Packer(packing.Limits(), 0), []
+
+    class Wait(packing.deque):
+        def __iter__(self):
+            looks.append(len(self))
+            return super().__iter__()
+
+    packer.wait = Wait()
+    for i in range(packing.POOL - 1):
+        packer.add(i, 1 + i, 0)
+    assert not looks and packer.waiting == sum(range(packing.POOL)) and not packer.placed
+    packer.finish()
+    assert sum(p[2] for p in packer.placed) == sum(range(packing.POOL))
+
+
+def test_new_words_are_encoded_in_two_calls():
+    import pyarrow as pa
+
+    words, made = packing._Words("word_bpe_49k.json"), tokenizer("word_bpe_49k.json")
+
+    class Counted:
+        calls = 0
+
+        def __getattr__(self, name):
+            self.calls += 1
+            return getattr(made, name)
+
+    words.tokenizer = Counted()
+    text = " ".join([f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(2000)] + ["a9", "中文"])
+    flat, _ = words.encode(pa.array([text]))
+    assert words.tokenizer.calls <= 2
+    assert flat.tolist() == made.encode(text, add_special_tokens=False).ids
