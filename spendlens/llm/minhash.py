@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.staging import staged
-from .shipping import ship
+from .shipping import ship, small_batches
 from .words import U64, Words, buffers, join_names, release, scramble, slices, words_of
 
+#: Bytes of text whose sets a task makes at a time.
+STEP_BYTES = 1 << 19
 SHINGLE = 5
 ROWS, BANDS = 8, 64
 BINS = ROWS * BANDS
@@ -117,7 +119,7 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("diges
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", STEP_BYTES):
             n = part.num_rows
             owner, value = shingle_sets(words_of(part.column("text"), lower=True))
             minima = signatures(owner, value, n)
@@ -150,7 +152,7 @@ _SETS = pa.schema([("doc", pa.int64()), ("shingles", pa.binary())])
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", STEP_BYTES):
             owner, value = shingle_sets(words_of(part.column("text"), lower=True))
             edges = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
             held = [value[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
@@ -283,7 +285,8 @@ def _links_across(members: DataFrame, label: DataFrame, sketch: DataFrame, texts
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id that links reach;
     its own without links), kept (doc_id is component_id)."""
-    sketch = staged(sketches(docs), "sketches")
+    with small_batches(docs.sparkSession):
+        sketch = staged(sketches(docs), "sketches")
     groups = staged(sketch.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
                     .agg(F.min("doc_id").alias("doc")), "sets")
     distinct = groups.join(sketch, (groups.digest == sketch.digest) & (groups.doc == sketch.doc_id), "left_semi")

@@ -35,14 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.staging import staged
-from .shipping import ship
-from .words import U64, Words, join_names, scramble, slices, words_of
+from .shipping import ship, small_batches
+from .words import U64, Words, join_names, release, scramble, slices, words_of
 
 WINDOW = 35
 ROUNDS = 3
 #: A boundary's level counts from here: below it, its words say too little.
 LOWEST = 2
 _FAR = 1 << 40
+#: Bytes of text whose words are worked on at a time; what is equal is merged over larger parts.
+STEP_BYTES = 1 << 19
 
 
 def _merge(keep: np.ndarray, start, low, high, inner_low, inner_high):
@@ -186,29 +188,38 @@ _STRETCHES = pa.schema([("deal", pa.int64()), ("stretch", pa.int64()), ("known",
 #: dealt by its stretch and does not meet it: the witness shows a repeat, but never takes the turn to be named.
 
 
+def _stretches(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, ...]:
+    """Of all windows of a part: key, stretch, weak, place of the document, begin and end in it."""
+    found = []
+    for step in slices(part, "text", STEP_BYTES):
+        words = words_of(step.column("text"))
+        filed = Filed(words, window)
+        base = words.first[filed.document]
+        found.append((filed.key, filed.stretch, filed.weak, step.column("place").to_numpy()[filed.document],
+                      filed.begin - base, filed.end - base))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _file_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                words = words_of(part.column("text"))
-                filed = Filed(words, window)
-                if not len(filed.begin):
+                key, stretch, weak, place, begin, end = _stretches(part, window)
+                if not len(begin):
                     continue
-                places = part.column("place").to_numpy()
-                of_key, key_lead = _counts_here(filed.key)
-                of_stretch, stretch_lead = _counts_here(filed.stretch)
-                shared = (of_key > 1) | filed.weak
+                of_key, key_lead = _counts_here(key)
+                of_stretch, stretch_lead = _counts_here(stretch)
+                shared = (of_key > 1) | weak
                 known = np.where(of_stretch > 1, 2 + stretch_lead, np.where(shared, 1, 0)).astype(np.int8)
-                key, stretch = filed.key.view(np.int64), filed.stretch.view(np.int64)
-                place = places[filed.document]
-                begin = filed.begin - words.first[filed.document]
+                key, stretch = key.view(np.int64), stretch.view(np.int64)
                 alone = scramble(place.astype(np.uint64) * U64(0x9E3779B97F4A7C15) + begin.astype(np.uint64)).view(np.int64)
                 deal = np.where(known == 0, key, np.where(known == 1, stretch, alone))
-                yield _rows(deal, stretch, known, place, begin, begin + (filed.end - filed.begin))
+                yield _rows(deal, stretch, known, place, begin, end)
                 witness = (of_key > 1) & key_lead  # for those who know of one only
                 yield _rows(key[witness], stretch[witness], known[witness], None, begin[witness], begin[witness])
                 witness = (of_stretch > 1) & stretch_lead
                 yield _rows(stretch[witness], stretch[witness], known[witness], None, begin[witness], begin[witness])
+        release()
 
     return run
 
@@ -224,27 +235,35 @@ _WINDOWS = pa.schema([("name", pa.int64()), ("more", pa.int32()), ("known", pa.b
                       ("begin", pa.int32()), ("end", pa.int32())])
 
 
+def _open_windows(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, ...]:
+    """Of the windows left open: name, more of the name, place of the document, begin in it."""
+    found = []
+    for step in slices(part, "text", STEP_BYTES):
+        words = words_of(step.column("text"))
+        spans = step.column("open")
+        flat = spans.flatten()
+        counts = np.diff(np.asarray(spans.offsets))
+        owner = np.repeat(np.arange(step.num_rows), counts)
+        begin, end = (flat.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+        size = end - begin
+        doc = np.repeat(owner, size)
+        start = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        at = start + words.first[doc]
+        length = np.full(len(at), window)
+        found.append((_range_names(words.names, at, length, 17).view(np.int64),
+                      (_range_names(words.names, at, length, 19) >> U64(33)).astype(np.int32),
+                      step.column("place").to_numpy()[doc], start))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _name_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                words = words_of(part.column("text"))
-                spans = part.column("open")
-                flat = spans.flatten()
-                counts = np.diff(np.asarray(spans.offsets))
-                owner = np.repeat(np.arange(part.num_rows), counts)
-                begin, end = (flat.field(i).to_numpy().astype(np.int64) for i in (0, 1))
-                size = end - begin
-                doc = np.repeat(owner, size)
-                start = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+                name, more, place, start = _open_windows(part, window)
                 if not len(start):
                     continue
-                at = start + words.first[doc]
-                length = np.full(len(at), window)
-                name = _range_names(words.names, at, length, 17).view(np.int64)
-                more = (_range_names(words.names, at, length, 19) >> U64(33)).astype(np.int32)
                 here, lead = _counts_here(name)
-                place = part.column("place").to_numpy()[doc]
                 known = here > 1
                 alone = scramble(place.astype(np.uint64) * U64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -254,6 +273,7 @@ def _name_windows(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name[lead]), pa.array(more[lead]), pa.array(known[lead]), pa.nulls(int(lead.sum()), pa.int64()),
                      pa.array(start[lead], pa.int32()), pa.array(start[lead], pa.int32())], schema=_WINDOWS)
+        release()
 
     return run
 
@@ -285,13 +305,14 @@ def _left(words: Words, gone: np.ndarray) -> Iterator[tuple[int, bytes]]:
 def _remove(window: int, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", STEP_BYTES):
                 words = words_of(part.column("text"))
                 removed, kept = zip(*_left(words, _gone(words, part.column("spans"), window)))
                 kept = [hashlib.sha256(text).hexdigest() if digests else text.decode() for text in kept]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("place"), part.column("doc_id"), pa.array(np.diff(words.first), pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(kept, pa.large_string())], schema=_KEPT)
+        release()
 
     return run
 
@@ -299,7 +320,7 @@ def _remove(window: int, digests: bool):
 def _rewrite(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", STEP_BYTES):
                 words = words_of(part.column("text"))
                 texts = part.column("text").to_pylist()
                 for i, (removed, text) in enumerate(_left(words, _gone(words, part.column("_spans"), window))):
@@ -307,6 +328,7 @@ def _rewrite(window: int):
                         texts[i] = text.decode()
                 at = part.schema.get_field_index("text")
                 yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+        release()
 
     return run
 
@@ -369,9 +391,10 @@ def _repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
               .withColumn("done", F.expr("known >= 2 OR same > 1"))
               .withColumn("named", F.expr("NOT done OR known = 3 OR (known < 2 AND turn = 1)")))
     span = F.struct("begin", "end")
-    spans = staged(judged.groupBy("place").agg(
-        F.collect_list(F.when(F.col("done"), span)).alias("spans"),
-        F.collect_list(F.when(F.col("named"), span)).alias("open")), "spans")
+    with small_batches(docs.sparkSession):
+        spans = staged(judged.groupBy("place").agg(
+            F.collect_list(F.when(F.col("done"), span)).alias("spans"),
+            F.collect_list(F.when(F.col("named"), span)).alias("open")), "spans")
 
     texts = rows.repartition("place")
     windows = texts.join(spans.filter("size(open) > 0").select("place", "open"), "place").select(
