@@ -27,7 +27,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +37,24 @@ from pyspark.sql import functions as F
 
 from .segments import tokenizer
 from .shipping import ship
-from .words import LOWER, gather, range_names, slices, words_of
+from .words import LOWER, buffers, gather, scramble, slices, word_ranges
 
 POOL = 256
-_IS_MARK = np.isin(np.arange(256), list(b".,;:!?"))
-_IS_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
+#: Signs that never join a letter before them: ASCII punctuation but for "'" (as in 's) and "<|>" of special tokens.
+_IS_MARK = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"))
+_IS_LOWER = np.isin(np.arange(256), np.arange(97, 123))
+_IS_LETTER = _IS_LOWER | np.isin(np.arange(256), np.arange(65, 91))
+#: First bytes of UTF-8 that begin no letter of Latin-1, and "<".
+_IS_ODD = np.isin(np.arange(256), [ord("<"), *range(0xC0, 0xC3), *range(0xC4, 256)])
+#: Second bytes after 0xC3: the signs of multiplication and division, and capital letters.
+_IS_SIGN = np.isin(np.arange(256), [0x97, 0xB7])
+_IS_CAPITAL = np.isin(np.arange(256), np.arange(0x80, 0x9F)) & ~_IS_SIGN
+#: Masks of the first so many of eight bytes.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 #: Words of letters per call of the tokenizer, which spends more on a call than on a word.
 GROUP = 512
+#: Bytes of text that are worked on at a time, so that their arrays stay near the core.
+SLICE = 512 << 10
 
 
 @dataclass(frozen=True)
@@ -53,136 +64,204 @@ class Limits:
     loss: int = 4096
 
 
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype: type, size: int = 0):
+        self.room, self.size = np.zeros(max(size, 1024), dtype), size
+
+    @property
+    def held(self) -> np.ndarray:
+        return self.room[:self.size]
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.room):
+            room = np.empty(max(end, 2 * len(self.room)), self.room.dtype)
+            room[:self.size] = self.held
+            self.room = room
+        self.room[self.size:end] = values
+        self.size = end
+
+
+def _hash(keys: np.ndarray) -> np.ndarray:
+    return scramble(keys[0] + keys[1] * np.uint64(0x9E3779B97F4A7C15) + keys[2] * np.uint64(0xD1342543DE82EF95))
+
+
 class _Words:
     """Ids of words in one growing array; the tokenizer is asked once per stem.
 
-    Marks after an ASCII letter are pre-tokens of their own and the tokenizer folds case, so words
-    share the ids of their stem, in lower case if it is made of ASCII letters. Stems are looked up
-    by their 64-bit names, all of a slice at once, and their bytes are compared; a stem whose name
-    belongs to another is encoded without being kept."""
+    Marks after a letter are pre-tokens of their own and the tokenizer folds case, so words share
+    the ids of their stem, in lower case unless it holds "<", where a special token may begin, or
+    characters beyond the letters of Latin-1, which may compose with others before case is folded.
+    Stems and marks of up to ``SHORT`` bytes are looked up by those bytes in a table with open
+    addressing, all of a slice at once; longer ones in a dictionary."""
 
     LIMIT = 1_200_000
+    SHORT = 23
 
     def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer = tokenizer(vocabulary)
+        #: The same model for words of lower-case Latin-1 letters, which neither normalizer nor pre-tokenizer changes.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(names.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
-        self.names, self.piece = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by name
-        self.bytes, self.at, self.length = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)  # piece 0: nothing
-        self.marks: dict[bytes, int] = {b"": 0}
-
-    def _new_pieces(self, words: list[bytes]) -> np.ndarray:
-        """Encode words; the numbers of their pieces."""
-        texts = [w.decode() for w in words]
-        alone = [t.isalpha() for t in texts]
-        letters, others = list(compress(range(len(texts)), alone)), [i for i, a in enumerate(alone) if not a]
-        order, ids, sizes = [], [], []
-        groups = [letters[begin:begin + GROUP] for begin in range(0, len(letters), GROUP)]
-        joined = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False) if groups else []
-        for group, together in zip(groups, joined):
-            own = np.array(together.ids, dtype=np.int32)
-            ends = np.flatnonzero(self.closes[own])
-            if len(ends) == len(group):  # one pre-token a word; otherwise a letter folds into more
-                order += group
-                ids.append(own)
-                sizes.append(np.diff(ends, prepend=-1))
-            else:
-                others += group
-        encoded = self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False) if others else []
+        self.flat, self.begin = _Column(np.int32), _Column(np.int64, 2)  # piece 0: nothing
+        self.keys = [_Column(np.uint64, 1) for _ in range(3)]  # bytes of the pieces and their number; 0 for long ones
+        self.slots = np.zeros(1 << 16, np.int32)  # pieces by the hash of their keys; 0: free
+        self.long: dict[bytes, int] = {}
+
+    def _new_pieces(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Encode stems; the numbers of their pieces."""
+        at = np.cumsum(size + 1) - size - 1
+        spaced = np.full(int(size.sum()) + len(size), 32, dtype=np.uint8)
+        spaced[gather(at, size)] = data[gather(start, size)]
+        simple, wide = _IS_LOWER[spaced], np.flatnonzero(spaced >= 128)
+        simple[wide] = (spaced[wide] == 0xC3) | ((spaced[wide - 1] == 0xC3) & ~_IS_SIGN[spaced[wide]])
+        simple[at + size] = True
+        plain = np.logical_and.reduceat(simple, at)
+        order, ids, sizes, others = [], [], [], []
+        for made, members in ((self.plain, np.flatnonzero(plain)), (self.tokenizer, np.flatnonzero(~plain))):
+            texts = spaced[gather(at[members], size[members] + 1)].tobytes().decode().split(" ")[:-1]
+            words = list(zip(members.tolist(), texts))
+            if made is not self.plain:
+                others += [w for w in words if not w[1].isalpha()]
+                words = [w for w in words if w[1].isalpha()]
+            groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
+            joined = [" ".join([t for _, t in g]) for g in groups]
+            for group, together in zip(groups, made.encode_batch_fast(joined, add_special_tokens=False) if joined else []):
+                own = np.array(together.ids, dtype=np.int32)
+                ends = np.flatnonzero(self.closes[own])
+                if len(ends) == len(group):  # one pre-token a word; otherwise a letter folds into more
+                    order += [i for i, _ in group]
+                    ids.append(own)
+                    sizes.append(np.diff(ends, prepend=-1))
+                else:
+                    others += group
+        encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False) if others else []
         lists = [e.ids for e in encoded]
         ids.append(np.fromiter(chain.from_iterable(lists), dtype=np.int32))
-        sizes = np.concatenate([*sizes, np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))]).astype(np.int64)
-        first, held = len(self.size), len(self.flat)
-        self.flat = np.concatenate([self.flat, *ids])
-        self.begin = np.concatenate([self.begin, held + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        number = np.empty(len(words), dtype=np.int64)
-        number[np.array(order + others, dtype=np.int64)] = np.arange(first, first + len(words))
+        sizes.append(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
+        placed = np.array(order + [i for i, _ in others], dtype=np.int64)
+        number = np.empty(len(size), dtype=np.int32)
+        number[placed] = np.arange(len(size)) + (self.begin.size - 1)
+        self.flat.add(np.concatenate(ids))
+        self.begin.add(self.begin.held[-1] + np.cumsum(np.concatenate(sizes)))
+        for column, key in zip(self.keys, keys):
+            column.add(key[placed])
         return number
 
-    def _pieces_of_stems(self, names: np.ndarray, folded: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Pieces of distinct stems ``folded[start:start + size]``; their names may not be distinct."""
-        piece = np.zeros(len(names), dtype=np.int64)
-        known = np.zeros(len(names), dtype=bool)
-        if len(self.names):
-            at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
-            known = (self.names[at] == names) & (self.length[at] == size) & (size > 0)
-            ours = np.flatnonzero(known)
-            same = folded[gather(start[ours], size[ours])] == self.bytes[gather(self.at[at[ours]], size[ours])]
-            if len(ours):
-                known[ours] = np.logical_and.reduceat(same, np.cumsum(size[ours]) - size[ours])
-            piece[known] = self.piece[at[known]]
-        new = np.flatnonzero(~known)
-        if len(new):
-            piece[new] = self._new_pieces([folded[a:a + n].tobytes() for a, n in zip(start[new].tolist(), size[new].tolist())])
-            _, first = np.unique(names[new], return_index=True)
-            keep = new[first]  # by name
-            place = np.searchsorted(self.names, names[keep])
-            if len(self.names):
-                free = self.names[np.minimum(place, len(self.names) - 1)] != names[keep]
-                keep, place = keep[free], place[free]
-            self.at = np.insert(self.at, place, len(self.bytes) + np.cumsum(size[keep]) - size[keep])
-            self.length = np.insert(self.length, place, size[keep])
-            self.piece = np.insert(self.piece, place, piece[keep])
-            self.names = np.insert(self.names, place, names[keep])
-            self.bytes = np.concatenate([self.bytes, folded[gather(start[keep], size[keep])]])
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (_hash(keys) & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def _differ(self, piece: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        first, second, third = (column.held[piece] != key for column, key in zip(self.keys, keys))
+        return first | second | third
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Pieces by their keys; 0 where there is none."""
+        at = self._slot(keys)
+        piece = self.slots[at]
+        other = np.flatnonzero((piece > 0) & self._differ(piece, keys))
+        while len(other):
+            at[other] = (at[other] + 1) & (len(self.slots) - 1)
+            found = piece[other] = self.slots[at[other]]
+            other = other[(found > 0) & self._differ(found, keys[:, other])]
         return piece
 
-    def _pieces_of_marks(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        piece = np.zeros(len(start), dtype=np.int64)
-        alone = end - start == 1
-        for byte in np.unique(data[start[alone]]).tolist():
-            piece[alone & (data[start] == byte)] = self._piece_of_marks([bytes([byte])])[0]
-        several = np.flatnonzero(~alone)
-        piece[several] = self._piece_of_marks([data[a:b].tobytes() for a, b in zip(start[several].tolist(), end[several].tolist())])
+    def _keep(self, piece: np.ndarray) -> None:
+        """Give pieces with keys their slots; the table stays at most half full."""
+        if 2 * self.begin.size > len(self.slots):
+            self.slots = np.zeros(1 << (2 * self.begin.size).bit_length(), np.int32)
+            piece = np.flatnonzero(self.keys[2].held).astype(np.int32)
+        at = self._slot(np.stack([column.held[piece] for column in self.keys]))
+        while len(piece):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = piece[free]  # one of those that want it
+            left = self.slots[at] != piece
+            at, piece = (at[left] + 1) & (len(self.slots) - 1), piece[left]
+
+    def _pieces(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Pieces of the ranges ``data[start:start + size]``, none of them empty; SHORT + 1 bytes follow the last."""
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        keys = np.zeros((3, len(start)), dtype=np.uint64)
+        keys[0] = eight[start] & _FIRST[np.minimum(size, 8)]
+        more = np.flatnonzero(size > 8)
+        keys[1, more] = eight[start[more] + 8] & _FIRST[np.minimum(size[more] - 8, 8)]
+        more = more[size[more] > 16]
+        keys[2, more] = eight[start[more] + 16] & _FIRST[np.minimum(size[more] - 16, 7)]
+        keys[2] |= np.minimum(size, 255).astype(np.uint64) << np.uint64(56)
+        piece = self._find(keys)
+        new = np.flatnonzero((piece == 0) & (size <= self.SHORT))
+        if len(new):
+            new = new[np.argsort(_hash(keys[:, new]))]  # equal keys side by side
+            first = np.ones(len(new), dtype=bool)
+            first[1:] = (keys[:, new[1:]] != keys[:, new[:-1]]).any(axis=0)
+            chosen = new[first]
+            own = self._new_pieces(data, start[chosen], size[chosen], keys[:, chosen])
+            self._keep(own)
+            piece[new] = own[np.cumsum(first) - 1]
+        long = np.flatnonzero(size > self.SHORT)
+        if len(long):
+            texts = [data[a:a + n].tobytes() for a, n in zip(start[long].tolist(), size[long].tolist())]
+            unknown = {t: i for t, i in zip(texts, long.tolist()) if t not in self.long}
+            if unknown:
+                chosen = np.array(list(unknown.values()))
+                own = self._new_pieces(data, start[chosen], size[chosen], np.zeros((3, len(chosen)), dtype=np.uint64))
+                self.long.update(zip(unknown, own.tolist()))
+            piece[long] = [self.long[t] for t in texts]
         return piece
 
-    def _piece_of_marks(self, marks: list[bytes]) -> list[int]:
-        new = sorted(set(marks).difference(self.marks))
-        if new:
-            self.marks.update(zip(new, self._new_pieces(new).tolist()))
-        return [self.marks[m] for m in marks]
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin. White space separates pre-tokens and
         is dropped, and no rule of the tokenizer looks across it, so words are encoded alone."""
-        if len(self.names) > self.LIMIT or len(self.size) > 2 * self.LIMIT:
+        if self.begin.size > self.LIMIT or self.flat.size > 8 * self.LIMIT:
             self.reset()
-        words = words_of(column)
-        data, start, end = words.data, words.start, words.end
-        stem_end, open_ = end.copy(), np.arange(len(end))
+        data, edges = buffers(column)
+        data, edges = data[edges[0]:edges[-1]], edges - edges[0]
+        start, end, first = word_ranges(data, edges)
+        last, open_ = end - 1, np.flatnonzero(_IS_MARK[data[end - 1]])  # last: before the marks
         while len(open_):
-            open_ = open_[stem_end[open_] > start[open_]]
-            open_ = open_[_IS_MARK[data[stem_end[open_] - 1]]]
-            stem_end[open_] -= 1
-        ended = stem_end > start
-        ended[ended] = _IS_LETTER[data[stem_end[ended] - 1]]
-        stem_end = np.where(ended, stem_end, end)
-        others = np.concatenate([[0], np.cumsum(~_IS_LETTER[data], dtype=np.int64)])
-        pure = others[stem_end] == others[start]
-        change = np.zeros(len(data) + 1, dtype=np.int8)
-        change[start[pure]] += 1
-        change[stem_end[pure]] -= 1
-        folded = np.where(np.cumsum(change[:-1], dtype=np.int8) > 0, LOWER[data], data)
-        names, size = range_names(folded, start, stem_end), stem_end - start
-        _, first, stem = np.unique(names, return_index=True, return_inverse=True)
-        twin = first[stem]
-        if (size != size[twin]).any() or (folded[gather(start, size)] != folded[gather(start[twin], size)]).any():
-            known: dict[bytes, int] = {}  # two stems of this slice bear one name
-            stem = np.array([known.setdefault(folded[a:b].tobytes(), len(known)) for a, b in zip(start.tolist(), stem_end.tolist())])
-            _, first = np.unique(stem, return_index=True)
-        pieces = np.zeros(2 * len(start), dtype=np.int64)
-        pieces[::2] = self._pieces_of_stems(names[first], folded, start[first], size[first])[stem]
-        marked = np.flatnonzero(stem_end < end)
-        pieces[2 * marked + 1] = self._pieces_of_marks(data, stem_end[marked], end[marked])
-        sizes = self.size[pieces]
+            last[open_] -= 1
+            open_ = open_[last[open_] >= start[open_]]
+            open_ = open_[_IS_MARK[data[last[open_]]]]
+        marked = np.flatnonzero((last < end - 1) & (last >= start))
+        sign = data[last[marked]]
+        marked = marked[_IS_LETTER[sign] | ((data[last[marked] - 1] == 0xC3) & ~_IS_SIGN[sign])]
+        stem_end = end.copy()
+        stem_end[marked] = last[marked] + 1
+
+        folded = np.zeros(len(data) + self.SHORT + 1, dtype=np.uint8)
+        folded[:len(data)] = LOWER[data]
+        latin = np.flatnonzero(data == 0xC3)
+        second = folded[latin + 1]
+        folded[latin[_IS_CAPITAL[second]] + 1] += 32
+        odd = np.concatenate([latin[_IS_SIGN[second]], np.flatnonzero(_IS_ODD[data])])
+        if len(odd):
+            whole = np.zeros(len(start), dtype=bool)
+            whole[np.searchsorted(start, odd, side="right") - 1] = True
+            places = gather(start[whole], (end - start)[whole])
+            folded[places] = data[places]
+
+        place = np.zeros(len(start) + 1, dtype=np.int64)  # of stems, if marks follow theirs
+        place[marked + 1] = 1
+        place = np.cumsum(place) + np.arange(len(place))
+        found = self._pieces(folded, np.concatenate([start, stem_end[marked]]), np.concatenate([stem_end - start, (end - stem_end)[marked]]))
+        pieces = np.empty(len(found), dtype=np.int32)
+        pieces[place[:-1]] = found[:len(start)]
+        pieces[place[marked] + 1] = found[len(start):]
+        begin = self.begin.held[pieces]
+        sizes = self.begin.held[pieces + 1] - begin
         total = np.concatenate([[0], np.cumsum(sizes)])
-        return self.flat[gather(self.begin[pieces], sizes)], total[2 * words.first]
+        return self.flat.held[gather(begin, sizes)], total[place[first]]
 
 
 class Packer:
@@ -315,7 +394,7 @@ def _pack(vocabulary: str, closing: int, limits: Limits, with_ids: bool):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES)], schema=_PIECES)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 flat, first = words.encode(part.column("text"))
                 shares = part.column("share").to_pylist()
                 for i, doc_id in enumerate(part.column("doc_id").to_pylist()):

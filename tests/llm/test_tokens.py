@@ -174,3 +174,47 @@ def test_new_words_are_encoded_in_two_calls():
     flat, _ = words.encode(pa.array([text]))
     assert words.tokenizer.calls <= 2
     assert flat.tolist() == made.encode(text, add_special_tokens=False).ids
+
+
+def test_stems_are_encoded_once_whatever_signs_and_capitals_they_bear():
+    import pyarrow as pa
+
+    words, made = packing._Words("word_bpe_49k.json"), tokenizer("word_bpe_49k.json")
+    words.encode(pa.array(["therou ouéé écoute , $$$ %%% ). ;;"]))
+    words.tokenizer = words.plain = None  # is not asked again
+    texts = ["Therou$$$ THEROU%%% therou). Ouéé, Écoute;; ÉCOUTE$$$ therou, $$$ OUÉÉ%%%"]
+    flat, _ = words.encode(pa.array(texts))
+    assert flat.tolist() == made.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_a_new_word_does_not_copy_the_known_ones():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = packing._Words("word_bpe_49k.json")
+    words.encode(pa.array([" ".join(map("{:05x}".format, range(100_000)))]))
+    words.encode(pa.array(["heard"]))  # after this there is room
+    tracemalloc.start()
+    words.encode(pa.array(["unheard"]))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 400_000
+
+
+@pytest.mark.parametrize("limit", [40, 1_200_000])
+def test_words_equal_the_library(monkeypatch, limit):
+    """Signs, capitals, characters that compose with their neighbours, long words; the cache begun anew."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    signs = list("  \n\u0085aAbJjKkİßÉéÀÿ×÷µº12.,;:!?'\"$-_`~|<>\\\x00ΣςﬁK日🙂̸́̌̇가 ") + [
+        "<|endoftext|>", "<|ENDOFTEXT|>", "'S", "'re", "J̌", "abcdefgh", "ijklmnop"]
+    words, made = packing._Words("word_bpe_49k.json"), tokenizer("word_bpe_49k.json")
+    monkeypatch.setattr(words, "LIMIT", limit)
+    for _ in range(40):
+        own = rng.sample(signs, rng.choice([5, 15, len(signs)])) + [" "]
+        texts = ["".join(rng.choice(own) for _ in range(rng.randrange(60))) for _ in range(50)]
+        flat, first = words.encode(pa.array(texts))
+        found = [flat[first[i]:first[i + 1]].tolist() for i in range(len(texts))]
+        assert found == [made.encode(t, add_special_tokens=False).ids for t in texts]
