@@ -16,7 +16,7 @@ from ..operators import (
     anomaly, attribution, commitment, forecast, idle, lattice, measures, movers, quality, recommendations, versions,
 )
 from ..sources.binding import AS_OF, BoundStar
-from ..sources.exports import layout_drift
+from ..sources.exports import layout_drift, write_export
 from ..streaming.crossings import crossings, run_crossings
 from .incremental import DailyMoments
 from .jobs import publish_anomalies
@@ -106,14 +106,15 @@ def export_drift(star: BoundStar) -> DataFrame:
     """Three exports written one after the other: the second lacks the tags, the third has prices that
     are no numbers and a column that nobody declared."""
     folder = work_folder(star.spark, "exports")
-    rows = star.cost(["dateKey", "subscriptionId", "meterId", "usageQuantity", "effectivePrice"]).select(
+    cost = star.cost(["dateKey", "subscriptionId", "meterId", "usageQuantity", "effectivePrice"], suppliers=star.suppliers_at_hand)
+    rows = cost.select(
         F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd").alias("Date"), F.col("subscriptionId").alias("SubscriptionId"),
         F.col("meterId").alias("MeterId"), F.col("usageQuantity").alias("Quantity"),
         F.col("effectivePrice").cast("string").alias("EffectivePrice"), F.lit("a\nb").alias("Tags"))
     broken = F.when(F.col("MeterId").endswith("7"), "n/a").otherwise(F.col("EffectivePrice"))
     layouts = [rows, rows.drop("Tags"), rows.withColumns({"EffectivePrice": broken, "Discount": F.lit(0)})]
     for number, layout in enumerate(layouts, 1):
-        layout.write.option("header", True).csv(f"{folder}/run={number}")
+        write_export(layout, f"{folder}/run={number}")
     found = layout_drift(star.spark, folder, rows.columns)
     return found.withColumn("exportFolder", F.element_at(F.split("exportFolder", "/"), -1))
 

@@ -58,6 +58,8 @@ _SAMPLE_SCHEMAS = {
     "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
         value double, props string""",
 }
+# So many suppliers go to every task that joins them to lines.
+FEW_SUPPLIERS = 2_000_000
 _SUPPLIER_COLUMNS = {"subscriptionKey", "subscriptionId", "resourceGroupKey", "regionKey"}
 
 
@@ -112,6 +114,13 @@ class BoundStar(Star):
     def sample(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SAMPLE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def suppliers_at_hand(self) -> DataFrame:
+        """The suppliers, broadcast to joins if they are few: lines that go out as they are, to be
+        written, are not shuffled."""
+        suppliers = self.sample("supplier")
+        return F.broadcast(suppliers) if suppliers.count() <= FEW_SUPPLIERS else suppliers
+
     def sample_stream(self, name: str) -> DataFrame:
         """The same file as a file stream."""
         return (
@@ -121,9 +130,9 @@ class BoundStar(Star):
 
     # --- cost -------------------------------------------------------------------------------
 
-    def cost(self, columns, since=None, until=None):
+    def cost(self, columns, since=None, until=None, suppliers=None):
         """Dates become bounds on the ship date, so they reach the scan; the supplier join is left
-        out unless a column needs it (every line's supplier exists)."""
+        out unless a column needs it (every line's supplier exists). ``suppliers``: the table to join."""
         rows = self.sample("lineitem")
         if since is not None:
             rows = rows.filter(F.col("l_shipdate") >= stamp(datetime(since.year, since.month, since.day)))
@@ -131,7 +140,8 @@ class BoundStar(Star):
             rows = rows.filter(F.col("l_shipdate") < stamp(days_before(until, -1)))
         if _SUPPLIER_COLUMNS & set(columns):
             rows = rows.join(
-                self.sample("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey"
+                (self.sample("supplier") if suppliers is None else suppliers).select(
+                    F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey"
             )
         if "regionKey" in columns:
             rows = rows.join(

@@ -80,3 +80,36 @@ def test_files_of_several_headers_with_and_without_line_feeds(spark, tmp_path):
 
 def test_no_files(spark, tmp_path):
     assert read_export(spark, str(tmp_path)).count() == 0
+
+
+def test_exports_are_read_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "FILE_ROWS", 10)
+    rows = spark.range(95).select(
+        F.lit("2024-01-05").alias("Date"), F.concat(F.lit("m"), "id").alias("MeterId"), F.lit('a\n"b"').alias("Tags"))
+    exports.write_export(rows.coalesce(1), str(tmp_path / "run=1"))
+    files = [f for f in os.listdir(tmp_path / "run=1") if f.startswith("part")]
+    assert len(files) == 10 and all(f.endswith(".csv.gz") for f in files)
+    read = read_export(spark, str(tmp_path))
+    assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.MeterId for r in read.collect()) == sorted(f"m{i}" for i in range(95))
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10000])
+def test_records_do_not_depend_on_batches(spark, tmp_path, small_splits, batch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rng = random.Random(batch)
+    want = []
+    for number, end in enumerate(["", "\n", '"never\nclosed']):  # the last field may lack its quote
+        cells = [(f"{number}-{i}", "\n".join("x" * rng.choice([0, 1, 200]) for _ in range(rng.choice([1, 2, 7])))) for i in range(40)]
+        want += [f'{k},"{x}"' for k, x in cells] + ["end," + end] * (number == 2)
+        (tmp_path / f"{number}.csv").write_text("\n".join(["k,x"] + [f'{k},"{x}"' for k, x in cells]) + ("\nend," if number == 2 else "") + end)
+    spark.conf.set(key, str(batch))
+    try:
+        for split in (True, False):
+            if not split:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+            records = exports.csv_records(exports._text(spark, str(tmp_path)), split).filter("NOT (block = 0 AND line = 1)")
+            assert sorted(r.record for r in records.collect()) == sorted(want)
+    finally:
+        spark.conf.set(key, before)
