@@ -50,6 +50,12 @@ def text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def at_hand(table: DataFrame, most: int) -> DataFrame:
+    """``table``, broadcast to joins if it has at most ``most`` rows, so that the other side, which is
+    far longer, is not shuffled."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
     """Project ``df`` onto a table's StructType: cast each field, NULL where it is absent."""
     have = set(df.columns)

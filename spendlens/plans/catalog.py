@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import conform
+from ..functions.columns import at_hand, conform
 from ..functions.dates import days_before, last_day_until
 from ..functions.staging import work_folder
 from ..operators import (
@@ -21,16 +21,17 @@ from ..operators import (
 from ..operators.calendar import calendar_of
 from ..schema import schema
 from ..sources.binding import AS_OF, END, FIRST_DAY, BoundStar, metric_samples
-from ..sources.exports import latest_export, read_export
+from ..sources.exports import latest_export, read_export, write_export
 from ..sources.lake import Lake, read_or_empty
 from ..sources.tags import flatten_tags
 from ..star import Star
 from ..streaming.alerts import alert_stream, run_alerts
 from ..streaming.metrics import daily_statistics, run_rollup_stream
 from .features import FEATURES
-from .ingest import TRACKED, UNKNOWN, load_exports, resource_versions
+from .ingest import FEW_MEMBERS, TRACKED, UNKNOWN, load_exports, resource_versions
 from .refresh import POLICIES, refreshed
 
+EXPORT_ORDER = ["Date", "SubscriptionId", "ResourceId"]
 HISTORY_DAYS = (END.date() - FIRST_DAY).days
 
 
@@ -127,10 +128,11 @@ def _invoices(star: BoundStar) -> DataFrame:
 
 
 def _export_columns(star: BoundStar, *, price_factor: str = "1.0") -> DataFrame:
-    """The cost rows in the layout of an export file."""
+    """The cost rows in the layout of an export file. To be written, they are not shuffled."""
     factor = F.lit(price_factor).cast("decimal(3,1)")
     cost = star.cost(["dateKey", "subscriptionId", "resourceId", "meterId", "billingPeriodStartDate",
-                      "billingPeriodEndDate", "usageQuantity", "effectivePrice", "actualCost", "chargeType"])
+                      "billingPeriodEndDate", "usageQuantity", "effectivePrice", "actualCost", "chargeType"],
+                     suppliers=star.suppliers_at_hand)
     return cost.select(
         F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd").alias("Date"),
         F.col("subscriptionId").alias("SubscriptionId"), F.col("resourceId").alias("ResourceId"),
@@ -146,8 +148,8 @@ def _cost_export(star: BoundStar) -> DataFrame:
     """Two overlapping exports written and read back: the older one, with other amounts, must not
     count."""
     folder = work_folder(star.spark, "exports")
-    _export_columns(star, price_factor="0.5").write.option("header", True).csv(f"{folder}/run=1")
-    _export_columns(star).write.option("header", True).csv(f"{folder}/run=2")
+    write_export(_export_columns(star, price_factor="0.5"), f"{folder}/run=1", EXPORT_ORDER)
+    write_export(_export_columns(star), f"{folder}/run=2", EXPORT_ORDER)
     rows = latest_export(read_export(star.spark, folder))
     return rows.groupBy("BillingPeriodStartDate", "SubscriptionId").agg(
         F.count(F.lit(1)).alias("costRows"), F.sum("CostInBillingCurrency").alias("cost"),
@@ -167,7 +169,7 @@ def _load_exports_fact(star: BoundStar) -> DataFrame:
             "ResourceId": F.when(~F.col("MeterId").endswith("0"), F.col("ResourceId")),
         })
         columns = sorted(rows.columns, reverse=backwards)
-        rows.select(columns).write.option("header", True).csv(f"{folder}/{run}")
+        write_export(rows.select(columns), f"{folder}/{run}", EXPORT_ORDER)
 
     export(0, "run=1", price_factor="0.5")
     export(0, "run=2")
@@ -176,7 +178,7 @@ def _load_exports_fact(star: BoundStar) -> DataFrame:
     groups = lake.read("dim_resource_group").select("resourceGroupKey", F.col("subscriptionId").alias("groupOwner"))
     named = lake.read("dim_resource").select("resourceKey", F.col("resourceId").alias("member"))
     return (
-        lake.read("fact_cost_daily").join(groups, "resourceGroupKey").join(named, "resourceKey")
+        lake.read("fact_cost_daily").join(at_hand(groups, FEW_MEMBERS), "resourceGroupKey").join(at_hand(named, FEW_MEMBERS), "resourceKey")
         .groupBy("subscriptionId", "groupOwner", "billingPeriodStartDate").agg(
             F.count(F.lit(1)).alias("costRows"), F.sum("actualCost").alias("cost"),
             F.count(F.when(F.col("member") == UNKNOWN, 1)).alias("unknownResources"))

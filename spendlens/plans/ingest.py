@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import conform, date_key_of, stamp
-from ..functions.staging import staged
+from ..functions.columns import at_hand, conform, date_key_of, stamp
+from ..functions.dates import date_key
+from ..functions.staging import shuffles_removed, staged
 from ..operators.calendar import calendar_of
 from ..operators.costs import TAG_COLUMNS
 from ..schema import schema
@@ -17,6 +18,11 @@ from ..sources.exports import latest_export, read_export
 from ..sources.lake import Lake
 
 NUMBERING_BUCKETS = 1024
+# Members of a dimension that are looked up without a shuffle of the rows.
+FEW_MEMBERS = 500_000
+# A load writes its days in slices: bytes of the staged export in one, and their greatest number.
+SLICE_BYTES = 64 << 20
+SLICES = 16
 # The member of rows whose export names none.
 UNKNOWN = "(unknown)"
 # Attributes whose change opens a new resource version.
@@ -168,15 +174,34 @@ def with_unknown(export: DataFrame) -> DataFrame:
 
 def cost_rows(export: DataFrame, lake: Lake) -> DataFrame:
     """Export rows as cost facts, one for one. Dimension keys are looked up by natural key; the
-    current resource version is taken. A key without a member stays NULL."""
+    current resource version is taken. A key without a member stays NULL. Lookups see each value of a
+    row once; columns that repeat it are made after them."""
     plan = F.col("PricingModel") == "SavingsPlan"
-    reserved = F.col("ReservationId").isNotNull()
+    reserved = F.col("reservationId").isNotNull()
     rows = export.select(
-        date_key_of(F.col("Date")).alias("dateKey"),
-        F.lower("ResourceId").alias("resourceId"), F.col("SubscriptionId").alias("subscriptionId"),
+        "Date", F.lower("ResourceId").alias("resourceId"), F.col("SubscriptionId").alias("subscriptionId"),
         F.col("MeterId").alias("meterId"), F.col("ResourceGroup").alias("resourceGroupName"),
         F.col("Location").alias("regionName"), F.col("OfferId").alias("offerId"),
-        F.col("ReservationId").alias("reservationId"),
+        F.col("ReservationId").alias("reservationId"), "BillingPeriodStartDate", "BillingPeriodEndDate",
+        "Quantity", "EffectivePrice", "UnitPrice", "CostInBillingCurrency", "CostInUSD", "ExchangeRate",
+        "PricingModel", "ChargeType", "Frequency", "InvoiceId", "AdditionalInfo",
+    )
+    lookups = (
+        (lake.read("dim_resource").filter("isCurrent"), "resourceId", "resourceKey"),
+        (lake.read("dim_subscription"), "subscriptionId", "subscriptionKey"),
+        (lake.read("dim_meter"), "meterId", "meterKey"),
+        (lake.read("dim_resource_group"), ["resourceGroupName", "subscriptionId"], "resourceGroupKey"),
+        (lake.read("dim_region"), "regionName", "regionKey"),
+        (lake.read("dim_offer"), "offerId", "offerKey"),
+        (lake.read("dim_benefit"), "reservationId", "benefitKey"),
+    )
+    for dimension, natural_key, surrogate_key in lookups:
+        names = _names(natural_key)
+        rows = rows.join(at_hand(dimension.select(*names, surrogate_key), FEW_MEMBERS), names, "left")
+    return rows.select(
+        *[key for _, _, key in lookups], "resourceId", "subscriptionId", "meterId", "resourceGroupName", "regionName",
+        "offerId", "reservationId", "Date",
+        date_key_of(F.col("Date")).alias("dateKey"),
         F.col("BillingPeriodStartDate").alias("billingPeriodStartDate"),
         F.col("BillingPeriodEndDate").alias("billingPeriodEndDate"),
         F.col("Quantity").alias("usageQuantity"), F.col("EffectivePrice").alias("effectivePrice"),
@@ -190,19 +215,6 @@ def cost_rows(export: DataFrame, lake: Lake) -> DataFrame:
         F.col("ChargeType").alias("chargeType"), F.col("Frequency").alias("frequency"),
         F.col("InvoiceId").alias("invoiceId"), F.col("AdditionalInfo").alias("additionalInfo"),
     )
-    lookups = (
-        (lake.read("dim_resource").filter("isCurrent"), "resourceId", "resourceKey"),
-        (lake.read("dim_subscription"), "subscriptionId", "subscriptionKey"),
-        (lake.read("dim_meter"), "meterId", "meterKey"),
-        (lake.read("dim_resource_group"), ["resourceGroupName", "subscriptionId"], "resourceGroupKey"),
-        (lake.read("dim_region"), "regionName", "regionKey"),
-        (lake.read("dim_offer"), "offerId", "offerKey"),
-        (lake.read("dim_benefit"), "reservationId", "benefitKey"),
-    )
-    for dimension, natural_key, surrogate_key in lookups:
-        names = _names(natural_key)
-        rows = rows.join(dimension.select(*names, surrogate_key), names, "left")
-    return rows
 
 
 def beside(facts: DataFrame, lake: Lake) -> DataFrame:
@@ -213,11 +225,39 @@ def beside(facts: DataFrame, lake: Lake) -> DataFrame:
     return stored.join(touched, ["dateKey", "subscriptionKey"], "left_anti")
 
 
+def day_slices(export: DataFrame) -> list[tuple[date | None, date | None]]:
+    """The days of a staged export in slices of about SLICE_BYTES, SLICES at most: the first day and the
+    first day after. Rows without a day are in the first slice. The driver sees one number per day."""
+    size = int(str(export._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    number = min(SLICES, size // SLICE_BYTES + 1)
+    days = export.groupBy("Date").agg(F.count(F.lit(1)).alias("rows")).orderBy("Date").collect()
+    total, seen, cuts = sum(d["rows"] for d in days), 0, []
+    for d in days:
+        if seen and d["Date"] is not None and seen * number >= total * (len(cuts) + 1):
+            cuts.append(d["Date"])
+        seen += d["rows"]
+    return list(zip([None, *cuts], [*cuts, None])) if days else []
+
+
+def _within(column: Column, first, after) -> Column:
+    """Whether a value lies in a slice (see ``day_slices``)."""
+    if first is not None:
+        return (column >= first) & (column < after if after is not None else F.lit(True))
+    return column.isNull() | (column < after) if after is not None else F.lit(True)
+
+
 def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[str, int]:
     """Read the exports, extend the dimensions, replace the days the exports cover, subscription by
-    subscription. ``unknown_members``: cost rows that named no resource, subscription or meter."""
-    newest = latest_export(read_export(lake.spark, path or lake.export_path())).drop("exportTime")
-    export = staged(with_unknown(newest), "export")
+    subscription. The days are written slice by slice, so what is shuffled for them is a part of the
+    whole; a load that was broken off is repeated as it is. ``unknown_members``: cost rows that named no
+    resource, subscription or meter."""
+    with shuffles_removed(lake.spark):
+        return _load(lake, as_of, path or lake.export_path())
+
+
+def _load(lake: Lake, as_of: datetime, path: str) -> dict[str, int]:
+    newest = latest_export(read_export(lake.spark, path)).drop("exportTime")
+    export = staged(with_unknown(newest), "export", "zstd")
     written = {}
     for table, members, natural_key, surrogate_key in (
         ("dim_subscription", subscriptions_of, "subscriptionId", "subscriptionKey"),
@@ -233,11 +273,18 @@ def load_exports(lake: Lake, as_of: datetime, path: str | None = None) -> dict[s
     written["dim_resource"] = lake.replace("dim_resource", versions)
     days = calendar_of(export, "Date").join(lake.read("dim_date").select("dateKey"), "dateKey", "left_anti")
     written["dim_date"] = lake.append("dim_date", days)
-    facts = staged(conform(cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of)), schema("fact_cost_daily")),
-                   "facts")
-    kept = staged(beside(facts, lake), "kept")
+    owners = lake.read("dim_subscription").select(F.col("subscriptionId").alias("SubscriptionId"), "subscriptionKey")
+    covered = staged(export.select(date_key_of(F.col("Date")).alias("dateKey"), "SubscriptionId").distinct()
+                     .join(owners, "SubscriptionId", "left").select("dateKey", "subscriptionKey").distinct(), "covered")
+    kept = staged(beside(covered, lake), "kept")
     written["unknown_members"] = export.filter(
         (F.col("ResourceId") == UNKNOWN) | (F.col("SubscriptionId") == UNKNOWN) | (F.col("MeterId") == UNKNOWN)).count()
-    written["fact_cost_daily"] = facts.count()
-    lake.replace("fact_cost_daily", facts.unionByName(kept), ready=True)
+    facts = cost_rows(export, lake).withColumn("rowCreatedDate", stamp(as_of))
+    for first, after in day_slices(export):
+        bounds = [day and date_key(day) for day in (first, after)]
+        lake.replace_days("fact_cost_daily", conform(facts.filter(_within(F.col("Date"), first, after)), schema("fact_cost_daily")).unionByName(
+            kept.filter(_within(F.col("dateKey"), *bounds))))
+    days, stored = covered.select(F.col("dateKey").alias("_day")).distinct(), lake.read("fact_cost_daily")
+    written["fact_cost_daily"] = stored.join(
+        F.broadcast(days), F.col("dateKey").eqNullSafe(F.col("_day")), "left_semi").count() - kept.count()
     return written

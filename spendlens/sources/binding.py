@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_key_of, stamp
+from ..functions.columns import at_hand, date_key_of, stamp
 from ..functions.dates import date_key, days_before
 from ..functions.metrics import CPU, FREE_MEMORY, NAMESPACES
 from ..operators.anomaly import detect_cost_anomalies
@@ -118,8 +118,7 @@ class BoundStar(Star):
     def suppliers_at_hand(self) -> DataFrame:
         """The suppliers, broadcast to joins if they are few: lines that go out as they are, to be
         written, are not shuffled."""
-        suppliers = self.sample("supplier")
-        return F.broadcast(suppliers) if suppliers.count() <= FEW_SUPPLIERS else suppliers
+        return at_hand(self.sample("supplier"), FEW_SUPPLIERS)
 
     def sample_stream(self, name: str) -> DataFrame:
         """The same file as a file stream."""

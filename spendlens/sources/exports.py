@@ -10,6 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import at_hand
 from ..functions.staging import staged
 
 # The columns of an export and their types. The header repeats many names.
@@ -52,11 +53,14 @@ def header_positions(names: list[str]) -> dict[str, int]:
 UNSPLIT = (".gz", ".deflate", ".snappy", ".lz4", ".zst")
 #: Rows of a compressed file, so that many tasks read an export.
 FILE_ROWS = 1_000_000
+# So many export folders, counted by account, subscription and period, go to every task.
+FEW_FOLDERS = 100_000
 
 
-def write_export(rows: DataFrame, folder: str) -> None:
-    """``rows`` as an export: compressed CSV files with a header."""
-    rows.write.options(header=True, compression="gzip", maxRecordsPerFile=FILE_ROWS).csv(folder)
+def write_export(rows: DataFrame, folder: str, order: Sequence[str] = ()) -> None:
+    """``rows`` as an export: compressed CSV files with a header. Files whose rows are in some
+    ``order`` are smaller."""
+    (rows.sortWithinPartitions(*order) if order else rows).write.options(header=True, compression="gzip", maxRecordsPerFile=FILE_ROWS).csv(folder)
 
 
 def _text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -292,6 +296,6 @@ def latest_export(rows: DataFrame) -> DataFrame:
         rows.groupBy(*EXPORT_KEYS, "exportFolder").agg(F.max("exportTime").alias("exportTime"))
         .groupBy(*EXPORT_KEYS).agg(F.max_by("exportFolder", F.struct("exportTime", "exportFolder")).alias("exportFolder"))
     )
-    newest = newest.toDF(*[f"_{c}" for c in newest.columns])
+    newest = at_hand(staged(newest, "newest").toDF(*[f"_{c}" for c in newest.columns]), FEW_FOLDERS)
     same = [rows[c].eqNullSafe(newest[f"_{c}"]) for c in [*EXPORT_KEYS, "exportFolder"]]
     return rows.join(newest, reduce(Column.__and__, same), "left_semi")

@@ -30,14 +30,14 @@ def read_or_empty(spark: SparkSession, path: str, fields: StructType) -> DataFra
         return spark.createDataFrame([], fields)
 
 
-def write_days(df: DataFrame, path: str, day: str, mode: str) -> None:
+def write_days(df: DataFrame, path: str, day: str, mode: str, compression: str | None = None) -> None:
     """Write by day: ``append`` adds, ``overwrite`` replaces exactly the days present in ``df``. The
     rebalance hint gathers a day in few files and lets adaptive execution split a day that is too
     large for one task; inside a file rows are ordered by resource."""
     order = [day, *[c for c in ("resourceKey",) if c in df.columns]]
     (
         df.hint("rebalance", day).sortWithinPartitions(*order).write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+        .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path, compression=compression)
     )
 
 
@@ -90,6 +90,10 @@ class Lake:
         are complete, and do not depend on the table any more."""
         return self._write(table, rows, "overwrite", only_after, ready)
 
+    def replace_days(self, table: str, rows: DataFrame) -> None:
+        """New versions of the days that ``rows`` hold. They must not depend on the table, and are computed once."""
+        write_days(rows, self.path(table), PARTITION_COLUMN[table], "overwrite", "zstd")
+
     def days(self, table: str) -> list[int]:
         """The days a fact has a folder for: one name per day."""
         folder, files = self._folder(table)

@@ -209,6 +209,41 @@ def test_load_exports(spark, tmp_path):
     assert {r.dateKey: int(r.actualCost) for r in star.cost(["dateKey", "actualCost"]).collect()} == {20240105: 5, 20240106: 2, 20240107: 6}
 
 
+def test_an_export_is_not_shuffled_for_the_newest_folders(spark, tmp_path):
+    export_file(tmp_path / "a", [usage("2024-01-05", "1"), usage("2024-02-01", "2")], 1000)
+    export_file(tmp_path / "b", [usage("2024-02-01", "3")], 2000)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = latest_export(read_export(spark, str(tmp_path)))
+        assert "hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(int(r.CostInBillingCurrency) for r in rows.collect()) == [1, 3]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_load_writes_slices_of_days(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "SLICES", 3)
+    monkeypatch.setattr(ingest, "SLICE_BYTES", 1)
+    monkeypatch.setattr(ingest, "FEW_MEMBERS", 0)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    days = [f"2024-01-0{d}" for d in range(1, 7)]
+    undated = {**usage("2024-01-01", "9"), "Date": "none"}
+    export_file(tmp_path / "in1" / "a", [usage(d, "1") for d in days] + [usage(d, "5", SubscriptionId="s2") for d in days[:3]])
+    assert ingest.load_exports(lake, NOW, str(tmp_path / "in1"))["fact_cost_daily"] == 9
+    export_file(tmp_path / "in2" / "b", [usage(d, "2") for d in days[1:] for _ in range(2)] + [undated])
+    assert ingest.load_exports(lake, NOW, str(tmp_path / "in2"))["fact_cost_daily"] == 11
+    facts = lake.read("fact_cost_daily").collect()
+    assert sorted((r.dateKey or 0, r.subscriptionId, int(r.actualCost)) for r in facts) == sorted(
+        [(0, "s1", 9), (20240101, "s1", 1)] + [(20240100 + n, "s1", 2) for n in range(2, 7) for _ in range(2)]
+        + [(20240100 + n, "s2", 5) for n in range(1, 4)])
+    assert all(r.meterKey == 1 and r.resourceKey and r.resourceGroupKey for r in facts)
+    cut = ingest.day_slices(lake.read("fact_cost_daily").select(F.to_date(F.col("dateKey").cast("string"), "yyyyMMdd").alias("Date")))
+    assert len(cut) == 3 and cut[0][0] is None and cut[-1][1] is None and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_date_bounds_prune_directories(lake, capsys):
     kpis.mom_growth(LakeStar(lake), NOW).explain("formatted")
     assert "dateKey#" in re.search(r"PartitionFilters: \[(.*)\]", capsys.readouterr().out).group(1)
